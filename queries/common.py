@@ -97,7 +97,7 @@ def readings_dense(spark: SparkSession, folder: str) -> DataFrame:
     hour = floor_to(F.col("date_time"), 3600).alias("date_time")
     return ev.groupBy("region", hour).agg(
         F.avg("value").alias("pm2_5"), F.avg(F.col("value") * 2.5 + F.col("ws")).alias("pm10"),
-        F.avg(F.col("ws") * 4).alias("so2"), F.max("ws").alias("temp"), F.min("wd").alias("hum"),
+        F.avg(F.col("ws") * 4).alias("so2"), F.max("ws").alias("temp"), (F.min("wd") / 3.6).alias("hum"),
         F.avg("ws").alias("ws"), F.avg("wd").alias("wd"),
     ).withColumn("granularity", F.lit("hourly"))
 

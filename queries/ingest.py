@@ -195,8 +195,7 @@ SELECT s.*, year(date_time) AS year, month(date_time) AS month, day(date_time) A
 FROM summary s JOIN (SELECT * FROM ranked WHERE rn = 1) r USING (region, granularity, date_time)"""))
 def merge_with_lineage(spark, folder):
     rows = merge.align_rows(raw_readings(spark, folder))
-    # The event number only settles ties between equal rows here, so it is ranked but not reported.
-    out = merge.merge_duplicates(rows.withColumn("event_order", F.col("event_id")).drop("event_id"), metrics=_METRICS)
+    out = merge.merge_duplicates(rows, metrics=_METRICS, ties=["event_id"])
     return out.withColumns({"pm2_5": F.round("pm2_5", 6), "pm10": F.round("pm10", 6)})
 
 

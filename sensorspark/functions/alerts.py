@@ -79,7 +79,7 @@ def watch_list(readings: Mapping[str, Column], forecasts: Mapping[str, Column])
     for name, limit in K.REVIEW_THRESHOLDS.items():
         worst = F.greatest(to_double_or_zero(readings[name]), to_double_or_zero(forecasts[name]))
         # One decimal, halves upward.
-        shown = F.format_number(F.floor(worst * 10 + F.lit(0.5)) / 10, "0.0")
+        shown = F.call_function("format_number", F.floor(worst * 10 + F.lit(0.5)) / 10, F.lit("0.0"))
         entries.append(F.when(worst >= limit, F.concat(F.lit(words[name]), shown, F.lit(" ug/m3"))))
     return F.array_compact(F.array(*entries))
 

@@ -13,7 +13,7 @@ from sensorspark.functions.risk import risk_four_level
 
 
 def one_decimal(col: Column) -> Column:
-    return F.format_number(to_double_or_zero(col), "0.0")
+    return F.call_function("format_number", to_double_or_zero(col), F.lit("0.0"))
 
 
 def _sentence(*parts: str | Column) -> Column:

@@ -20,6 +20,9 @@ def workbooks_only(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def content_key(files: DataFrame, content: str = "content") -> DataFrame:
+    """Add the digest of the content, unless the table already carries it."""
+    if "content_md5" in files.columns:
+        return files
     return files.withColumn("content_md5", F.md5(F.col(content)))
 
 
@@ -38,9 +41,9 @@ def kept_files(files: DataFrame, path: str = "path", content: str = "content") -
 def duplicate_files(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """Every file that repeats the content of a kept one, with the kept path as reason."""
     keyed = content_key(files, content).select("content_md5", path)
-    repeated = kept_files(files, path, content).where("copies > 1").drop("copies")
+    repeated = kept_files(files, path, content).where("copies > 1")
     return (
-        salted_lookup(keyed, repeated, ["content_md5"])
+        salted_lookup(keyed, repeated, ["content_md5"], "copies")
         .where(F.col(path) != F.col("kept_path"))
         .select(path, F.concat(F.lit("Exact duplicate of "), "kept_path").alias("reason"))
     )

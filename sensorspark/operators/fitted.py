@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -64,10 +63,9 @@ class QuantileClipper(Estimator, _Columns, DefaultParamsReadable, DefaultParamsW
     lowerQuantile = Param(Params._dummy(), "lowerQuantile", "lower quantile", TypeConverters.toFloat)
     upperQuantile = Param(Params._dummy(), "upperQuantile", "upper quantile", TypeConverters.toFloat)
 
-    @keyword_only
     def __init__(self, *, inputCols=None, lowerQuantile=K.FEATURE_CLIP[0], upperQuantile=K.FEATURE_CLIP[1], exact=True):
         super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._set(inputCols=inputCols, lowerQuantile=lowerQuantile, upperQuantile=upperQuantile, exact=exact)
 
     def _fit(self, dataset: DataFrame) -> QuantileClipperModel:
         probabilities = [self.getOrDefault(self.lowerQuantile), self.getOrDefault(self.upperQuantile)]
@@ -99,10 +97,9 @@ class MedianImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
 
     addIndicator = Param(Params._dummy(), "addIndicator", "add indicator columns", TypeConverters.toBoolean)
 
-    @keyword_only
     def __init__(self, *, inputCols=None, addIndicator=True, exact=True):
         super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._set(inputCols=inputCols, addIndicator=addIndicator, exact=exact)
 
     def _fit(self, dataset: DataFrame) -> MedianImputerModel:
         columns = self.columns()
@@ -147,10 +144,10 @@ class TargetTransformer(Estimator, _Columns, DefaultParamsReadable, DefaultParam
     clipUpper = Param(Params._dummy(), "clipUpper", "use the upper quantile", TypeConverters.toBoolean)
     logTransform = TargetTransformerModel.logTransform
 
-    @keyword_only
     def __init__(self, *, inputCols=None, upperQuantile=K.TARGET_CLIP_UPPER, clipUpper=True, logTransform=True, exact=True):
         super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._set(inputCols=inputCols, upperQuantile=upperQuantile, clipUpper=clipUpper, logTransform=logTransform,
+                  exact=exact)
 
     def _fit(self, dataset: DataFrame) -> TargetTransformerModel:
         columns = self.columns()

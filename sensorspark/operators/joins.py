@@ -4,22 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+ROWS_PER_TASK = 1_000_000
 
 
-def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner",
-                  salts: int = SALTS) -> DataFrame:
-    """Join rows to a table with one row per key, spreading every key over `salts` tasks.
+def _pieces(size: str, rows_per_task: int) -> Column:
+    return F.greatest(F.ceil(F.col(size) / rows_per_task), F.lit(1)).cast("int")
 
-    Adaptive skew handling only acts on a plain shuffle on both sides; a lookup
-    that is itself an aggregate rules it out, so the spread is explicit. The
-    lookup holds one small row per key, so repeating it is cheap next to the rows.
+
+def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], size: str,
+                  rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Inner join of rows to a table with one row per key and the number of rows of the key.
+
+    Only keys with more than `rows_per_task` rows are split, into as many pieces
+    as their size asks for; the lookup row of such a key is repeated once per
+    piece. Adaptive skew handling does not act here, as the lookup is itself an
+    aggregate. The list of split keys is broadcast: a table of N rows cannot
+    have more than N / rows_per_task of them.
     """
-    payload = [c for c in rows.columns if c not in keys]
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in payload]), F.lit(salts)).cast("int")
-    left = rows.withColumn("_salt", salt)
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    hot = lookup.where(F.col(size) > rows_per_task).select(*keys, _pieces(size, rows_per_task).alias("_pieces"))
+    payload = [F.col(f"`{c}`") for c in rows.columns if c not in keys]
+    left = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*payload), F.coalesce("_pieces", F.lit(1)).cast("bigint")).cast("int")).drop("_pieces")
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), _pieces(size, rows_per_task) - 1)))
+    return left.join(right, [*keys, "_salt"]).drop("_salt")

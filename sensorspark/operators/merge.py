@@ -60,22 +60,27 @@ def _joined(items: Column, field: str) -> Column:
 
 
 def merge_duplicates(df: DataFrame, keys: Sequence[str] = KEYS, metrics: Sequence[str] | None = None,
-                     score: Column | None = None) -> DataFrame:
+                     score: Column | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Best row per key together with the lineage of all rows of the key.
 
-    `score` replaces the plain number of non-null metrics.
+    `score` replaces the plain number of non-null metrics; `ties` order rows that
+    agree in score, path and sheet.
 
     Two aggregations instead of a ranking window and a join: rows of the same
     (key, lineage) collapse first, which is salted by the lineage itself, then
     the few distinct lineages of a key are put in order.
     """
     metrics = metric_columns(df) if metrics is None else list(metrics)
-    described = [c for c in K.DESCRIPTION_COLUMNS if c in df.columns]
-    lineage = [c for c in K.LINEAGE_COLUMNS if c in df.columns]
-    payload = [*metrics, *described]
+    payload = [*metrics, *[c for c in K.DESCRIPTION_COLUMNS if c in df.columns]]
     if score is None:
         score = non_null_score(*[F.col(c) for c in metrics])
-    row = F.struct(_quality(score).alias("_quality"), *[F.col(c) for c in payload])
+    return _merged(df, keys, payload, score, ties)
+
+
+def _merged(df: DataFrame, keys: Sequence[str], payload: Sequence[str], score: Column,
+            ties: Sequence[str] = ()) -> DataFrame:
+    lineage = [c for c in K.LINEAGE_COLUMNS if c in df.columns]
+    row = F.struct(_quality(score).alias("_quality"), *[F.col(c) for c in dict.fromkeys([*ties, *payload])])
     per_source = df.groupBy(*keys, *lineage).agg(
         F.min(row).alias("_best"), F.count(F.lit(1)).alias("_rows"))
     source = F.struct(F.col("_best")["_quality"].alias("_quality"), *[F.col(c) for c in lineage])
@@ -110,7 +115,8 @@ def merge_duplicates(df: DataFrame, keys: Sequence[str] = KEYS, metrics: Sequenc
 
 def duplicate_summary(df: DataFrame, keys: Sequence[str] = KEYS, metrics: Sequence[str] | None = None) -> DataFrame:
     """Row count, file count and joined lineage per key."""
-    merged = merge_duplicates(df, keys, metrics)
+    metrics = metric_columns(df) if metrics is None else list(metrics)
+    merged = _merged(df, keys, (), non_null_score(*[F.col(c) for c in metrics]))
     lineage = [c for c in K.LINEAGE_COLUMNS if c in df.columns]
     return merged.select(*keys, "source_row_count", "source_file_count", *lineage)
 

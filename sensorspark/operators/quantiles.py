@@ -1,7 +1,7 @@
 """Exact quantiles of many columns without holding a column in one task.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer. That is used here only while the table is known to be small. Larger
+buffer. That is used here only while rows times columns are known to be few. Larger
 tables are searched by counting: each pass splits the current value range of
 every wanted rank into equal slices, counts the rows per slice (map-side, at
 most SLICES counters per rank) and keeps the slice the rank falls into, until
@@ -16,13 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 2_000_000
+SMALL_VALUES = 2_000_000
 SLICES = 2048
 READABLE_ROWS = 100_000
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], exact: bool = True,
-              small_rows: int = SMALL_ROWS, accuracy: int = 10_000) -> dict[str, list[float | None]]:
+              small_values: int = SMALL_VALUES, accuracy: int = 10_000) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column, NULLs left out; None for a column without values."""
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     if not columns:
@@ -35,7 +35,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
                 for i, c in enumerate(columns)}
     sketch = df.agg(
         F.count(F.lit(1)), *[f(c) for c in columns for f in (F.count, F.min, F.max)]).first()
-    if sketch[0] <= small_rows:
+    if sketch[0] * len(columns) <= small_values:
         return _small(df, columns, probabilities)
     return _large(df, columns, probabilities, list(sketch)[1:])
 
@@ -85,30 +85,37 @@ def _between(found: dict, column: str, place: float) -> float:
     return low + (high - low) * (place - math.floor(place))
 
 
-def _in_range(df: DataFrame, ranks: list[_Rank]) -> DataFrame:
-    """Long form (rank id, value) of the values inside the range of each rank."""
+_Range = tuple[str, float, float]
+
+
+def _ranges(ranks: list[_Rank]) -> list[_Range]:
+    """Distinct value ranges; neighbouring ranks mostly share one."""
+    return list(dict.fromkeys((r.column, r.low, r.high) for r in ranks))
+
+
+def _in_range(df: DataFrame, ranges: list[_Range]) -> DataFrame:
+    """Long form (range id, value) of the values inside each range."""
     entries = [
-        F.when(F.col(f"`{r.column}`").between(r.low, r.high),
-               F.struct(F.lit(i).alias("id"), F.col(f"`{r.column}`").cast("double").alias("v")))
-        for i, r in enumerate(ranks)
+        F.when(F.col(f"`{c}`").between(low, high),
+               F.struct(F.lit(i).alias("id"), F.col(f"`{c}`").cast("double").alias("v")))
+        for i, (c, low, high) in enumerate(ranges)
     ]
     return df.select(F.inline(F.array_compact(F.array(*entries))))
 
 
 def _narrow(df: DataFrame, ranks: list[_Rank]) -> None:
-    lows = F.array(*[F.lit(r.low) for r in ranks])
-    widths = F.array(*[F.lit((r.high - r.low) / SLICES) for r in ranks])
+    ranges = _ranges(ranks)
+    lows = F.array(*[F.lit(low) for _, low, _ in ranges])
+    widths = F.array(*[F.lit((high - low) / SLICES) for _, low, high in ranges])
     at = F.col("id") + 1
     slot = F.floor((F.col("v") - F.element_at(lows, at)) / F.element_at(widths, at)).cast("bigint")
-    counted = _in_range(df, ranks).groupBy("id", F.least(slot, F.lit(SLICES - 1)).alias("slot")).agg(
+    counted = _in_range(df, ranges).groupBy("id", F.least(slot, F.lit(SLICES - 1)).alias("slot")).agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # At most SLICES rows per wanted rank reach the driver.
-    slices: dict[int, list] = {}
-    for row in counted.collect():
-        slices.setdefault(row["id"], []).append(row)
-    for i, r in enumerate(ranks):
+    # At most SLICES rows per range reach the driver.
+    slices = _by_range(counted, "slot")
+    for r in ranks:
         seen = r.below
-        for row in sorted(slices[i], key=lambda s: s["slot"]):
+        for row in slices[ranges.index((r.column, r.low, r.high))]:
             if r.rank < seen + row["n"]:
                 r.below, r.low, r.high, r.rows = seen, row["lo"], row["hi"], row["n"]
                 r.value = r.low if r.low == r.high else None
@@ -118,13 +125,20 @@ def _narrow(df: DataFrame, ranks: list[_Rank]) -> None:
 
 def _read(df: DataFrame, ranks: list[_Rank]) -> None:
     """Values of the last slices; their total is at most READABLE_ROWS."""
-    values: dict[int, list] = {}
-    for row in _in_range(df, ranks).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")).collect():
-        values.setdefault(row["id"], []).append(row)
-    for i, r in enumerate(ranks):
+    ranges = _ranges(ranks)
+    counted = _in_range(df, ranges).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+    values = _by_range(counted, "v")
+    for r in ranks:
         seen = r.below
-        for row in sorted(values[i], key=lambda s: s["v"]):
+        for row in values[ranges.index((r.column, r.low, r.high))]:
             seen += row["n"]
             if r.rank < seen:
                 r.value = row["v"]
                 break
+
+
+def _by_range(counted: DataFrame, order: str) -> dict[int, list]:
+    out: dict[int, list] = {}
+    for row in counted.collect():
+        out.setdefault(row["id"], []).append(row)
+    return {i: sorted(rows, key=lambda row: row[order]) for i, rows in out.items()}

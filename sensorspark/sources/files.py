@@ -133,15 +133,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
                 mode: str = "overwrite") -> None:
     """Write a table as parquet, CSV (with header) or JSON.
 
-    Partitioned tables are first clustered by the partition columns and a time
-    bucket, so a big station is written by many tasks and no task writes to
-    every folder.
+    Partitioned tables are first clustered by the partition columns, so no task
+    writes to every folder. REBALANCE lets adaptive execution split the share of
+    a big station over many tasks.
     """
     if partition_by:
-        keys = [F.col(c) for c in partition_by]
-        if "date_time" in df.columns:
-            keys.append(F.date_trunc("MONTH", "date_time"))
-        df = df.repartition(*keys)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")

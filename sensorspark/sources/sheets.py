@@ -53,11 +53,12 @@ def sheet_headers(cells: DataFrame) -> DataFrame:
     heads = rows.groupBy(*SHEET).agg(
         F.min(F.when(found, F.struct("row_idx", "cells"))).alias("_head"),
         meta(0).alias("station_name"), meta(2).alias("report_type"), meta(3).alias("time_base"),
+        F.count(F.lit(1)).alias("sheet_rows"),
     )
     return heads.select(
         *SHEET, F.col("_head")["row_idx"].alias("header_row"), F.col("_head")["cells"].alias("header_cells"),
         number_repeats(F.transform(F.col("_head")["cells"], normalize_header)).alias("names"),
-        "station_name", "report_type", "time_base",
+        "station_name", "report_type", "time_base", "sheet_rows",
     )
 
 
@@ -101,7 +102,7 @@ def load_sheets(cells: DataFrame, headers: DataFrame | None = None, root: str =
     headers = sheet_headers(cells) if headers is None else headers
     usable = headers.where(F.col("header_row").isNotNull() & F.array_contains("names", "date_time"))
     rows = salted_lookup(day_sheets(cells).select(*SHEET, "row_idx", "cells"),
-                         usable.drop("header_cells"), SHEET)
+                         usable.drop("header_cells"), SHEET, "sheet_rows")
     # The row below the header holds units.
     data = rows.where(F.col("row_idx") >= F.col("header_row") + 2)
     picked = data.where(F.exists("cells", lambda c: c.isNotNull()))

@@ -137,7 +137,8 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, output_mode: str
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """Parquet files as a stream. The pattern also takes a path that is a single file."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(path)
+    return reader.parquet(f"{path.rstrip('/')}*")
