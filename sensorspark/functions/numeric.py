@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from sensorspark import constants as K
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Keeps out type suffixes (1d), hexadecimal and names of non-finite numbers, which a cast accepts.
+_NUMBER_CHARACTERS = r"^[-+.0-9eE]+$"
 
 
 def finite(col: Column) -> Column:
     """NaN and infinities become NULL."""
-    bad = F.isnan(col) | (F.abs(col) == F.lit(float("inf")))
-    return F.when(~bad, col)
+    return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
 def to_double(col: Column) -> Column:
     """Double from text or number; anything that is not a finite number becomes NULL."""
     text = F.trim(col.cast("string"))
-    return finite(F.when(text.rlike(_NUMBER), text.try_cast("double")))
+    return finite(F.when(text.rlike(_NUMBER_CHARACTERS), text.try_cast("double")))
 
 
 def to_double_or_zero(col: Column) -> Column:

@@ -35,28 +35,35 @@ def slug(col: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(col), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def normalize_header(col: Column) -> Column:
-    """Canonical sensor name of a header cell; unknown headers stay as snake case, blanks NULL.
+def canonical_header(col: Column) -> Column:
+    """Canonical sensor name of a header cell; unknown headers stay as snake case, blanks are empty.
 
     A canonical name matches when it is the whole header, is followed by an
     underscore, or is followed by letters and underscores only. Alternation is
     ordered, so the first canonical name that fits wins.
     """
-    text = snake_case(F.nullif(strip(col), F.lit("")))
+    text = snake_case(col)
     for old, new in (("date_and_time", "date_time"), ("date_time_stamp", "date_time"),
                      ("pm_10", "pm10"), ("pm_2_5", "pm2_5")):
         text = F.replace(text, F.lit(old), F.lit(new))
     names = "|".join(K.CANONICAL_NAMES)
-    return F.nullif(
-        F.regexp_replace(text, f"^({names})(?:_.*|[a-z_]*[a-z][a-z_]*)$", "$1"), F.lit("")
-    )
+    return F.regexp_replace(text, f"^({names})(?:_.*|[a-z_]*[a-z][a-z_]*)$", "$1")
+
+
+def normalize_header(col: Column) -> Column:
+    """Same, blanks NULL."""
+    return F.nullif(canonical_header(col), F.lit(""))
 
 
 def number_repeats(names: Column) -> Column:
-    """Second, third... equal entries of a name array get `_2`, `_3`; NULL entries stay NULL."""
+    """Second, third... equal entries of a name array get `_2`, `_3`; empty entries become NULL.
+
+    Pass a stored column: the entries are compared with each other.
+    """
     def numbered(name, pos):
         seen = F.size(F.filter(F.slice(names, F.lit(1), pos + 1), lambda other: other == name))
-        return F.when(seen > 1, F.concat(name, F.lit("_"), seen.cast("string"))).otherwise(name)
+        return F.when(name == "", F.lit(None)).when(
+            seen > 1, F.concat(name, F.lit("_"), seen.cast("string"))).otherwise(name)
 
     return F.transform(names, numbered)
 
@@ -151,5 +158,4 @@ def is_workbook(path: Column) -> Column:
 
 def is_day_sheet(sheet: Column) -> Column:
     """Sheets named 1 to 31, also when the name was stored as `7.0`."""
-    text = F.regexp_replace(strip(sheet), r"\.0$", "")
-    return F.when(text.rlike(r"^\d{1,2}$"), text.try_cast("int").between(1, 31)).otherwise(F.lit(False))
+    return F.coalesce(sheet.rlike(r"^\s*(0?[1-9]|[12]\d|3[01])(\.0)?\s*$"), F.lit(False))

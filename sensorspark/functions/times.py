@@ -59,51 +59,45 @@ def from_serial(days: Column) -> Column:
     )
 
 
-# Each shape is (pattern, replacement that spells it as yyyy-m-d h:m:s).
+# Each shape is (pattern, replacement that spells it as y-m-d h:m:s). A spelled
+# text fits none of the day-first patterns again, so shapes can be applied in a row.
 _TIME = r"(?:[\sT]+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?))"
-_DAY_FIRST = (rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$3-$1 $5")
-_YEAR_FIRST = (rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}$", "$1-$2-$3 $4")
-_EXTRA_SHAPES = (
-    (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}}){_TIME}?$", "$3-$2-$1 $4"),
-    (rf"^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}}){_TIME}?$", "$1-$2-$3 $4"),
-    (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.]([0-6]\d|7[0-5]){_TIME}?$", "20$3-$2-$1 $4"),
-    (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](7[6-9]|[89]\d){_TIME}?$", "19$3-$2-$1 $4"),
-)
+_YEAR_FIRST = (rf"^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}}){_TIME}?$", "$1-$2-$3 $4")
+_DAY_FIRST = (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}}){_TIME}?$", "$3-$2-$1 $4")
 _MONTH_FIRST = (rf"^(\d{{1,2}})[-/](\d{{1,2}})[-/](\d{{4}}){_TIME}?$", "$3-$1-$2 $4")
+_SHORT_YEAR_20 = (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.]([0-6]\d|7[0-5]){_TIME}?$", "20$3-$2-$1 $4")
+_SHORT_YEAR_19 = (rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](7[6-9]|[89]\d){_TIME}?$", "19$3-$2-$1 $4")
+_NO_SECONDS = (r"^(\S+ \d{1,2}:\d{1,2})$", "$1:00")
+_SPELLED = r"^\d{4}-\d{1,2}-\d{1,2} ?(\d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?)?$"
 
 
-def _by_shape(text: Column, shape: tuple[str, str]) -> Column:
-    pattern, spelled = shape
-    fixed = F.regexp_replace(text, pattern, spelled)
-    # A time without seconds needs them for the cast.
-    fixed = F.regexp_replace(F.trim(fixed), r"^(\S+ \d{1,2}:\d{1,2})$", "$1:00")
-    return F.when(text.rlike(pattern), fixed.try_cast("timestamp_ntz"))
+def _from_shapes(text: Column, *shapes: tuple[str, str]) -> Column:
+    """Timestamp of a text in one of the shapes. The cast is zone-free and rejects days like 31-02."""
+    out = text
+    for pattern, spelled in (*shapes, _NO_SECONDS):
+        out = F.regexp_replace(out, pattern, spelled)
+    return F.when(out.rlike(_SPELLED), F.trim(out).try_cast("timestamp_ntz"))
 
 
 def parse_datetime(col: Column) -> Column:
     """Date cell of a workbook: serial number, then the known layouts, then other day-first ones.
 
     Text that looks like a number is a serial number before anything else. The
-    extra day-first layouts are a finite list: date only, dots or mixed
-    separators, `T`, fractions of a second, two-digit years.
+    known layouts are d-m-y and d/m/y with or without seconds and ISO. The extra
+    day-first ones are a finite list: date only, dots or mixed separators, `T`,
+    fractions of a second, two-digit years.
     """
     text = strip(col)
     return F.coalesce(
         from_serial(to_double(text)),
-        _by_shape(text, _DAY_FIRST),
-        _by_shape(text, _YEAR_FIRST),
-        *[_by_shape(text, shape) for shape in _EXTRA_SHAPES],
+        _from_shapes(text, _YEAR_FIRST, _DAY_FIRST, _SHORT_YEAR_20, _SHORT_YEAR_19),
     )
 
 
 def coerce_datetime(col: Column) -> Column:
     """Lenient conversion of stored timestamps: ISO text, then month-first, then day-first."""
     text = strip(col)
-    return F.coalesce(
-        _by_shape(text, _EXTRA_SHAPES[1]),
-        _by_shape(text, _MONTH_FIRST),
-        _by_shape(text, _EXTRA_SHAPES[0]),
-    )
+    return F.coalesce(_from_shapes(text, _YEAR_FIRST, _MONTH_FIRST), _from_shapes(text, _DAY_FIRST))
 
 
 def request_time(col: Column) -> Column:

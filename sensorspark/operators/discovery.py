@@ -41,9 +41,11 @@ def kept_files(files: DataFrame, path: str = "path", content: str = "content") -
 def duplicate_files(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """Every file that repeats the content of a kept one, with the kept path as reason."""
     keyed = content_key(files, content).select("content_md5", path)
-    repeated = kept_files(files, path, content).where("copies > 1")
+    kept = kept_files(files, path, content)
+    repeated = kept.where("copies > 1").drop("copies")
+    sizes = kept.select("content_md5", F.col("copies").alias("rows"))
     return (
-        salted_lookup(keyed, repeated, ["content_md5"], "copies")
+        salted_lookup(keyed, repeated, ["content_md5"], sizes)
         .where(F.col(path) != F.col("kept_path"))
         .select(path, F.concat(F.lit("Exact duplicate of "), "kept_path").alias("reason"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorspark import constants as K
 from sensorspark.functions.numeric import to_double
 from sensorspark.functions.text import (
-    clean_text, file_name, granularity, is_day_sheet, normalize_header, number_repeats,
+    canonical_header, clean_text, granularity, is_day_sheet, number_repeats,
     parent_folder, year_from_path,
 )
 from sensorspark.functions.times import parse_datetime
@@ -30,44 +30,50 @@ def day_sheets(cells: DataFrame) -> DataFrame:
 
 
 def _is_header(cells: Column) -> Column:
-    names = F.transform(cells, normalize_header)
-    hits = F.size(F.filter(names, lambda n: n.isin(*K.CANONICAL_NAMES)))
-    text = F.lower(F.array_join(F.transform(cells, clean_text), " | "))
-    dated = F.array_contains(names, "date_time") | (F.contains(text, F.lit("date")) & F.contains(text, F.lit("time")))
-    return F.coalesce(dated, F.lit(False)) & (hits >= MIN_CANONICAL_HEADERS)
+    """Row that names a date and a time and at least four canonical columns.
+
+    The plain text test comes first; only rows that pass it run the header
+    expressions.
+    """
+    words = F.lower(F.array_join(cells, " | "))
+    dated = F.contains(words, F.lit("date")) & F.contains(words, F.lit("time"))
+    hits = F.size(F.filter(cells, lambda c: canonical_header(c).isin(*K.CANONICAL_NAMES)))
+    return F.when(dated, hits >= MIN_CANONICAL_HEADERS).otherwise(F.lit(False))
 
 
 def sheet_headers(cells: DataFrame) -> DataFrame:
     """One row per day sheet: header position, header texts, normalised names and sheet metadata.
 
-    A single aggregate over the cell rows; `header_row` is NULL when no header was found.
+    A single aggregate over the first rows of the sheets; `header_row` is NULL
+    when no header was found there.
     """
-    rows = day_sheets(cells)
-    top = F.col("row_idx") < HEADER_SEARCH_ROWS
-    # The regexes of the header test only run on the first rows of a sheet.
-    found = F.when(top, _is_header(F.col("cells"))).otherwise(F.lit(False))
+    top = day_sheets(cells).where(F.col("row_idx") < HEADER_SEARCH_ROWS)
 
     def meta(row: int) -> Column:
-        return clean_text(F.max(F.when(F.col("row_idx") == row, F.get("cells", F.lit(1)))))
+        return F.max(F.when(F.col("row_idx") == row, F.get("cells", F.lit(1))))
 
-    heads = rows.groupBy(*SHEET).agg(
-        F.min(F.when(found, F.struct("row_idx", "cells"))).alias("_head"),
-        meta(0).alias("station_name"), meta(2).alias("report_type"), meta(3).alias("time_base"),
-        F.count(F.lit(1)).alias("sheet_rows"),
+    heads = top.groupBy(*SHEET).agg(
+        F.min(F.when(_is_header(F.col("cells")), F.struct("row_idx", "cells"))).alias("_head"),
+        meta(0).alias("_m0"), meta(2).alias("_m2"), meta(3).alias("_m3"),
     )
-    return heads.select(
+    named = heads.withColumn("_names", F.transform(F.col("_head")["cells"], canonical_header))
+    return named.select(
         *SHEET, F.col("_head")["row_idx"].alias("header_row"), F.col("_head")["cells"].alias("header_cells"),
-        number_repeats(F.transform(F.col("_head")["cells"], normalize_header)).alias("names"),
-        "station_name", "report_type", "time_base", "sheet_rows",
+        number_repeats(F.col("_names")).alias("names"),
+        *[clean_text(F.col(c)).alias(n) for c, n in (("_m0", "station_name"), ("_m2", "report_type"), ("_m3", "time_base"))],
     )
 
 
+def _has_time() -> Column:
+    """Header with a time column; on the header texts, so that a pushed-down filter stays cheap."""
+    return F.exists("header_cells", lambda c: canonical_header(c) == "date_time")
+
+
 def rejected_sheets(headers: DataFrame) -> DataFrame:
     """Sheets that cannot be read, with the reason."""
     reason = (
         F.when(F.col("header_row").isNull(), F.lit("Could not find the data header row."))
-        .when(~F.array_contains("names", "date_time"),
-              F.concat(F.lit("Sheet '"), "sheet", F.lit("' is missing a normalized date_time column.")))
+        .when(~_has_time(), F.concat(F.lit("Sheet '"), "sheet", F.lit("' is missing a normalized date_time column.")))
     )
     return headers.select(*SHEET, reason.alias("reason")).where(F.col("reason").isNotNull())
 
@@ -87,33 +93,40 @@ def column_occurrences(headers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("sheets"))
 
 
+def _layout(headers: DataFrame) -> DataFrame:
+    """Position of every canonical name, and name and position of all others, per sheet."""
+    at = {n: F.nullif(F.array_position("names", F.lit(n)), F.lit(0)).cast("int") - 1 for n in K.CANONICAL_NAMES}
+    others = F.filter(
+        F.transform("names", lambda n, i: F.struct(n.alias("name"), i.alias("at"))),
+        lambda e: e["name"].isNotNull() & ~e["name"].isin(*K.CANONICAL_NAMES)
+        # A generated name like x_2 may repeat a real one: the first column counts.
+        & (F.array_position("names", e["name"]) == e["at"] + 1),
+    )
+    return headers.select(
+        *SHEET, "header_row", "station_name", "report_type", "time_base",
+        *[c.alias(f"_at_{n}") for n, c in at.items()], others.alias("_others"))
+
+
 def _cell(name: str) -> Column:
-    """Cell below the header `name`."""
-    return F.get("cells", (F.array_position("names", F.lit(name)) - 1).cast("int"))
+    """Cell below the header `name`; NULL where the sheet has no such column."""
+    return F.get("cells", F.col(f"_at_{name}"))
 
 
 def load_sheets(cells: DataFrame, headers: DataFrame | None = None, root: str = "") -> DataFrame:
     """Typed readings of all readable day sheets with their lineage.
 
-    The names of the header row travel to the data rows, where the cells are
-    picked by position; there is no pivot and so no second shuffle. Headers
-    outside the canonical list go to the `extra` map.
+    The layout of the sheet travels to the data rows, where the cells are picked
+    by position; there is no pivot and so no second shuffle. Headers outside the
+    canonical list go to the `extra` map.
     """
     headers = sheet_headers(cells) if headers is None else headers
-    usable = headers.where(F.col("header_row").isNotNull() & F.array_contains("names", "date_time"))
-    rows = salted_lookup(day_sheets(cells).select(*SHEET, "row_idx", "cells"),
-                         usable.drop("header_cells"), SHEET, "sheet_rows")
+    usable = headers.where(F.col("header_row").isNotNull() & _has_time())
+    rows = salted_lookup(day_sheets(cells).select(*SHEET, "row_idx", "cells"), _layout(usable), SHEET)
     # The row below the header holds units.
-    data = rows.where(F.col("row_idx") >= F.col("header_row") + 2)
-    picked = data.where(F.exists("cells", lambda c: c.isNotNull()))
-    dated = picked.withColumn("date_time", parse_datetime(_cell("date_time"))).where(F.col("date_time").isNotNull())
-    named = F.filter(
-        F.arrays_zip(F.col("names").alias("name"), F.col("cells").alias("cell")),
-        lambda e: e["name"].isNotNull() & ~e["name"].isin(*K.CANONICAL_NAMES),
-    )
-    first_only = F.filter(named, lambda e, i: F.array_position(
-        F.transform(named, lambda o: o["name"]), e["name"]) == i + 1)
-    extra = F.map_from_entries(F.transform(first_only, lambda e: F.struct(e["name"], to_double(e["cell"]))))
+    data = rows.where((F.col("row_idx") >= F.col("header_row") + 2) & F.exists("cells", lambda c: c.isNotNull()))
+    dated = data.withColumn("date_time", parse_datetime(_cell("date_time"))).where(F.col("date_time").isNotNull())
+    extra = F.map_from_entries(F.transform(
+        "_others", lambda e: F.struct(e["name"], to_double(F.get(F.col("cells"), e["at"])))))
     relative = F.regexp_replace("path", "^" + _quoted(root.rstrip("/")) + "/+", "") if root else F.col("path")
     return dated.select(
         "region", "date_time",
