@@ -19,8 +19,14 @@ def ntz(text: str) -> Column:
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970-01-01 on the wall clock."""
-    return F.timestamp_diff("MICROSECOND", ntz("1970-01-01 00:00:00"), ts)
+    """Microseconds since 1970-01-01 on the wall clock.
+
+    Put together from date and clock parts: the difference of two timestamps
+    would go through the session zone.
+    """
+    clock = F.hour(ts) * F.lit(3600) + F.minute(ts) * F.lit(60)
+    second = (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("bigint")
+    return (F.unix_date(ts.cast("date")).cast("bigint") * F.lit(86_400) + clock) * F.lit(1_000_000) + second
 
 
 def from_micros(us: Column) -> Column:
