@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 from sensorspark import constants as K
 from sensorspark.functions.times import calendar_features, peak_features, cyclic_features, wind_vector
-from sensorspark.operators.series import guarded, over_series, previous_rows
-
-
-def add_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.withColumns(columns)
+from sensorspark.operators.series import enough, guarded, over_series, previous_rows
 
 
 def add_calendar(df: DataFrame, ts: str = "date_time") -> DataFrame:
@@ -33,17 +29,18 @@ def add_peaks(df: DataFrame, ts: str = "date_time") -> DataFrame:
 
 def lag_columns(window: WindowSpec, columns: Iterable[str], lags: Iterable[int]) -> dict[str, Column]:
     lags = list(lags)
-    return {f"{c}_lag_{k}": F.lag(F.col(c), k).over(window) for c in columns for k in lags}
+    return {f"{c}_lag_{k}": F.lag(c, k).over(window) for c in columns for k in lags}
 
 
 def rolling_columns(window: WindowSpec, columns: Iterable[str], windows: Iterable[int]) -> dict[str, Column]:
     """Mean and sample deviation of the previous w rows, from max(2, w // 2) readings on."""
     out, windows = {}, list(windows)
+    frames = {w: previous_rows(window, w) for w in windows}
     for c in columns:
-        for w in windows:
-            frame, least = previous_rows(window, w), max(2, w // 2)
-            out[f"{c}_roll_mean_{w}"] = guarded(F.avg(c), F.col(c), frame, least)
-            out[f"{c}_roll_std_{w}"] = guarded(F.stddev_samp(c), F.col(c), frame, least)
+        for w, frame in frames.items():
+            known = enough(c, frame, max(2, w // 2))
+            out[f"{c}_roll_mean_{w}"] = F.when(known, F.avg(c).over(frame))
+            out[f"{c}_roll_std_{w}"] = F.when(known, F.stddev_samp(c).over(frame))
     return out
 
 

@@ -52,9 +52,25 @@ class _Bounds(_Columns):
 
 
 class QuantileClipperModel(Model, _Bounds, DefaultParamsReadable, DefaultParamsWritable):
+    @classmethod
+    def of(cls, bounds: dict[str, tuple[float | None, float | None]]) -> "QuantileClipperModel":
+        return cls()._set(
+            inputCols=list(bounds),
+            lower=[-_OPEN if lo is None else lo for lo, _ in bounds.values()],
+            upper=[_OPEN if hi is None else hi for _, hi in bounds.values()])
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return _replace(dataset, {
-            c: clip(F.col(f"`{c}`").cast("double"), lo, hi) for c, (lo, hi) in self.bounds().items()})
+        bounds = self.bounds()
+
+        def limited(c: str) -> str:
+            value = f"CAST(`{c}` AS DOUBLE)"
+            lo, hi = bounds[c]
+            out = value if lo is None else f"greatest({value}, {lo!r}D)"
+            out = out if hi is None else f"least({out}, {hi!r}D)"
+            return f"CASE WHEN `{c}` IS NOT NULL THEN {out} END AS `{c}`"
+
+        # SQL text, as hundreds of columns are built in one call.
+        return dataset.selectExpr(*[limited(c) if c in bounds else f"`{c}`" for c in dataset.columns])
 
 
 class QuantileClipper(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
@@ -70,26 +86,28 @@ class QuantileClipper(Estimator, _Columns, DefaultParamsReadable, DefaultParamsW
     def _fit(self, dataset: DataFrame) -> QuantileClipperModel:
         probabilities = [self.getOrDefault(self.lowerQuantile), self.getOrDefault(self.upperQuantile)]
         found = quantiles(dataset, self.columns(), probabilities, self.getOrDefault(self.exact))
-        pairs = [found[c] for c in self.columns()]
-        return QuantileClipperModel()._set(
-            inputCols=self.columns(),
-            lower=[-_OPEN if lo is None else lo for lo, _ in pairs],
-            upper=[_OPEN if hi is None else hi for _, hi in pairs])
+        return QuantileClipperModel.of({c: tuple(found[c]) for c in self.columns()})
 
 
 class MedianImputerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     medians = Param(Params._dummy(), "medians", "fill values", TypeConverters.toListFloat)
     indicatorCols = Param(Params._dummy(), "indicatorCols", "columns with an indicator", TypeConverters.toListString)
 
+    @classmethod
+    def of(cls, medians: dict[str, float | None], flagged: Sequence[str]) -> "MedianImputerModel":
+        return cls()._set(inputCols=list(medians), indicatorCols=list(flagged),
+                          medians=[0.0 if m is None else m for m in medians.values()])
+
     def output_columns(self) -> list[str]:
         return [*self.columns(), *[indicator_name(c) for c in self.getOrDefault(self.indicatorCols)]]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(m))
-                  for c, m in zip(self.columns(), self.getOrDefault(self.medians))}
-        flags = {indicator_name(c): F.col(f"`{c}`").isNull().cast("double")
-                 for c in self.getOrDefault(self.indicatorCols)}
-        return _replace(dataset, {**filled, **flags})
+        medians = dict(zip(self.columns(), self.getOrDefault(self.medians)))
+        filled = [f"coalesce(CAST(`{c}` AS DOUBLE), {medians[c]!r}D) AS `{c}`" if c in medians else f"`{c}`"
+                  for c in dataset.columns]
+        flags = [f"CAST(`{c}` IS NULL AS DOUBLE) AS `{indicator_name(c)}`"
+                 for c in self.getOrDefault(self.indicatorCols)]
+        return dataset.selectExpr(*filled, *flags)
 
 
 class MedianImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
@@ -108,9 +126,7 @@ class MedianImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
         if self.getOrDefault(self.addIndicator) and columns:
             gaps = dataset.agg(*[F.count_if(F.col(f"`{c}`").isNull()) for c in columns]).first()
             flagged = [c for c, n in zip(columns, gaps) if n]
-        return MedianImputerModel()._set(
-            inputCols=columns, indicatorCols=flagged,
-            medians=[0.0 if found[c][0] is None else found[c][0] for c in columns])
+        return MedianImputerModel.of({c: found[c][0] for c in columns}, flagged)
 
 
 def indicator_name(column: str) -> str:

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from sensorspark import constants as K
 from sensorspark.operators import evaluate, features, grid, split
-from sensorspark.operators.fitted import MedianImputer, QuantileClipper, TargetTransformer, TargetTransformerModel
+from sensorspark.operators.fitted import (
+    MedianImputerModel, QuantileClipperModel, TargetTransformer, TargetTransformerModel,
+)
 from sensorspark.operators.quantiles import quantiles
 from sensorspark.operators.series import over_series
 from sensorspark.plans.shared import materialize
@@ -107,15 +109,20 @@ def estimator(family: str, config: ForecastConfig):
 
 
 def preprocessing(columns: Sequence[str], train: DataFrame, config: ForecastConfig) -> PipelineModel:
-    """Clip, fill, assemble; fitted on the training rows."""
-    stages, data = [], train
+    """Clip, fill, assemble; fitted on the training rows.
+
+    All bounds and medians come from one search. Clipping keeps the order of
+    values, so the median of clipped values is the clipped median.
+    """
+    columns = list(columns)
+    low, high = config.feature_clip or (0.0, 1.0)
+    found = quantiles(train, columns, [low, 0.5, high], config.exact_quantiles)
+    counts = train.agg(F.count(F.lit(1)), *[F.count(F.col(f"`{c}`")) for c in columns]).first()
+    stages = []
     if config.feature_clip:
-        low, high = config.feature_clip
-        clipper = QuantileClipper(inputCols=list(columns), lowerQuantile=low, upperQuantile=high,
-                                  exact=config.exact_quantiles).fit(data)
-        stages.append(clipper)
-        data = clipper.transform(data)
-    imputer = MedianImputer(inputCols=list(columns), exact=config.exact_quantiles).fit(data)
+        stages.append(QuantileClipperModel.of({c: (found[c][0], found[c][2]) for c in columns}))
+    imputer = MedianImputerModel.of(
+        {c: found[c][1] for c in columns}, [c for c, n in zip(columns, counts[1:]) if n < counts[0]])
     stages += [imputer, VectorAssembler(inputCols=imputer.output_columns(), outputCol=FEATURES)]
     return PipelineModel(stages)
 

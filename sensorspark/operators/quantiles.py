@@ -33,16 +33,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         row = df.agg(*aggs).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities)
                 for i, c in enumerate(columns)}
-    sketch = df.agg(
-        F.count(F.lit(1)), *[f(c) for c in columns for f in (F.count, F.min, F.max)]).first()
-    if sketch[0] * len(columns) <= small_values:
+    if df.count() * len(columns) <= small_values:
         return _small(df, columns, probabilities)
-    return _large(df, columns, probabilities, list(sketch)[1:])
+    ends = df.agg(*[f(F.col(f"`{c}`")) for c in columns for f in (F.count, F.min, F.max)]).first()
+    return _large(df, columns, probabilities, list(ends))
 
 
 def _small(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    wanted = F.array(*[F.lit(p) for p in probabilities])
-    row = df.agg(*[F.percentile(F.col(f"`{c}`"), wanted).alias(str(i)) for i, c in enumerate(columns)]).first()
+    wanted = ", ".join(f"{p!r}D" for p in probabilities)
+    row = df.agg(*[F.expr(f"percentile(`{c}`, array({wanted}))") for c in columns]).first()
     return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities)
             for i, c in enumerate(columns)}
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from sensorspark.functions.times import micros
 
 ROWS_PER_CHUNK = 8192
-_CHUNK, _OWN = "_chunk", "_own"
+_CHUNK, _OWN, _NEW = "_chunk", "_own", "_new_"
 
 
 def _grid_chunks(df: DataFrame, ts: str, step: int, back: int, ahead: int, rows: int) -> DataFrame:
@@ -93,7 +93,7 @@ def _row_chunks(df: DataFrame, region: str, ts: str, bucket: int, back: int, ahe
     plan = _chunk_plan(df, region, ts, bucket, back, ahead, rows)
     marked = df.withColumn("_bucket", _bucket_of(ts, bucket))
     on = F.col(region).eqNullSafe(F.col("_r")) & F.col("_bucket").eqNullSafe(F.col("_b"))
-    return marked.join(plan, on).select(*[F.col(f"`{c}`") for c in df.columns], F.inline("_targets"))
+    return marked.join(plan, on).select("*", F.inline("_targets")).drop("_bucket", "_r", "_b", "_targets")
 
 
 def over_series(
@@ -125,10 +125,11 @@ def over_series(
     window = Window.partitionBy(region, _CHUNK).orderBy(*keys)
     added = build(window)
     # Columns of the same name are replaced by the window column.
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in added]
-    computed = cut.select(*kept, F.col(_OWN), *[c.alias(name) for name, c in added.items()])
-    order_out = [F.col(f"`{c}`") for c in df.columns] + [F.col(f"`{n}`") for n in added if n not in df.columns]
-    return computed.where(_OWN).select(*order_out)
+    base = cut.select("*", *[c.alias(_NEW + name) for name, c in added.items()]).where(_OWN)
+    if region == "_all":
+        base = base.drop(region)
+    base = base.drop(_CHUNK, _OWN, *[name for name in added if name in df.columns])
+    return base.withColumnsRenamed({_NEW + name: name for name in added})
 
 
 def previous_rows(window: WindowSpec, size: int) -> WindowSpec:
@@ -136,6 +137,11 @@ def previous_rows(window: WindowSpec, size: int) -> WindowSpec:
     return window.rowsBetween(-size, -1)
 
 
+def enough(col: Column | str, frame: WindowSpec, minimum: int) -> Column:
+    """Does the frame hold that many non-null readings?"""
+    return F.count(col).over(frame) >= minimum
+
+
 def guarded(value: Column, col: Column, frame: WindowSpec, minimum: int) -> Column:
     """Window aggregate, only where the frame holds enough non-null readings."""
-    return F.when(F.count(col).over(frame) >= minimum, value.over(frame))
+    return F.when(enough(col, frame, minimum), value.over(frame))

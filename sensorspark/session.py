@@ -15,6 +15,9 @@ def build_session(master: str | None = None, app: str = "sensorspark", **setting
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Generated methods above this size are never compiled to machine code. Wide feature
+        # selects then run as several smaller methods instead of one interpreted one.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

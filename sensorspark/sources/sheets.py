@@ -124,7 +124,10 @@ def load_sheets(cells: DataFrame, headers: DataFrame | None = None, root: str =
     rows = salted_lookup(day_sheets(cells).select(*SHEET, "row_idx", "cells"), _layout(usable), SHEET)
     # The row below the header holds units.
     data = rows.where((F.col("row_idx") >= F.col("header_row") + 2) & F.exists("cells", lambda c: c.isNotNull()))
-    dated = data.withColumn("date_time", parse_datetime(_cell("date_time"))).where(F.col("date_time").isNotNull())
+    # Unnesting a filtered one-entry array drops undated rows and parses once; a
+    # filter on the parsed column would be pushed down and parse a second time.
+    parsed = F.filter(F.array(parse_datetime(_cell("date_time"))), lambda t: t.isNotNull())
+    dated = data.select("*", F.explode(parsed).alias("date_time"))
     extra = F.map_from_entries(F.transform(
         "_others", lambda e: F.struct(e["name"], to_double(F.get(F.col("cells"), e["at"])))))
     relative = F.regexp_replace("path", "^" + _quoted(root.rstrip("/")) + "/+", "") if root else F.col("path")
