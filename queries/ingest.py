@@ -8,6 +8,7 @@ from queries.common import EV, RAW, RH, event_readings, query, raw_readings, rea
 from sensorspark.functions.numeric import non_null_score
 from sensorspark.operators import discovery, evaluate, merge
 from sensorspark.plans import flows
+from sensorspark.plans.shared import materialize
 from sensorspark.sources import sheets
 
 # --- files -----------------------------------------------------------------
@@ -17,9 +18,11 @@ kept AS (SELECT content_md5, arg_min(path, lower(path)) AS kept_path, count(*) A
 
 
 def _files(spark, folder):
-    return table(spark, folder, "documents").select(
+    """Paths and digests of all documents, stored once so that the texts are read a single time."""
+    files = table(spark, folder, "documents").select(
         F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".xlsx")).alias("path"),
         F.col("text").alias("content"))
+    return materialize(discovery.content_key(files).select("path", "content_md5"), "digests")
 
 
 @query("content_dedupe", with_views(_FILES, tail="""

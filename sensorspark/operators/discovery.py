@@ -39,7 +39,11 @@ def kept_files(files: DataFrame, path: str = "path", content: str = "content") -
 
 
 def duplicate_files(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """Every file that repeats the content of a kept one, with the kept path as reason."""
+    """Every file that repeats the content of a kept one, with the kept path as reason.
+
+    The table is read three times; hand in stored digests (`content_key`) so that
+    contents are read once.
+    """
     keyed = content_key(files, content).select("content_md5", path)
     kept = kept_files(files, path, content)
     repeated = kept.where("copies > 1").drop("copies")

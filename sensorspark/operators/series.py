@@ -54,35 +54,38 @@ def _chunk_plan(df: DataFrame, region: str, ts: str, bucket: int, back: int, ahe
         df.groupBy(F.col(region).alias("_r"), _bucket_of(ts, bucket).alias("_b"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    # Frames below hold one row per region and bucket of time, never data rows.
-    line = Window.partitionBy("_r").orderBy(F.col("_b").asc_nulls_last())
-    upto = F.sum("_n").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    spans = counts.select(
-        "_r", "_b", (upto - F.col("_n")).alias("_start"), upto.alias("_end"),
-    ).withColumn("_c", F.floor(F.col("_start") / rows).cast("bigint"))
+    # The frames below hold one row per region and bucket of time, never data rows.
+    up = Window.partitionBy("_r").orderBy(F.col("_b").asc_nulls_last())
+    down = Window.partitionBy("_r").orderBy(F.col("_b").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = up.rowsBetween(Window.unboundedPreceding, 0)
+    spans = counts.withColumn("_end", F.sum("_n").over(so_far)).withColumn("_start", F.col("_end") - F.col("_n"))
+    spans = spans.withColumn("_c", F.floor(F.col("_start") / rows).cast("bigint"))
+    # First bucket of each chunk; chunk numbers may skip, so neighbours are looked up.
+    spans = spans.withColumn("_opens", ~F.col("_c").eqNullSafe(F.lag("_c").over(up)))
+
+    def opening(column: Column | str, window: WindowSpec) -> Column:
+        return F.last(F.when(F.col("_opens"), column), True).over(window)
+
     targets = [F.struct(F.col("_c").alias(_CHUNK), F.lit(True).alias(_OWN))]
-    # A chunk spans at least one row and two chunks span at least `rows`, so a
-    # bucket can reach the next two chunks and the two before it, not further.
-    chunks = spans.groupBy("_r", "_c").agg(F.min("_start").alias("_from"), F.max("_end").alias("_to"))
-    order = Window.partitionBy("_r").orderBy("_c")
-    near = chunks
-    for k in (1, 2):
-        if back:
-            near = near.withColumn(f"_next{k}", F.lead("_c", k).over(order)) \
-                       .withColumn(f"_next{k}_from", F.lead("_from", k).over(order))
-        if ahead:
-            near = near.withColumn(f"_prev{k}", F.lag("_c", k).over(order)) \
-                       .withColumn(f"_prev{k}_to", F.lag("_to", k).over(order))
-    for k in (1, 2):
-        if back:
-            gap = F.col(f"_next{k}_from") - F.col("_end")
-            targets.append(F.when(gap < back, F.struct(F.col(f"_next{k}").alias(_CHUNK), F.lit(False).alias(_OWN))))
-        if ahead:
-            gap = F.col("_start") - F.col(f"_prev{k}_to")
-            targets.append(F.when(gap < ahead, F.struct(F.col(f"_prev{k}").alias(_CHUNK), F.lit(False).alias(_OWN))))
-    near = near.withColumnRenamed("_r", "_r2").withColumnRenamed("_c", "_c2")
-    joined = spans.join(near, F.col("_r").eqNullSafe(F.col("_r2")) & (F.col("_c") == F.col("_c2")))
-    return joined.select("_r", "_b", F.array_compact(F.array(*targets)).alias("_targets"))
+
+    def borrow(condition: Column, chunk: str) -> None:
+        targets.append(F.when(condition, F.struct(F.col(chunk).alias(_CHUNK), F.lit(False).alias(_OWN))))
+
+    # Two neighbouring chunks span more than `rows` rows, so a bucket can reach
+    # the next two chunks and the two before it, not further.
+    if back:
+        spans = spans.withColumns({"_next1": opening(F.col("_c"), down), "_from1": opening(F.col("_start"), down)})
+        spans = spans.withColumns({"_next2": opening(F.col("_next1"), down), "_from2": opening(F.col("_from1"), down)})
+        for k in (1, 2):
+            borrow(F.col(f"_from{k}") - F.col("_end") < back, f"_next{k}")
+    if ahead:
+        spans = spans.withColumns({"_before": F.lag("_c").over(up), "_to1": opening(F.col("_start"), so_far)})
+        spans = spans.withColumn("_prev1", opening(F.col("_before"), so_far))
+        spans = spans.withColumns({"_before2": F.lag("_prev1").over(up), "_to1_before": F.lag("_to1").over(up)})
+        spans = spans.withColumns({"_prev2": opening(F.col("_before2"), so_far), "_to2": opening(F.col("_to1_before"), so_far)})
+        for k in (1, 2):
+            borrow(F.col(f"_prev{k}").isNotNull() & (F.col("_start") - F.col(f"_to{k}") < ahead), f"_prev{k}")
+    return spans.select("_r", "_b", F.array_compact(F.array(*targets)).alias("_targets"))
 
 
 def _bucket_of(ts: str, seconds: int) -> Column:

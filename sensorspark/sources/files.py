@@ -65,6 +65,16 @@ def parse_root_spec(spec: str) -> tuple[str | None, str]:
     return region.strip().upper(), path.strip().strip('"')
 
 
+def child_roots(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Station folders directly below a raw folder, named by their paths."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)
+    paths = sorted(f.getPath().toUri().getPath() for f in found if f.isDirectory())
+    if not paths:
+        raise ValueError(f"no station folders below {folder}")
+    return {_region_of(path): path for path in paths}
+
+
 def region_files(spark: SparkSession, roots: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Workbooks of several station folders with the station of each.
 

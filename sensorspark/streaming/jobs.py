@@ -94,9 +94,20 @@ class RollingAlertJob:
     def _path(self, kind: str, batch_id: int) -> str:
         return f"{self.folder}/{kind}/batch={batch_id}"
 
-    def _exists(self, path: str) -> bool:
+    def _folder(self, path: str):
         location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(location)
+        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()), location
+
+    def _exists(self, path: str) -> bool:
+        files, location = self._folder(path)
+        return files.exists(location)
+
+    def _forget(self, batch_id: int) -> None:
+        """Drop working files that no repeat can ask for: a batch only runs once the one before is committed."""
+        for kind, number in (("rows", batch_id - 1), ("tail", batch_id - 2)):
+            if number >= 0:
+                files, location = self._folder(self._path(kind, number))
+                files.delete(location, True)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         columns = ["region", "date_time", *self.pollutants]
@@ -115,6 +126,7 @@ class RollingAlertJob:
         alerts.where("_fresh = 1").drop("_fresh").write.mode("overwrite").parquet(self._path("alerts", batch_id))
         last_rows(known, self.window, order=["_fresh"]).drop("_fresh") \
             .write.mode("overwrite").parquet(self._path("tail", batch_id))
+        self._forget(batch_id)
 
     def start(self, readings: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         return (

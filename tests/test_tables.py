@@ -158,6 +158,10 @@ def test_region_roots(spark, tmp_path):
                                        f"igkv={tmp_path}/late"])
     got = {r["region"]: r["path"].split("/")[-3].replace("%20", " ") for r in found.select("region", "path").collect()}
     assert got == {"OTHER_TOWN": "other town", "IGKV": "late", "SILTARA": "SILTARA DCR"}
+    children = files.child_roots(spark, str(tmp_path))
+    assert set(children) == {"OTHER_TOWN", "LATE", "SILTARA"} and children["LATE"].endswith("/late")
+    with pytest.raises(ValueError, match="no station folders"):
+        files.child_roots(spark, str(tmp_path / "late" / "2023"))
     assert files.parse_root_spec(' "C=/x" ')[0] == '"C' and files.parse_root_spec("/plain")[0] is None
 
 
