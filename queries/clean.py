@@ -213,11 +213,13 @@ def _cycle_sql(*names):
         s6(f"{f}(2 * pi() * {e} / {p})", f"{n}_{f}") for n, e, p in _CYCLES if n in names for f in ("sin", "cos"))
 
 
-@query("calendar_cyclic", with_views(EV, tail="""
-SELECT event_id, year(date_time) AS year, month(date_time) AS month, day(date_time) AS day, hour(date_time) AS hour,
+CALENDAR_SQL = """year(date_time) AS year, month(date_time) AS month, day(date_time) AS day, hour(date_time) AS hour,
   minute(date_time) AS minute, isodow(date_time) - 1 AS day_of_week, dayofyear(date_time) AS day_of_year,
-  weekofyear(date_time) AS week_of_year, CAST(isodow(date_time) >= 6 AS INT) AS is_weekend, """
-       + _cycle_sql("hour", "minute", "day_of_week", "month", "day_of_year") + " FROM ev"))
+  weekofyear(date_time) AS week_of_year, CAST(isodow(date_time) >= 6 AS INT) AS is_weekend, """ \
+    + _cycle_sql("hour", "minute", "day_of_week", "month", "day_of_year")
+
+
+@query("calendar_cyclic", with_views(EV, tail=f"SELECT event_id, {CALENDAR_SQL} FROM ev"))
 def calendar_cyclic(spark, folder):
     ev = event_readings(table(spark, folder, "events")).select("event_id", "date_time")
     out = features.add_calendar(ev).drop("date_time")

@@ -1,10 +1,14 @@
-"""Trained forecasters on the dense hourly readings. No SQL twin: checked by property tests."""
+"""Trained forecasters on the dense hourly readings. Fits have no SQL twin: property tests check them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.common import TRAIN_END, VALIDATION_END, query, r6, readings_dense, rounded
+from queries.clean import CALENDAR_SQL
+from queries.common import (
+    EV, SENSORS, TRAIN_END, VALIDATION_END, query, r6, readings_dense, rounded, s6, with_views,
+)
+from sensorspark import constants as K
 from sensorspark.operators import evaluate, models, split
 from sensorspark.plans import flows, reports
 from sensorspark.plans.shared import materialize
@@ -24,7 +28,42 @@ def _train(spark, folder, *families):
     return flows.train(readings_dense(spark, folder), config(*families))
 
 
-@query("model_frame")
+_DENSE = """readings_h AS (
+  SELECT region, date_trunc('hour', date_time) AS date_time, avg(value) AS pm2_5, avg(value * 2.5 + ws) AS pm10,
+         avg(ws * 4) AS so2, max(ws) AS temp, min(wd) / 3.6::DOUBLE AS hum, avg(ws) AS ws, avg(wd) AS wd
+  FROM ev GROUP BY 1, 2),
+spine AS (
+  SELECT region, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS date_time
+  FROM (SELECT region, min(date_time) AS a, max(date_time) AS b FROM readings_h GROUP BY 1)),
+grid AS (
+  SELECT spine.region, spine.date_time, CASE WHEN r.region IS NULL THEN 0 ELSE 1 END AS observed_row, r.* EXCLUDE (region, date_time)
+  FROM spine LEFT JOIN readings_h r ON spine.region = r.region AND spine.date_time = r.date_time),
+leads AS (
+  SELECT *, lead(observed_row) OVER w AS observed_future, """ + ", ".join(
+    f"lead({t}) OVER w AS target_{t}" for t in K.TARGETS) + """
+  FROM grid WINDOW w AS (PARTITION BY region ORDER BY date_time))"""
+
+
+def _frame_sql():
+    """Select list of the model frame, column for column."""
+    def rolled(c, w, f):
+        over = f"OVER (PARTITION BY region ORDER BY date_time ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        return s6(f"CASE WHEN count({c}) {over} >= {max(2, w // 2)} THEN {f}({c}) {over} END")
+
+    lags = [s6(f"lag({c}, {k}) OVER (PARTITION BY region ORDER BY date_time)", f"{c}_lag_{k}") for c in SENSORS for k in (1, 3, 24)]
+    rolls = [f"{rolled(c, w, f)} AS {c}_roll_{n}_{w}" for c in K.ROLLING_SENSORS for w in (3, 24)
+             for n, f in (("mean", "avg"), ("std", "stddev_samp"))]
+    hot = [f"CAST(region = '{r}' AS INT) AS region_{r}" for r in K.REGIONS]
+    usable = " AND ".join(["observed_row = 1", "observed_future = 1", *[f"target_{t} IS NOT NULL" for t in K.TARGETS]])
+    label = (f"CASE WHEN {usable} THEN CASE WHEN date_time <= TIMESTAMP '{TRAIN_END}' THEN 'train' "
+             f"WHEN date_time <= TIMESTAMP '{VALIDATION_END}' THEN 'validation' ELSE 'test' END END AS split")
+    wind = [s6("sin(radians(wd))", "wd_sin"), s6("cos(radians(wd))", "wd_cos")]
+    return ", ".join(["region", "date_time", "'hourly' AS granularity", *[s6(c, c) for c in SENSORS], "observed_row",
+                      *lags, *rolls, "observed_future", *[s6(f"target_{t}", f"target_{t}") for t in K.TARGETS],
+                      CALENDAR_SQL, *wind, *hot, label])
+
+
+@query("model_frame", with_views(EV, _DENSE, tail=f"SELECT {_frame_sql()} FROM leads"))
 def model_frame(spark, folder):
     base = split.base_load(readings_dense(spark, folder), "hourly", None)
     frame = models.model_frame(base, config("random_forest"))

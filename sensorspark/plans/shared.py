@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,9 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all nodes can reach")
-    folder = tempfile.mkdtemp(prefix="sensorspark-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="sensorspark-")
+    return _LOCAL_FOLDERS[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
