@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from sensorspark import constants as K
 _BLANK_ENDS = r"^\s+|\s+$"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once per row, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Remove white space of any kind at both ends."""
     return F.regexp_replace(col.cast("string"), _BLANK_ENDS, "")

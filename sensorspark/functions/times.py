@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorspark import constants as K
 from sensorspark.functions.numeric import to_double
-from sensorspark.functions.text import strip
+from sensorspark.functions.text import bound, strip
 
 _DAY_US = 86_400_000_000
 # Serial day numbers that stay inside the years 1677 to 2262.
@@ -18,43 +18,54 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def micros(ts: Column) -> Column:
-    """Microseconds since 1970-01-01 on the wall clock.
+def seconds(ts: Column) -> Column:
+    """Whole seconds since 1970-01-01 on the wall clock, rounded down.
 
     Put together from date and clock parts: the difference of two timestamps
     would go through the session zone.
     """
-    clock = F.hour(ts) * F.lit(3600) + F.minute(ts) * F.lit(60)
-    second = (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("bigint")
-    return (F.unix_date(ts.cast("date")).cast("bigint") * F.lit(86_400) + clock) * F.lit(1_000_000) + second
+    clock = F.hour(ts) * F.lit(3600) + F.minute(ts) * F.lit(60) + F.second(ts)
+    return F.unix_date(ts.cast("date")).cast("bigint") * F.lit(86_400) + clock
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 on the wall clock."""
+    part = F.extract(F.lit("SECOND"), ts) % F.lit(1)
+    return seconds(ts) * F.lit(1_000_000) + (part * F.lit(1_000_000)).cast("bigint")
+
+
+def from_seconds(count: Column) -> Column:
+    return F.timestamp_add("SECOND", count, ntz("1970-01-01 00:00:00"))
 
 
 def from_micros(us: Column) -> Column:
     return F.timestamp_add("MICROSECOND", us, ntz("1970-01-01 00:00:00"))
 
 
-def floor_to(ts: Column, seconds: int) -> Column:
-    us = micros(ts)
-    return from_micros(us - F.pmod(us, F.lit(seconds * 1_000_000)))
+def floor_to(ts: Column, step: int) -> Column:
+    """Last multiple of the step (in seconds) at or before the time."""
+    sec = seconds(ts)
+    return from_seconds(sec - F.pmod(sec, F.lit(step)))
 
 
-def round_to(ts: Column, seconds: int) -> Column:
-    """Nearest multiple of the step; exact halves go to the even multiple."""
-    step = F.lit(seconds * 1_000_000)
-    us = micros(ts)
-    rest = F.pmod(us, step)
-    low = us - rest
-    odd = F.pmod(low, F.lit(2 * seconds * 1_000_000)) != 0
-    up = (rest * 2 > step) | ((rest * 2 == step) & odd)
-    return from_micros(F.when(up, low + step).otherwise(low))
+def round_to(ts: Column, step: int | Column) -> Column:
+    """Nearest multiple of an even step in seconds; exact halves go to the even multiple."""
+    step = F.lit(step) if isinstance(step, int) else step
+    sec = seconds(ts)
+    rest = F.pmod(sec, step)
+    low = sec - rest
+    odd = F.pmod(low, step * 2) != 0
+    # A fraction of a second only matters right at the middle.
+    half = (rest * 2 == step) & (odd | (ts > from_seconds(sec)))
+    return from_seconds(F.when((rest * 2 > step) | half, low + step).otherwise(low))
 
 
 def align_to_granularity(ts: Column, granularity: Column) -> Column:
     """Round to the step of the row's granularity; unknown granularity is left alone."""
-    out = ts
-    for name, seconds in K.STEP_SECONDS.items():
-        out = F.when(granularity == name, round_to(ts, seconds)).otherwise(out)
-    return out
+    step = None
+    for name, size in K.STEP_SECONDS.items():
+        step = (F.when if step is None else step.when)(granularity == name, F.lit(size))
+    return F.coalesce(round_to(ts, step), ts)
 
 
 def from_serial(days: Column) -> Column:
@@ -82,7 +93,7 @@ def _from_shapes(text: Column, *shapes: tuple[str, str]) -> Column:
     out = text
     for pattern, spelled in (*shapes, _NO_SECONDS):
         out = F.regexp_replace(out, pattern, spelled)
-    return F.when(out.rlike(_SPELLED), F.trim(out).try_cast("timestamp_ntz"))
+    return bound(out, lambda o: F.when(o.rlike(_SPELLED), F.trim(o).try_cast("timestamp_ntz")))
 
 
 def parse_datetime(col: Column) -> Column:
@@ -93,17 +104,16 @@ def parse_datetime(col: Column) -> Column:
     day-first ones are a finite list: date only, dots or mixed separators, `T`,
     fractions of a second, two-digit years.
     """
-    text = strip(col)
-    return F.coalesce(
-        from_serial(to_double(text)),
+    return bound(strip(col), lambda text: F.coalesce(
+        bound(to_double(text), from_serial),
         _from_shapes(text, _YEAR_FIRST, _DAY_FIRST, _SHORT_YEAR_20, _SHORT_YEAR_19),
-    )
+    ))
 
 
 def coerce_datetime(col: Column) -> Column:
     """Lenient conversion of stored timestamps: ISO text, then month-first, then day-first."""
-    text = strip(col)
-    return F.coalesce(_from_shapes(text, _YEAR_FIRST, _MONTH_FIRST), _from_shapes(text, _DAY_FIRST))
+    return bound(strip(col), lambda text: F.coalesce(
+        _from_shapes(text, _YEAR_FIRST, _MONTH_FIRST), _from_shapes(text, _DAY_FIRST)))
 
 
 def request_time(col: Column) -> Column:

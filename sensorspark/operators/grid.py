@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorspark import constants as K
-from sensorspark.functions.times import from_micros, micros
+from sensorspark.functions.times import from_micros, micros, seconds
 from sensorspark.operators.series import ROWS_PER_CHUNK
 
 
@@ -36,7 +36,7 @@ def grid_spine(df: DataFrame, step: int, region: str = "region", ts: str = "date
     """
     step_us = F.lit(step * 1_000_000)
     ends = df.where(F.col(region).isNotNull() & F.col(ts).isNotNull()).groupBy(region).agg(
-        F.min(micros(F.col(ts))).alias("_from"), F.max(micros(F.col(ts))).alias("_to"))
+        micros(F.min(ts)).alias("_from"), micros(F.max(ts)).alias("_to"))
     blocks = ends.select(
         region, "_from", F.floor((F.col("_to") - F.col("_from")) / step_us).cast("bigint").alias("_last"),
     ).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_last") / block).cast("bigint"))).alias("_block"))
@@ -81,8 +81,8 @@ def fill_series(df: DataFrame, column: str, step: int, region: str = "region", t
     Inside a chunk a window fills; what crosses a chunk border comes from a
     table with the first and last known value of each chunk.
     """
-    width = F.lit(step * rows_per_chunk * 1_000_000)
-    marked = df.withColumn("_chunk", F.floor(micros(F.col(ts)) / width).cast("bigint"))
+    width = F.lit(step * rows_per_chunk)
+    marked = df.withColumn("_chunk", F.floor(seconds(F.col(ts)) / width).cast("bigint"))
     line = Window.partitionBy(region, "_chunk").orderBy(ts)
     inner = marked.withColumns({
         "_before": F.last(column, True).over(line.rowsBetween(Window.unboundedPreceding, 0)),

@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from sensorspark.functions.times import micros
+from sensorspark.functions.times import seconds
 
 ROWS_PER_CHUNK = 8192
 _CHUNK, _OWN, _NEW = "_chunk", "_own", "_new_"
@@ -32,17 +32,16 @@ _CHUNK, _OWN, _NEW = "_chunk", "_own", "_new_"
 
 def _grid_chunks(df: DataFrame, ts: str, step: int, back: int, ahead: int, rows: int) -> DataFrame:
     rows = max(rows, back, ahead, 1)
-    step_us = step * 1_000_000
-    width = F.lit(rows * step_us)
-    us = micros(F.col(ts))
-    rest = F.pmod(us, width)
-    number = ((us - rest) / width).cast("bigint")
+    width = F.lit(rows * step)
+    sec = seconds(F.col(ts))
+    rest = F.pmod(sec, width)
+    number = ((sec - rest) / width).cast("bigint")
     targets = [F.struct(number.alias(_CHUNK), F.lit(True).alias(_OWN))]
     if back:
-        late = rest >= F.lit((rows - back) * step_us)
+        late = rest >= F.lit((rows - back) * step)
         targets.append(F.when(late, F.struct((number + 1).alias(_CHUNK), F.lit(False).alias(_OWN))))
     if ahead:
-        early = rest < F.lit(ahead * step_us)
+        early = rest < F.lit(ahead * step)
         targets.append(F.when(early, F.struct((number - 1).alias(_CHUNK), F.lit(False).alias(_OWN))))
     return df.select("*", F.inline(F.array_compact(F.array(*targets))))
 
@@ -88,8 +87,8 @@ def _chunk_plan(df: DataFrame, region: str, ts: str, bucket: int, back: int, ahe
     return spans.select("_r", "_b", F.array_compact(F.array(*targets)).alias("_targets"))
 
 
-def _bucket_of(ts: str, seconds: int) -> Column:
-    return F.floor(micros(F.col(ts)) / F.lit(seconds * 1_000_000)).cast("bigint")
+def _bucket_of(ts: str, width: int) -> Column:
+    return F.floor(seconds(F.col(ts)) / F.lit(width)).cast("bigint")
 
 
 def _row_chunks(df: DataFrame, region: str, ts: str, bucket: int, back: int, ahead: int, rows: int) -> DataFrame:
