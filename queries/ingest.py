@@ -50,6 +50,11 @@ def skip_report(spark, folder):
 # Workbook = user, sheet = day. Row 5 is the header, row 6 the units, readings follow.
 
 def sheet_cells(spark, folder):
+    """The cells as a stored table, which is what the flow starts from: it reads them more than once."""
+    return materialize(_event_cells(spark, folder), "cells")
+
+
+def _event_cells(spark, folder):
     ev = event_readings(table(spark, folder, "events"))
     user, day = F.col("user_id"), F.day("date_time")
     workbook = F.concat(F.lit("u"), user.cast("string"), F.lit(" hourly.xlsx"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorspark import constants as K
 from sensorspark.functions.numeric import to_double
 from sensorspark.functions.text import (
-    canonical_header, clean_text, granularity, is_day_sheet, number_repeats,
+    bound, canonical_header, clean_text, granularity, is_day_sheet, number_repeats,
     parent_folder, year_from_path,
 )
 from sensorspark.functions.times import parse_datetime
@@ -29,16 +29,21 @@ def day_sheets(cells: DataFrame) -> DataFrame:
     return cells.where(is_day_sheet(F.col("sheet")))
 
 
-def _is_header(cells: Column) -> Column:
-    """Row that names a date and a time and at least four canonical columns.
+def _header(cells: Column) -> Column:
+    """(row_idx, cells, names) of a row that names a date, a time and at least four canonical columns.
 
     The plain text test comes first; only rows that pass it run the header
-    expressions.
+    expressions, once, and their names travel on with the row.
     """
     words = F.lower(F.array_join(cells, " | "))
     dated = F.contains(words, F.lit("date")) & F.contains(words, F.lit("time"))
-    hits = F.size(F.filter(cells, lambda c: canonical_header(c).isin(*K.CANONICAL_NAMES)))
-    return F.when(dated, hits >= MIN_CANONICAL_HEADERS).otherwise(F.lit(False))
+
+    def accepted(names: Column) -> Column:
+        hits = F.size(F.filter(names, lambda n: n.isin(*K.CANONICAL_NAMES)))
+        return F.when(hits >= MIN_CANONICAL_HEADERS, F.struct(
+            F.col("row_idx"), cells.alias("cells"), names.alias("names")))
+
+    return F.when(dated, bound(F.transform(cells, canonical_header), accepted))
 
 
 def sheet_headers(cells: DataFrame) -> DataFrame:
@@ -53,20 +58,19 @@ def sheet_headers(cells: DataFrame) -> DataFrame:
         return F.max(F.when(F.col("row_idx") == row, F.get("cells", F.lit(1))))
 
     heads = top.groupBy(*SHEET).agg(
-        F.min(F.when(_is_header(F.col("cells")), F.struct("row_idx", "cells"))).alias("_head"),
+        F.min(_header(F.col("cells"))).alias("_head"),
         meta(0).alias("_m0"), meta(2).alias("_m2"), meta(3).alias("_m3"),
     )
-    named = heads.withColumn("_names", F.transform(F.col("_head")["cells"], canonical_header))
-    return named.select(
-        *SHEET, F.col("_head")["row_idx"].alias("header_row"), F.col("_head")["cells"].alias("header_cells"),
-        number_repeats(F.col("_names")).alias("names"),
+    head = F.col("_head")
+    return heads.select(
+        *SHEET, head["row_idx"].alias("header_row"), head["cells"].alias("header_cells"),
+        number_repeats(head["names"]).alias("names"),
         *[clean_text(F.col(c)).alias(n) for c, n in (("_m0", "station_name"), ("_m2", "report_type"), ("_m3", "time_base"))],
     )
 
 
 def _has_time() -> Column:
-    """Header with a time column; on the header texts, so that a pushed-down filter stays cheap."""
-    return F.exists("header_cells", lambda c: canonical_header(c) == "date_time")
+    return F.array_contains("names", "date_time")
 
 
 def rejected_sheets(headers: DataFrame) -> DataFrame:
