@@ -10,7 +10,6 @@ from queries.common import (
 )
 from sensorspark import constants as K
 from sensorspark.functions import numeric, requests, text, times
-from sensorspark.functions.times import floor_to
 from sensorspark.operators import features, fitted, grid, merge, split
 from sensorspark.operators.quantiles import quantiles
 from sensorspark.operators.series import over_series
@@ -213,9 +212,9 @@ def _cycle_sql(*names):
         s6(f"{f}(2 * pi() * {e} / {p})", f"{n}_{f}") for n, e, p in _CYCLES if n in names for f in ("sin", "cos"))
 
 
-CALENDAR_SQL = """year(date_time) AS year, month(date_time) AS month, day(date_time) AS day, hour(date_time) AS hour,
-  minute(date_time) AS minute, isodow(date_time) - 1 AS day_of_week, dayofyear(date_time) AS day_of_year,
-  weekofyear(date_time) AS week_of_year, CAST(isodow(date_time) >= 6 AS INT) AS is_weekend, """ \
+CALENDAR_SQL = """CAST(year(date_time) AS INT) AS year, CAST(month(date_time) AS INT) AS month, CAST(day(date_time) AS INT) AS day, CAST(hour(date_time) AS INT) AS hour,
+  CAST(minute(date_time) AS INT) AS minute, CAST(isodow(date_time) - 1 AS INT) AS day_of_week, CAST(dayofyear(date_time) AS INT) AS day_of_year,
+  CAST(weekofyear(date_time) AS INT) AS week_of_year, CAST(isodow(date_time) >= 6 AS INT) AS is_weekend, """ \
     + _cycle_sql("hour", "minute", "day_of_week", "month", "day_of_year")
 
 
@@ -227,7 +226,7 @@ def calendar_cyclic(spark, folder):
 
 
 @query("cyclic_small", with_views(EV, tail="""
-SELECT event_id, hour(date_time) AS hour, isodow(date_time) - 1 AS day_of_week, month(date_time) AS month,
+SELECT event_id, CAST(hour(date_time) AS INT) AS hour, CAST(isodow(date_time) - 1 AS INT) AS day_of_week, CAST(month(date_time) AS INT) AS month,
   CAST(isodow(date_time) >= 6 AS INT) AS is_weekend, """ + _cycle_sql("hour", "month") + " FROM ev"))
 def cyclic_small(spark, folder):
     out = features.add_cyclic(event_readings(table(spark, folder, "events")).select("event_id", "date_time")).drop("date_time")
@@ -235,8 +234,8 @@ def cyclic_small(spark, folder):
 
 
 @query("peak_flags", with_views(EV, tail="""
-SELECT event_id, hour(date_time) AS hour, day(date_time) AS day, month(date_time) AS month,
-  isodow(date_time) - 1 AS day_of_week, CAST(isodow(date_time) >= 6 AS INT) AS is_weekend,
+SELECT event_id, CAST(hour(date_time) AS INT) AS hour, CAST(day(date_time) AS INT) AS day, CAST(month(date_time) AS INT) AS month,
+  CAST(isodow(date_time) - 1 AS INT) AS day_of_week, CAST(isodow(date_time) >= 6 AS INT) AS is_weekend,
   CAST(hour(date_time) BETWEEN 7 AND 10 AS INT) AS is_morning_peak,
   CAST(hour(date_time) BETWEEN 17 AND 21 AS INT) AS is_evening_peak, """ + _cycle_sql("hour", "month") + " FROM ev"))
 def peak_flags(spark, folder):

@@ -198,7 +198,7 @@ def duplicate_summary(spark, folder):
 
 
 @query("merge_with_lineage", with_views(EV, RAW, _RANKED, _SUMMARY, tail="""
-SELECT s.*, year(date_time) AS year, month(date_time) AS month, day(date_time) AS day, hour(date_time) AS hour, minute(date_time) AS minute,
+SELECT s.*, CAST(year(date_time) AS INT) AS year, CAST(month(date_time) AS INT) AS month, CAST(day(date_time) AS INT) AS day, CAST(hour(date_time) AS INT) AS hour, CAST(minute(date_time) AS INT) AS minute,
   round(r.pm2_5, 6) AS pm2_5, round(r.pm10, 6) AS pm10, r.time_base, r.score AS selected_row_non_null_score
 FROM summary s JOIN (SELECT * FROM ranked WHERE rn = 1) r USING (region, granularity, date_time)"""))
 def merge_with_lineage(spark, folder):

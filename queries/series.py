@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queries.common import (
-    EV, GRID, RH, SENSORS, event_readings, query, r6, readings_h, rounded, s6, table, with_views,
+    EV, GRID, RH, SENSORS, event_readings, query, readings_h, rounded, s6, table, with_views,
 )
 from sensorspark import constants as K
 from sensorspark.functions.times import floor_to
@@ -120,7 +120,7 @@ def rolling_min_max(spark, folder):
 
 
 @query("cold_start_features", with_views(EV, RH, tail=f"""
-SELECT region, date_time, year(date_time) AS year, hour(date_time) AS hour, {s6('pm2_5', 'pm2_5')}, {s6('pm2_5', 'pm2_5_lag_24')},
+SELECT region, date_time, CAST(year(date_time) AS INT) AS year, CAST(hour(date_time) AS INT) AS hour, {s6('pm2_5', 'pm2_5')}, {s6('pm2_5', 'pm2_5_lag_24')},
   {s6('so2', 'so2_roll_mean_3')}, CASE WHEN so2 IS NOT NULL THEN 0.0::DOUBLE END AS so2_roll_std_3, {s6('sin(radians(wd))', 'wd_sin')},
   CAST(region = 'AIIMS' AS INT) AS region_AIIMS, CAST(region = 'SILTARA' AS INT) AS region_SILTARA, CAST(NULL AS DOUBLE) AS unknown_feature
 FROM readings_h"""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -338,9 +338,3 @@ def bundle_importance(spark: SparkSession, bundle: ForecastBundle, k: int = 12)
 def config_row(spark: SparkSession, config: ForecastConfig) -> DataFrame:
     text = json.dumps(asdict(config), default=list)
     return spark.createDataFrame([(text,)], "config string")
-
-
-def quick(config: ForecastConfig, trees: int = 5, depth: int = 4) -> ForecastConfig:
-    """Small version of a run, for smoke checks."""
-    return replace(config, forest={**config.forest, "numTrees": trees, "maxDepth": depth},
-                   boosted={**config.boosted, "maxIter": trees, "maxDepth": depth})

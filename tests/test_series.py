@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorspark import constants as K
 from sensorspark.operators import alerts, features, grid, split
-from sensorspark.operators.series import over_series
+from sensorspark.operators.series import _row_chunks, over_series
 
 START = dt.datetime(2024, 1, 1)
 
@@ -48,6 +48,18 @@ def test_row_chunks_equal_the_plain_window(spark, per_chunk):
     assert rows_of(cut.select(plain.columns)) == rows_of(plain)
 
 
+def test_chunks_are_bounded_whatever_the_region(spark):
+    """One region holds most rows and one day holds many, yet a chunk stays near its size."""
+    df = irregular(spark, rows=4000)
+    per_chunk, back, ahead = 100, 20, 2
+    busiest = df.groupBy("region", F.floor(F.unix_date(F.col("date_time").cast("date")) * 24 + F.hour("date_time"))).count() \
+        .agg(F.max("count")).first()[0]
+    cut = _row_chunks(df, "region", "date_time", 3600, back, ahead, per_chunk)
+    sizes = [r["count"] for r in cut.groupBy("region", "_chunk").count().collect()]
+    assert len(sizes) > 30 and max(sizes) <= per_chunk + back + ahead + 4 * busiest
+    assert cut.where("_own").count() == 4000
+
+
 @pytest.mark.parametrize("per_chunk", [20, 64, 5000])
 def test_grid_chunks_equal_the_plain_window(spark, per_chunk):
     hours = spark.range(700).select(
