@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorspark.llm import bpe, quality_rules, simhash
+from sensorspark.llm import bpe, mixing, pii, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,34 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(coded, TOKENIZER).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op10_pii_spans")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.detect(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("strict", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.written(F.col("strict")), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
+# Shares of the sources: every fifth is wanted five times as often as the scarcest; the rest shares one part.
+SHARES = {f"src{i}": float(1 + i % 5) for i in range(20)} | {mixing.REST: 1.0}
+
+_OP4 = """
+WITH d AS (SELECT *, CASE WHEN regexp_full_match(coalesce(source, ''), 'src(1?[0-9])') THEN source ELSE '*' END AS b FROM documents),
+n AS (SELECT b, count(*) AS n, CASE WHEN b = '*' THEN 1.0 ELSE 1 + CAST(substr(b, 4) AS INT) % 5 END::DOUBLE AS w FROM d GROUP BY b),
+r AS (SELECT b, (SELECT sum(n) FROM n) * w / (SELECT sum(w) FROM n) / n AS rate FROM n),
+p AS (SELECT b, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY b ORDER BY k) AS below
+      FROM (SELECT b, rate, unnest(range(0, CAST(rate + 20 * sqrt(rate) + 40 AS BIGINT))) AS k FROM r)),
+q AS (SELECT b, list(below ORDER BY k) AS cdf FROM p GROUP BY b),
+c AS (SELECT d.*, len(list_filter(q.cdf, lambda x: x <= CAST('0x' || substr(md5('17|' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0)) AS copies
+      FROM d JOIN q USING (b)),
+e AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(0, copies)) AS copy FROM c)
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy,
+       CAST('0x' || substr(md5('18|' || doc_id || '|' || copy), 1, 13) AS BIGINT) / 4503599627370496.0 AS order_key FROM e
+"""
+
+
+@query("op4_poisson_mix", _OP4)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), SHARES)
