@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorspark.llm import bpe, mixing, pii, quality_rules, simhash
+from sensorspark.llm import bpe, mixing, pii, pu_quality, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,18 @@ SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy,
 @query("op4_poisson_mix", _OP4)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), SHARES)
+
+
+@query("op6_pu_quality")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = pu_quality.held_out(F.col("doc_id"))
+    positives = table(spark, folder, "labels").filter((F.col("quality") == 1) & ~held_out)
+    scored = pu_quality.score_quality(table(spark, folder, "documents"), positives)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op1_toxicity_chain")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    flag = lambda c: (F.col(f"p_{c}") >= 0.5).cast("int").alias(c)
+    return scored.select("doc_id", *[flag(c) for c in ("toxic", "severe", "persistent")], "p_toxic", "p_severe", "p_persistent")
