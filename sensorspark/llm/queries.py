@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorspark.llm import bpe, mixing, pii, pu_quality, quality_rules, simhash, toxicity
+from sensorspark.llm import bpe, licenses, mixing, pii, pu_quality, quality_rules, search, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,43 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     flag = lambda c: (F.col(f"p_{c}") >= 0.5).cast("int").alias(c)
     return scored.select("doc_id", *[flag(c) for c in ("toxic", "severe", "persistent")], "p_toxic", "p_severe", "p_persistent")
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    joined = lambda labels: F.array_join(labels, ",")
+    method = F.transform("found", lambda f: f["label"])
+    score = F.when(F.size("found") > 0, F.array_max(F.transform("found", lambda f: f["score"]))).otherwise(
+        F.when(F.size("places") > 0, 0.5).otherwise(0.0))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["start"])).cast("bigint").alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["start"])).cast("bigint").alias("last_word"),
+        joined(F.col("base_labels")).alias("base_labels"),
+        joined(F.array_sort(F.array_distinct(F.concat("base_labels", method)))).alias("labels"), score.alias("score"))
+
+
+@query("op3_warc_derivatives")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, folder, "pages")))
+
+
+_OP5 = r"""
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\pL\pN]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT count(*)::DOUBLE AS n, sum(len(ws)) / count(*)::DOUBLE AS mean FROM t),
+p AS (SELECT doc_id, w, count(*) AS tf, any_value(dl) AS dl FROM (SELECT doc_id, unnest(ws) AS w, len(ws) AS dl FROM t) GROUP BY doc_id, w),
+f AS (SELECT w, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM p, s GROUP BY w, n),
+c AS (SELECT q.doc_id AS query_id, d.doc_id,
+             sum(round((q.tf * idf) * (d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * (d.dl / mean)))) * 1073741824)) / 1073741824 AS score
+      FROM p q JOIN f USING (w) JOIN p d ON d.w = q.w, s WHERE q.doc_id % 100 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM c)
+SELECT query_id, CAST(rank AS INT) AS rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10
+"""
+
+
+@query("op5_bm25_top_k", _OP5)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = search.top_k(docs, docs.filter("doc_id % 100 = 0"))
+    return found.select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
