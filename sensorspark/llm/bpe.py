@@ -31,9 +31,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorspark.llm.common import documents
@@ -42,6 +42,8 @@ CACHE_WORDS = 1 << 18
 _BITS = 24
 _MASK = (1 << _BITS) - 1
 _NO_MERGE = 1 << 62
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SLICE_CHARS = 2_000_000
 DECODE_BLOCK = 1 << 16
 # The pattern of byte-level pre-tokenizers that split by themselves.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -111,8 +113,12 @@ class Transducer:
         self.length = length
         self.lookahead = sufficient_lookahead(merges, length)
         self.window = 2 * self.lookahead + max(length.values())
+        self.pairs = np.array([*sorted(self.merge), 1 << 62], np.int64)  # the last stands for pairs beyond all others
+        self.pair_codes = np.array([self.merge.get(p, _NO_MERGE) for p in self.pairs.tolist()], np.int64)
         self.inner = [vocab.get(s) for s in self.symbols]
         self.final = [vocab.get(s + self.suffix) for s in self.symbols]
+        whole = None not in self.inner and None not in self.final
+        self.inner_table, self.final_table = (np.array(s, np.int64) if whole else None for s in (self.inner, self.final))
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
         splits_at_space = self._text_side(data)
         names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
@@ -201,6 +207,89 @@ class Transducer:
                     out.append(b"".join(map(self.chunks.__getitem__, part.split())))
         return b"".join(out)
 
+    def learn(self, chunks: set[str]) -> None:
+        """Fill the caches with chunks they lack; their words are merged all together."""
+        parts = {}
+        for chunk in chunks:
+            core = chunk.rstrip(_PUNCTUATION)
+            if core.isalpha():  # letters, then marks: no need for the expression
+                parts[chunk] = [core, chunk[len(core):]] if len(core) < len(chunk) else [core]
+            elif len(chunk) <= self.window:
+                parts[chunk] = self.words(chunk)
+        new = {w for words in parts.values() for w in words} - self.cache.keys()
+        if len(self.cache) + len(new) > self.cache.limit:
+            self.cache.clear()
+            new = {w for words in parts.values() for w in words}
+        new = [w for w in new if len(w) <= self.window // 4]
+        self.cache.update(zip(new, self._merged_together(new), strict=True))
+        get = self.cache.__getitem__
+        for chunk, words in parts.items():
+            if len(chunk) <= self.window:
+                self.chunks[chunk] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
+
+    def _codes(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and product of pairs, as in `merge`."""
+        pairs = left << _BITS | right
+        at = np.searchsorted(self.pairs, pairs)
+        return np.where(self.pairs[at] == pairs, self.pair_codes[at], _NO_MERGE)
+
+    def _merged_together(self, words: list[str]) -> list[bytes]:
+        """Packed ids of many short words: in each round every word makes its lowest, leftmost merge."""
+        if not words:
+            return []
+        coded = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        ids = self.inner_table[data]
+        ids[np.cumsum(sizes) - 1] = self.final_table[data[np.cumsum(sizes) - 1]]
+        word = np.repeat(np.arange(len(words)), sizes)
+        done_ids, done_words = [], []
+        same = word[1:] == word[:-1]
+        codes = np.append(np.where(same, self._codes(ids[:-1], ids[1:]), _NO_MERGE), _NO_MERGE)
+        while len(ids):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            least = np.minimum.reduceat(codes, first)
+            lengths = np.diff(first, append=len(word))
+            over = np.repeat(least == _NO_MERGE, lengths)
+            done_ids.append(ids[over])
+            done_words.append(word[over])
+            low = np.repeat(least, lengths)[~over]
+            ids, word, codes = ids[~over], word[~over], codes[~over]
+            if not len(ids):
+                break
+            hit = np.flatnonzero(codes == low)
+            hit = hit[np.diff(word[hit], prepend=-1) != 0]  # the leftmost of each word
+            ids[hit] = codes[hit] & _MASK
+            keep = np.ones(len(ids), bool)
+            keep[hit + 1] = False
+            moved = hit - np.arange(len(hit))  # where the products stand after the right parts are gone
+            codes[hit] = codes[hit + 1]  # whether there is a next pair
+            ids, word, codes = ids[keep], word[keep], codes[keep]
+            for at in (moved, moved[moved > 0] - 1):
+                at = at[at + 1 < len(ids)]
+                at = at[word[at] == word[at + 1]]
+                codes[at] = self._codes(ids[at], ids[at + 1])
+            last = moved[(moved + 1 >= len(ids)) | (word[np.minimum(moved + 1, len(ids) - 1)] != word[moved])]
+            codes[last] = _NO_MERGE
+        flat, owner = np.concatenate(done_ids), np.concatenate(done_words)
+        packed = flat[np.argsort(owner, kind="stable")].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """`encode` of each text; what the caches lack is merged all together first."""
+        if self.chunks is None or self.inner_table is None:
+            return list(map(self.encode, texts))
+        plain = [None if self.odd_space(t) or (self.marks and self.marks.search(t)) else self.normalized(t).split() for t in texts]
+        all_chunks = {c for chunks in plain if chunks for c in chunks}
+        new = all_chunks - self.chunks.keys()
+        if len(self.chunks) + len(new) > self.chunks.limit:
+            self.chunks.clear()
+            new = all_chunks
+        self.learn(new)
+        get = self.chunks.__getitem__
+        return [self.encode(t) if chunks is None else b"".join(map(get, chunks)) for t, chunks in zip(texts, plain, strict=True)]
+
     def _chunk(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, self.words(text)))
 
@@ -253,28 +342,42 @@ def _blocks(ids: bytes) -> Iterator[bytes]:
     return (ids[i: i + 4 * DECODE_BLOCK] for i in range(0, len(ids), 4 * DECODE_BLOCK))
 
 
-def _encoder(spec) -> F.Column:
-    def encode(texts: pa.Array) -> pa.Array:
-        encode_one = _transducer(spec.value).encode
-        return pa.array([encode_one(t.as_py() or "") for t in texts], pa.large_binary()).cast(pa.binary())
-    return F.arrow_udf(encode, T.BinaryType())
-
-
-def _decoder(spec) -> F.Column:
-    def decode(rows: pa.Array) -> pa.Array:
-        machine = _transducer(spec.value)
-        return pa.array(["".join(machine.decode(_blocks(r.as_py() or b""))) for r in rows], pa.string())
-    return F.arrow_udf(decode, T.StringType())
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about SLICE_CHARS bytes in the column, so that results leave in small batches."""
+    sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0))
+    part = np.cumsum(sizes) // SLICE_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_tokens, ids): ids packed as little-endian unsigned 32-bit integers."""
     spec = df.sparkSession.sparkContext.broadcast(load(path))  # a vocabulary file, whose size does not follow the data
-    out = documents(df, text, doc_id).select("doc_id", _encoder(spec)("text").alias("ids"))
-    return out.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids")
+    docs = documents(df, text, doc_id)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _transducer(spec.value)
+        for batch in batches:
+            for part in _slices(batch, "text"):
+                ids = machine.encode_many(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    ["doc_id", "n_tokens", "ids"])
+
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    return docs.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """The input with one more column, `decoded`: the text of the packed ids."""
+    """The input with one more column, `decoded` (replaced if there): the text of the packed ids."""
     spec = df.sparkSession.sparkContext.broadcast(load(path))
-    return df.withColumn("decoded", _decoder(spec)(F.col(f"`{ids}`")))
+    rest = df.drop("decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _transducer(spec.value)
+        for batch in batches:
+            for part in _slices(batch, ids):
+                texts = ["".join(machine.decode(_blocks(r or b""))) for r in part.column(ids).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
+
+    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("decoded", T.StringType())]))
