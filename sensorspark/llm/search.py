@@ -97,7 +97,8 @@ class Shard:
         partial, read, budget = np.zeros(self.n), 0, _FIRST_POSTINGS
         threshold = 0.0
         while read < len(t):
-            upto = max(read + 1, int(np.searchsorted(postings, budget, "right")))
+            pivot = len(t) - int(np.searchsorted(left[::-1], threshold, "left"))  # the lists from here on add less than that
+            upto = max(read + 1, min(int(np.searchsorted(postings, budget, "right")), pivot))
             at, sizes = self._lists(self.start, t[read:upto])
             partial += np.bincount(self.doc[at], np.rint(np.repeat(w[read:upto], sizes) * self.impact[at] * UNIT), self.n)
             read, budget = upto, budget * 4
