@@ -33,6 +33,7 @@ MAX_LABELLED = 20_000
 TERMS = 256
 LEAST_DOCUMENTS = 3
 FOLDS = 3
+PARTS = 4
 REGULARISATION = 1e-3
 # What makes a toxic text severe, or persistent: different and repeated telling words.
 SEVERE_WORDS, PERSISTENT_WORDS = 2, 3
@@ -131,7 +132,8 @@ def score_toxicity(df: DataFrame, labels: DataFrame, text: str = "text", doc_id:
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     share = min(1.0, max_labelled / max(known.count(), 1))
     sample = known.filter(unit_hash(F.lit("labelled"), "doc_id") < share)
-    labelled = materialize(docs.join(sample, "doc_id").select("doc_id", "text", "toxic"), "toxic_sample")
+    # The sample has about max_labelled rows at most, whatever the corpus: small enough to broadcast, and for few partitions.
+    labelled = materialize(docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").repartition(PARTS), "toxic_sample")
     terms = telling_terms(labelled, "toxic")
     # Telling in earnest: the few words that stand out, not the long tail that chi-squared ranks after them.
     hits = F.filter(words(F.col("text")), lambda w: w.isin(terms[:32])) if terms else F.array().cast("array<string>")
