@@ -388,7 +388,7 @@ def column_quantiles(spark, folder):
     """Exact quantiles by counting, the way used for big tables."""
     items = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
     probabilities = [0.005, 0.5, 0.995]
-    found = quantiles(items, items.columns, probabilities, small_values=0)
+    found = quantiles(items, items.columns, probabilities)
     rows = [(c, p, v) for c, values in found.items() for p, v in zip(probabilities, values)]
     return spark.createDataFrame(rows, "feature string, p double, bound double").withColumn("bound", r6("bound"))
 

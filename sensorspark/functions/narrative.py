@@ -33,13 +33,19 @@ def forecast_summary(values: Mapping[str, Column]) -> Column:
 
 
 def air_quality_report(region: Column, values: Mapping[str, Column], category: Column, message: Column,
-                       is_spike: Column, features: Column, strategy: Column) -> Column:
-    """Narrative paragraph of one forecast. `features` is an array of names, most important first."""
+                       is_spike: Column, features: Column, strategy: Column, severity: Column | None = None) -> Column:
+    """Narrative paragraph of one forecast. `features` is an array of names, most important first.
+
+    A spike, or a severity of Medium or High, counts as abnormal behaviour.
+    """
+    spike = F.coalesce(is_spike, F.lit(False))
+    if severity is not None:
+        spike = spike | F.coalesce(severity.isin("Medium", "High"), F.lit(False))
     named = F.array_join(F.slice(F.coalesce(features, F.array().cast("array<string>")), 1, 3), ", ")
     influences = F.when(named != "", named).otherwise(
         F.lit("recent pollutant history, rolling pollution averages, and time-of-day patterns"))
     anomaly = F.when(
-        F.coalesce(is_spike, F.lit(False)),
+        spike,
         F.lit("The anomaly detection module also identified abnormal pollutant behavior compared to recent trends."),
     ).otherwise(F.lit("The anomaly detection module did not flag a major spike for this scenario."))
     return _sentence(

@@ -18,7 +18,7 @@ def finite(col: Column) -> Column:
 
 def to_double(col: Column) -> Column:
     """Double from text or number; anything that is not a finite number becomes NULL."""
-    text = F.trim(col.cast("string"))
+    text = F.trim(col.cast("string"), F.lit(" \t\n\r\x0b\x0c"))
     return finite(F.when(text.rlike(_NUMBER_CHARACTERS), text.try_cast("double")))
 
 

@@ -96,17 +96,50 @@ def _from_shapes(text: Column, *shapes: tuple[str, str]) -> Column:
     return bound(out, lambda o: F.when(o.rlike(_SPELLED), F.trim(o).try_cast("timestamp_ntz")))
 
 
+# Month names, found anywhere between non-letters, spelled as numbers.
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTH_NAME = r"(?i)(?<![a-z])(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+_NAMED_DAY_FIRST = (r"^(\d{1,2})(?:st|nd|rd|th)?[-/., ]+@(\d{2})[-/., ]+(\d{4}|\d{2})(?![\d:])", "$1-$2-$3")
+_NAMED_MONTH_FIRST = (r"^@(\d{2})[-/., ]+(\d{1,2})(?:st|nd|rd|th)?[-/., ]+(\d{4}|\d{2})(?![\d:])", "$2-$1-$3")
+_NAMED_YEAR_FIRST = (r"^(\d{4})[-/., ]+@(\d{2})[-/., ]+(\d{1,2})(?!\d)", "$3-$2-$1")
+_COMPACT = (r"^(\d{4})(\d{2})(\d{2})(?:[T ]?(\d{2})(\d{2})(\d{2})?)?$", "$1-$2-$3 $4:$5:$6")
+_HALF_DAY = r"(?i)(\d{1,2})(?::(\d{2}))?(?::(\d{2}))? ?([ap])\.?m\.?$"
+
+
+def _named_month(text: Column) -> Column:
+    """`1 January 2024`, `Jan 1, 2024`, `2024 Jan 1` and the like as day-month-year numbers."""
+    month = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.regexp_extract(text, _MONTH_NAME, 1)))
+    out = F.regexp_replace(text, F.lit(_MONTH_NAME), F.concat(F.lit("@"), F.lpad(month.cast("string"), 2, "0")))
+    for pattern, spelled in (_NAMED_DAY_FIRST, _NAMED_MONTH_FIRST, _NAMED_YEAR_FIRST):
+        out = F.regexp_replace(out, pattern, spelled)
+    return F.regexp_replace(out, r"^(\S+),? +(?=\d)", "$1 ")
+
+
+def _whole_day(text: Column) -> Column:
+    """A time of day with AM or PM on the clock of 24 hours."""
+    part = lambda i: F.regexp_extract(text, _HALF_DAY, i)
+    hour = part(1).try_cast("int") % 12 + F.when(F.lower(part(4)) == "p", 12).otherwise(0)
+    two = lambda c: F.lpad(F.when(c == "", "0").otherwise(c), 2, "0")
+    time = F.concat_ws(":", F.lpad(hour.cast("string"), 2, "0"), two(part(2)), two(part(3)))
+    valid = part(1).try_cast("int").between(1, 12)
+    return F.when(text.rlike(_HALF_DAY) & valid, F.regexp_replace(text, F.lit(_HALF_DAY), time)).otherwise(text)
+
+
 def parse_datetime(col: Column) -> Column:
     """Date cell of a workbook: serial number, then the known layouts, then other day-first ones.
 
-    Text that looks like a number is a serial number before anything else. The
-    known layouts are d-m-y and d/m/y with or without seconds and ISO. The extra
-    day-first ones are a finite list: date only, dots or mixed separators, `T`,
-    fractions of a second, two-digit years.
+    Text that looks like a number in the range of serial numbers is one before anything else. The
+    known layouts are d-m-y and d/m/y with or without seconds and ISO. Others are read day
+    first: date only, dots or mixed separators, `T`, fractions of a second, two-digit years,
+    month names in any place, AM and PM, and digits without separators.
     """
+    shapes = (_YEAR_FIRST, _DAY_FIRST, _SHORT_YEAR_20, _SHORT_YEAR_19)
     return bound(strip(col), lambda text: F.coalesce(
         bound(to_double(text), from_serial),
-        _from_shapes(text, _YEAR_FIRST, _DAY_FIRST, _SHORT_YEAR_20, _SHORT_YEAR_19),
+        _from_shapes(text, *shapes),
+        F.when(text.rlike("[A-Za-z]{2}"), bound(_whole_day(_named_month(text)), lambda t: _from_shapes(t, *shapes))),
+        F.when(text.rlike(_COMPACT[0]), bound(F.regexp_replace(F.regexp_replace(text, *_COMPACT), r":+$| :*$", ""),
+                                              lambda t: _from_shapes(t, _YEAR_FIRST))),
     ))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorspark import constants as K
 from sensorspark.functions.times import from_micros, micros, seconds
@@ -13,15 +14,18 @@ from sensorspark.operators.series import ROWS_PER_CHUNK
 
 
 def keep_last(df: DataFrame, keys: Sequence[str] = ("region", "date_time"), order: Sequence[str] = ()) -> DataFrame:
-    """Last row per key by `order`, then by the remaining columns.
+    """Last row per key by `order`, then by the remaining columns that have an order (maps have none).
 
     An aggregate, not a ranking window: copies collapse on the map side, so a
     key with very many rows never gathers in one task.
     """
     rest = [c for c in df.columns if c not in keys]
-    ranked = [*order, *[c for c in rest if c not in order]]
+    maps = {f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)}
+    ranked = [*order, *[c for c in rest if c not in order and c not in maps]]
+    # A map travels as its entries, sorted, so that ties of all other columns still have one winner.
+    place = [F.col(c) for c in ranked] + [F.array_sort(F.map_entries(c)) for c in rest if c in maps]
     return (
-        df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in ranked])).alias("_row"))
+        df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*place)).alias("_row"))
         .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
         .select(*df.columns)
     )

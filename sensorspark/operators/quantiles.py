@@ -1,143 +1,123 @@
 """Exact quantiles of many columns without holding a column in one task.
 
-The built-in exact percentile keeps every distinct value of a group in one
-buffer. That is used here only while rows times columns are known to be few. Larger
-tables are searched by counting: each pass splits the current value range of
-every wanted rank into equal slices, counts the rows per slice (map-side, at
-most SLICES counters per rank) and keeps the slice the rank falls into, until
-the slices hold few enough rows to read their values.
+One way for every size. Each wanted order statistic is bracketed by two approximate
+percentiles, whose rank error is known; the next pass looks only between the brackets,
+until few enough values are left to count them one by one. Every pass is one aggregate
+per group of columns, so nothing but the brackets and at most READABLE_ROWS counted values
+reach the driver. NULL, NaN and infinities are no values.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_VALUES = 2_000_000
-SLICES = 2048
-READABLE_ROWS = 100_000
+from sensorspark.functions.numeric import finite
+
+READABLE_ROWS = 20_000
+ACCURACY = 1000
+RANKS_PER_PASS = 64
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], exact: bool = True,
-              small_values: int = SMALL_VALUES, accuracy: int = 10_000) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column, NULLs left out; None for a column without values."""
+              accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles per column; None for a column without values."""
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     if not columns:
         return {}
+    values = {c: finite(F.col(f"`{c}`").cast("double")) for c in columns}
     if not exact:
-        aggs = [F.percentile_approx(c, F.array(*[F.lit(p) for p in probabilities]), F.lit(accuracy)).alias(str(i))
-                for i, c in enumerate(columns)]
-        row = df.agg(*aggs).first()
-        return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities)
-                for i, c in enumerate(columns)}
-    if df.count() * len(columns) <= small_values:
-        return _small(df, columns, probabilities)
-    ends = df.agg(*[f(F.col(f"`{c}`")) for c in columns for f in (F.count, F.min, F.max)]).first()
-    return _large(df, columns, probabilities, list(ends))
-
-
-def _small(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    wanted = ", ".join(f"{p!r}D" for p in probabilities)
-    row = df.agg(*[F.expr(f"percentile(`{c}`, array({wanted}))") for c in columns]).first()
-    return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities)
-            for i, c in enumerate(columns)}
-
-
-class _Rank:
-    """One wanted order statistic and the value range it is known to lie in."""
-
-    def __init__(self, column: str, rank: int, low: float, high: float, rows: int) -> None:
-        self.column, self.rank = column, rank
-        self.low, self.high, self.rows = low, high, rows
-        self.below = 0
-        self.value: float | None = low if low == high else None
-
-
-def _large(df: DataFrame, columns: list[str], probabilities: list[float], stats: list) -> dict[str, list[float | None]]:
-    found: dict[tuple[str, int], _Rank] = {}
+        wanted = F.array(*[F.lit(p) for p in probabilities])
+        row = df.agg(*[F.percentile_approx(v, wanted, F.lit(accuracy)) for v in values.values()]).first()
+        return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
+    ends = df.agg(*[f(v) for v in values.values() for f in (F.count, F.min, F.max)]).first()
+    ranks: dict[tuple[str, int], _Rank] = {}
     places: dict[str, list[float]] = {}
     for i, c in enumerate(columns):
-        n, low, high = stats[3 * i], stats[3 * i + 1], stats[3 * i + 2]
+        n, low, high = ends[3 * i: 3 * i + 3]
         places[c] = [p * (n - 1) for p in probabilities] if n else []
         for place in places[c]:
-            for rank in {math.floor(place), math.ceil(place)}:
-                found.setdefault((c, rank), _Rank(c, rank, float(low), float(high), n))
-    while True:
-        open_ranks = [r for r in found.values() if r.value is None]
-        if not open_ranks or sum(r.rows for r in open_ranks) <= READABLE_ROWS:
-            break
-        _narrow(df, open_ranks)
-    if open_ranks:
-        _read(df, open_ranks)
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        out[c] = [_between(found, c, place) for place in places[c]] or [None] * len(probabilities)
-    return out
-
-
-def _between(found: dict, column: str, place: float) -> float:
-    low = found[(column, math.floor(place))].value
-    high = found[(column, math.ceil(place))].value
-    return low + (high - low) * (place - math.floor(place))
-
-
-_Range = tuple[str, float, float]
-
-
-def _ranges(ranks: list[_Rank]) -> list[_Range]:
-    """Distinct value ranges; neighbouring ranks mostly share one."""
-    return list(dict.fromkeys((r.column, r.low, r.high) for r in ranks))
-
-
-def _in_range(df: DataFrame, ranges: list[_Range]) -> DataFrame:
-    """Long form (range id, value) of the values inside each range."""
-    entries = [
-        F.when(F.col(f"`{c}`").between(low, high),
-               F.struct(F.lit(i).alias("id"), F.col(f"`{c}`").cast("double").alias("v")))
-        for i, (c, low, high) in enumerate(ranges)
-    ]
-    return df.select(F.inline(F.array_compact(F.array(*entries))))
-
-
-def _narrow(df: DataFrame, ranks: list[_Rank]) -> None:
-    ranges = _ranges(ranks)
-    lows = F.array(*[F.lit(low) for _, low, _ in ranges])
-    widths = F.array(*[F.lit((high - low) / SLICES) for _, low, high in ranges])
-    at = F.col("id") + 1
-    slot = F.floor((F.col("v") - F.element_at(lows, at)) / F.element_at(widths, at)).cast("bigint")
-    counted = _in_range(df, ranges).groupBy("id", F.least(slot, F.lit(SLICES - 1)).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # At most SLICES rows per range reach the driver.
-    slices = _by_range(counted, "slot")
-    for r in ranks:
-        seen = r.below
-        for row in slices[ranges.index((r.column, r.low, r.high))]:
-            if r.rank < seen + row["n"]:
-                r.below, r.low, r.high, r.rows = seen, row["lo"], row["hi"], row["n"]
-                r.value = r.low if r.low == r.high else None
-                break
-            seen += row["n"]
+            for at in {math.floor(place), math.ceil(place)}:
+                ranks.setdefault((c, at), _Rank(c, at, low, high, 0, n))
+    _search(df, values, list(ranks.values()))
+
+    def between(c: str, place: float) -> float:
+        low, high = ranks[c, math.floor(place)].low, ranks[c, math.ceil(place)].low
+        return low + (high - low) * (place - math.floor(place))
+    return {c: [between(c, place) for place in places[c]] or [None] * len(probabilities) for c in columns}
 
 
-def _read(df: DataFrame, ranks: list[_Rank]) -> None:
-    """Values of the last slices; their total is at most READABLE_ROWS."""
-    ranges = _ranges(ranks)
-    counted = _in_range(df, ranges).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
-    values = _by_range(counted, "v")
+@dataclass
+class _Rank:
+    """The order statistic `at` (from 0) of a column: in [low, high], with `below` values under low and `rows` inside."""
+
+    column: str
+    at: int
+    low: float
+    high: float
+    below: int
+    rows: int
+
+    def inside(self, value: Column) -> Column:
+        return value.between(F.lit(self.low), F.lit(self.high))
+
+
+def _search(df: DataFrame, values: dict[str, Column], ranks: list[_Rank]) -> None:
+    """Narrow all ranks until low = high."""
+    while open_ranks := [r for r in ranks if r.low < r.high]:
+        # Neighbouring ranks of a column mostly share a bracket, which is then counted once.
+        brackets = {(r.column, r.low, r.high): r.rows for r in open_ranks}
+        if sum(brackets.values()) <= READABLE_ROWS:
+            _read(df, values, open_ranks, list(brackets))
+            return
+        for at in range(0, len(open_ranks), RANKS_PER_PASS):
+            _narrow(df, values, open_ranks[at: at + RANKS_PER_PASS])
+
+
+def _narrow(df: DataFrame, values: dict[str, Column], ranks: list[_Rank]) -> None:
+    """One pass for new brackets by sketch, one to count what lies below and between them."""
+    asked = []
+    for r in ranks:
+        share = (r.at - r.below + 1) / r.rows
+        near = F.array(F.lit(max(0.0, share - 2 / ACCURACY)), F.lit(min(1.0, share + 2 / ACCURACY)))
+        asked.append(F.percentile_approx(F.when(r.inside(values[r.column]), values[r.column]), near, F.lit(ACCURACY)))
+    sketched = df.agg(*asked).first()
+    tries = []
+    for r, (low, high) in zip(ranks, sketched, strict=True):
+        if (low, high) == (r.low, r.high):  # a sketch that does not help is replaced by halving, which always does
+            high = r.low + (r.high - r.low) / 2
+            high = high if r.low <= high < r.high else r.low
+        tries.append((low, high))
+    counts = df.agg(*[F.count(F.when(test, 1)) for r, (low, high) in zip(ranks, tries, strict=True) for v in (values[r.column],) for test in (
+        v < low, v.between(low, high), (v > high) & (v <= r.high), )]
+                    + [F.min(F.when(v > high, v)) for r, (_, high) in zip(ranks, tries, strict=True) for v in (values[r.column],)]).first()
+    for i, (r, (low, high)) in enumerate(zip(ranks, tries, strict=True)):
+        below, rows, above = counts[3 * i: 3 * i + 3]
+        if below <= r.at < below + rows:
+            r.low, r.high, r.below, r.rows = low, high, below, rows
+        elif r.at >= below + rows:  # only after halving: the upper half
+            r.low, r.below, r.rows = counts[3 * len(ranks) + i], below + rows, above
+        else:
+            raise ArithmeticError(f"rank {r.at} of {r.column} left its bracket")
+
+
+def _read(df: DataFrame, values: dict[str, Column], ranks: list[_Rank], brackets: list[tuple[str, float, float]]) -> None:
+    """Count the values inside the last brackets, at most READABLE_ROWS in all."""
+    found = F.array_compact(F.array(*[
+        F.when(values[c].between(F.lit(low), F.lit(high)), F.struct(F.lit(i).alias("id"), values[c].alias("v")))
+        for i, (c, low, high) in enumerate(brackets)]))
+    counted: dict[int, list] = {}
+    for row in df.select(F.inline(found)).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")).collect():
+        counted.setdefault(row["id"], []).append((row["v"], row["n"]))
+    ordered = {brackets[i]: sorted(pairs) for i, pairs in counted.items()}
     for r in ranks:
         seen = r.below
-        for row in values[ranges.index((r.column, r.low, r.high))]:
-            seen += row["n"]
-            if r.rank < seen:
-                r.value = row["v"]
+        for value, n in ordered[r.column, r.low, r.high]:
+            seen += n
+            if r.at < seen:
+                r.low = r.high = value
                 break
-
-
-def _by_range(counted: DataFrame, order: str) -> dict[int, list]:
-    out: dict[int, list] = {}
-    for row in counted.collect():
-        out.setdefault(row["id"], []).append(row)
-    return {i: sorted(rows, key=lambda row: row[order]) for i, rows in out.items()}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorspark import constants as K
+from sensorspark.functions.numeric import to_double
 from sensorspark.operators.discovery import workbooks_only
 
 _MEMBERS = "archive string, member_path string, content binary"
@@ -53,8 +54,9 @@ def split_unsafe(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Workbooks below a folder, lock files skipped."""
-    return workbooks_only(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder))
+    """Workbooks below a folder, lock files skipped. Other files are not opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!~]*.[xX][lL][sS]*")
+    return workbooks_only(found.load(folder))
 
 
 def parse_root_spec(spec: str) -> tuple[str | None, str]:
@@ -115,21 +117,49 @@ COMBINED_SCHEMA = T.StructType(
     + [T.StructField("source_row_count", T.LongType()), T.StructField("source_file_count", T.LongType()),
        T.StructField("selected_row_non_null_score", T.IntegerType())]
     + [T.StructField(n, T.StringType()) for n in K.LINEAGE_COLUMNS if n != "source_year"]
-    + [T.StructField("source_year", T.IntegerType())]
+    + [T.StructField("source_year", T.IntegerType()), T.StructField("extra", T.MapType(T.StringType(), T.DoubleType()))]
 )
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, limit: int | None = None) -> DataFrame:
-    """CSV with a header, typed by a declared schema; matched by column name."""
-    header = spark.read.option("header", "true").csv(path).columns
+    """CSV with headers, typed by a declared schema; every file's columns are matched by its own header.
+
+    Files may differ in the order and the number of their columns. A MAP<STRING, DOUBLE> column
+    of the schema gathers the numbers of all columns that the schema does not name.
+    """
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     types = {f.name: f.dataType for f in wanted.fields}
-    ordered = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
-    df = spark.read.option("header", "true").schema(ordered).csv(path)
-    df = df.select(*[F.col(f"`{n}`") for n in header if n in types])
+    gathered = [n for n, kind in types.items() if isinstance(kind, T.MapType)]
+    parts = []
+    for header, files in sorted(_files_by_header(spark, path).items()):
+        ordered = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
+        reader = spark.read.option("header", "true").schema(ordered)
+        # Folder names like region=A below the path are columns too.
+        df = (reader if re.search(r"[*?{\[]|\.[A-Za-z]+$", path) else reader.option("basePath", path)).csv(files)
+        header = (*header, *[n for n in df.columns if n not in header])
+        spare = [n for n in header if n not in types]
+        pairs = F.map_filter(F.create_map(*[x for n in spare for x in (F.lit(n), to_double(F.col(f"`{n}`")))]),
+                             lambda _, v: v.isNotNull()) if spare else F.create_map().cast("map<string,double>")
+        parts.append(df.select(*[F.col(f"`{n}`") for n in header if n in types], *[pairs.alias(n) for n in gathered]))
+    if not parts:
+        return spark.createDataFrame([], wanted)
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part, allowMissingColumns=True)
     return df if limit is None else df.limit(limit)
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Data files below a path by the columns in their first line; one short row per file reaches the driver."""
+    first = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).groupBy(
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file")).agg(F.first("value").alias("line"))
+    parsed = first.select("file", F.split(F.regexp_replace("line", "^\ufeff|[\r\"]", ""), ",").alias("names"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in parsed.collect():
+        out.setdefault(tuple(row["names"]), []).append(row["file"])
+    return {header: sorted(files) for header, files in out.items()}
+
+
 def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, limit: int | None = None) -> DataFrame:
     """Same, but a path without files gives an empty table with the schema."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -139,6 +169,19 @@ def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType | str
     return read_csv(spark, path, schema, limit)
 
 
+def flat_maps(df: DataFrame) -> DataFrame:
+    """Map columns as one column per key, after the others; a key that is already a column keeps that column.
+
+    Keys are header names of the sources, so there are about as many as a wide sheet has columns.
+    """
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
+    out = [F.col(f"`{c}`") for c in df.columns if c not in maps]
+    for name in maps:
+        keys = df.select(F.explode(F.map_keys(F.col(f"`{name}`"))).alias("k")).distinct().orderBy("k").collect()
+        out += [F.try_element_at(F.col(f"`{name}`"), F.lit(r["k"])).alias(r["k"]) for r in keys if r["k"] not in df.columns]
+    return df.select(*out)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                 mode: str = "overwrite") -> None:
     """Write a table as parquet, CSV (with header) or JSON.
@@ -149,6 +192,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if fmt == "csv":
+        df = flat_maps(df)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")

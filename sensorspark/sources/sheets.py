@@ -17,7 +17,6 @@ from sensorspark.functions.text import (
     parent_folder, year_from_path,
 )
 from sensorspark.functions.times import parse_datetime
-from sensorspark.operators.joins import salted_lookup
 
 SHEET = ["region", "path", "workbook", "sheet"]
 HEADER_SEARCH_ROWS = 20
@@ -116,6 +115,21 @@ def _cell(name: str) -> Column:
     return F.get("cells", F.col(f"_at_{name}"))
 
 
+def _data_rows(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """Rows below the units row of readable day sheets, with the layout of their sheet."""
+    usable = headers.where(F.col("header_row").isNotNull() & _has_time())
+    # A sheet has at most some million rows, so no key of this join can grow hot.
+    rows = day_sheets(cells).select(*SHEET, "row_idx", "cells").join(_layout(usable), SHEET)
+    return rows.where((F.col("row_idx") >= F.col("header_row") + 2) & F.exists("cells", lambda c: c.isNotNull()))
+
+
+def undated_rows(cells: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """Data rows that `load_sheets` leaves out because their date cell cannot be read, with that cell."""
+    data = _data_rows(cells, sheet_headers(cells) if headers is None else headers)
+    return data.select(*SHEET, "row_idx", _cell("date_time").alias("date_cell"), F.lit("Could not read the date.").alias("reason")).where(
+        parse_datetime(F.col("date_cell")).isNull())
+
+
 def load_sheets(cells: DataFrame, headers: DataFrame | None = None, root: str = "") -> DataFrame:
     """Typed readings of all readable day sheets with their lineage.
 
@@ -124,10 +138,7 @@ def load_sheets(cells: DataFrame, headers: DataFrame | None = None, root: str =
     canonical list go to the `extra` map.
     """
     headers = sheet_headers(cells) if headers is None else headers
-    usable = headers.where(F.col("header_row").isNotNull() & _has_time())
-    rows = salted_lookup(day_sheets(cells).select(*SHEET, "row_idx", "cells"), _layout(usable), SHEET)
-    # The row below the header holds units.
-    data = rows.where((F.col("row_idx") >= F.col("header_row") + 2) & F.exists("cells", lambda c: c.isNotNull()))
+    data = _data_rows(cells, headers)
     # Unnesting a filtered one-entry array drops undated rows and parses once; a
     # filter on the parsed column would be pushed down and parse a second time.
     parsed = F.filter(F.array(parse_datetime(_cell("date_time"))), lambda t: t.isNotNull())

@@ -19,23 +19,29 @@ def table(spark, n=4000, seed=1):
     return pdf, spark.createDataFrame(rows, ", ".join(f"{c} double" for c in pdf.columns)).repartition(4)
 
 
-@pytest.mark.parametrize("readable", [0, 50, 100_000])
-def test_counting_quantiles_are_exact(spark, monkeypatch, readable):
+@pytest.mark.parametrize(("readable", "accuracy"), [(0, 20), (50, 20), (100_000, 1000)])
+def test_quantiles_are_exact(spark, monkeypatch, readable, accuracy):
     pdf, df = table(spark)
     monkeypatch.setattr(Q, "READABLE_ROWS", readable)
-    monkeypatch.setattr(Q, "SLICES", 64)
-    got = Q.quantiles(df, list(pdf.columns), PROBABILITIES, small_values=0)
-    small = Q.quantiles(df, list(pdf.columns), PROBABILITIES)
+    monkeypatch.setattr(Q, "ACCURACY", accuracy)
+    got = Q.quantiles(df, list(pdf.columns), PROBABILITIES)
     for c in pdf.columns:
-        want = pdf[c].dropna().quantile(PROBABILITIES).tolist()
-        np.testing.assert_allclose(got[c], want, rtol=1e-12)
-        np.testing.assert_allclose(small[c], want, rtol=1e-12)
+        np.testing.assert_allclose(got[c], pdf[c].dropna().quantile(PROBABILITIES).tolist(), rtol=1e-12)
+
+
+@pytest.mark.parametrize("readable", [0, 10, 100_000])
+def test_values_that_are_not_finite_do_not_count(spark, monkeypatch, readable):
+    monkeypatch.setattr(Q, "READABLE_ROWS", readable)
+    odd = [float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in [*map(float, range(101)), *odd]], "x double")
+    assert Q.quantiles(df, ["x"], [0.0, 0.5, 1.0]) == {"x": [0.0, 50.0, 100.0]}
+    wide = spark.createDataFrame([(v,) for v in (-1.7e308, -1e-300, 0.0, 5e-324, 1.7e308)], "x double")
+    assert Q.quantiles(wide, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0]) == {"x": [-1.7e308, -1e-300, 0.0, 5e-324, 1.7e308]}
 
 
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
-    for limit in (0, 10**6):
-        assert Q.quantiles(df, ["a", "b"], [0.5], small_values=limit) == {"a": [None], "b": [2.0]}
+    assert Q.quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [2.0]}
     assert Q.quantiles(df, [], [0.5]) == {}
     assert Q.quantiles(df, ["b"], [0.5], exact=False)["b"][0] in (1.0, 3.0)
 

@@ -13,6 +13,15 @@ def one(spark, column, **values):
     return frame.select(column.alias("x")).first()["x"]
 
 
+@pytest.mark.parametrize(("raw", "expected"), [
+    ("01-Jan-2024 10:00", "2024-01-01 10:00:00"), ("1 January 2024", "2024-01-01 00:00:00"), ("05/03/2024 02:30 PM", "2024-03-05 14:30:00"),
+    ("20240305", "2024-03-05 00:00:00"), ("20240305T101530", "2024-03-05 10:15:30"), ("Feb 5, 2024 3 am", "2024-02-05 03:00:00"),
+    ("3-Sept-24 12:00 AM", "2024-09-03 00:00:00"), ("31-Apr-2024", None), ("05/03/2024 13:30 PM", None), ("may", None)])
+def test_dates_with_names_half_days_and_no_separators(spark, raw, expected):
+    got = one(spark, times.parse_datetime(F.lit(raw)))
+    assert (str(got) if got else None) == expected
+
+
 @pytest.mark.parametrize("triple,category", [
     ((18, 55, 8), "Good"), ((45, 120, 22), "Moderate"), ((70, 180, 30), "Poor"), ((95, 260, 45), "Severe"),
     ((20, 60, 8), "Good"), ((45, 110, 19), "Moderate"),

@@ -198,3 +198,12 @@ def test_base_load_and_columns(spark):
         split.base_load(df.drop("granularity"), "hourly")
     renamed = split.rename_aliases(spark.createDataFrame([(1, 2, 3)], "PM25 int, Humidity int, other int"))
     assert renamed.columns == ["pm2_5", "hum", "other"]
+
+
+def test_last_row_wins_with_a_map_among_the_columns(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("A", t, 1.0, {"k": 1.0}), ("A", t, 1.0, {"k": 2.0}), ("A", t, 0.5, {"k": 9.0}), ("B", t, None, None)],
+                               "region string, date_time timestamp, v double, extra map<string,double>")
+    got = {r["region"]: r for r in grid.keep_last(df).collect()}
+    assert got["A"]["extra"] == {"k": 2.0} and got["A"]["v"] == 1.0 and got["B"]["extra"] is None
+    assert grid.keep_last(df).columns == df.columns

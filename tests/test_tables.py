@@ -210,3 +210,30 @@ def test_json_of_forecasts(spark):
     out = flows.present_forecast(df, {t: F.col(t) for t in ("pm2_5", "pm10", "so2")})
     got = json.loads(flows.to_json(out).first()["json"])
     assert got["risk"]["category"] == "Severe" and got["anomaly_alerts"][0]["pollutant"] == "pm2_5"
+
+
+def test_csv_columns_are_matched_by_each_files_header(spark, tmp_path):
+    folder = tmp_path / "many files+1"
+    folder.mkdir()
+    (folder / "a.csv").write_text("region,pm2_5,pm10,odd metric\nA,1.0,2.0,7.5\n")
+    (folder / "b.csv").write_text('\ufeffregion,"pm10",pm2_5\r\nB,20.0,10.0\r\n')
+    got = {r["region"]: (r["pm2_5"], r["pm10"], r["extra"]) for r in files.read_csv(spark, str(folder), files.COMBINED_SCHEMA).collect()}
+    assert got == {"A": (1.0, 2.0, {"odd metric": 7.5}), "B": (10.0, 20.0, {})}
+
+
+def test_map_columns_become_csv_columns_and_come_back(spark, tmp_path):
+    df = spark.createDataFrame([("A", T0, 1.0, {"radiation": 5.0, "pm2_5": 9.0}), ("B", T0, 2.0, {"noise": 3.0}), ("C", T0, 3.0, None)],
+                               "region string, date_time timestamp_ntz, pm2_5 double, extra map<string,double>")
+    files.write_table(df, str(tmp_path / "c"), fmt="csv", partition_by=["region"])
+    back = files.read_csv(spark, str(tmp_path / "c"), files.COMBINED_SCHEMA)
+    got = {r["region"]: (r["pm2_5"], r["extra"]) for r in back.collect()}
+    assert got == {"A": (1.0, {"radiation": 5.0}), "B": (2.0, {"noise": 3.0}), "C": (3.0, {})}
+
+
+def test_rows_without_a_date_are_reported(spark):
+    header = ["Date & Time", "PM2.5", "PM10", "SO2", "NO2"]
+    body = [["x"], [None], ["x"], ["x"], header, ["", "ug/m3"], ["01-Jan-2024 10:00", "1"], ["not a date", "2"], [None, "3"], [None, None]]
+    cells = spark.createDataFrame([("AIIMS", "/a/2024/w.xlsx", "w.xlsx", "1", i, c) for i, c in enumerate(body)],
+                                  "region string, path string, workbook string, sheet string, row_idx int, cells array<string>")
+    assert sheets.load_sheets(cells).count() == 1
+    assert sorted((r["row_idx"], r["date_cell"]) for r in sheets.undated_rows(cells).collect()) == [(7, "not a date"), (8, None)]
