@@ -18,6 +18,7 @@ from sensorspark.functions.times import request_time
 from sensorspark.operators import evaluate, features, merge, models, split
 from sensorspark.plans.shared import materialize
 from sensorspark.sources import sheets
+from sensorspark.sources.files import flat_maps
 
 
 @dataclass
@@ -67,7 +68,8 @@ class Trained:
 
 def train(df: DataFrame, config: models.ForecastConfig | None = None) -> Trained:
     config = config or models.ForecastConfig()
-    base = split.base_load(df, config.granularity, config.min_date, config.max_date)
+    # Stored once: the spine, the readings, the station names and the coverage all read it. Extra metrics become columns.
+    base = materialize(split.base_load(flat_maps(df), config.granularity, config.min_date, config.max_date), "base")
     split.require_rows(base, f"No rows found for granularity {config.granularity!r}.")
     frame = materialize(models.model_frame(base, config), "model-frame")
     counts = split.split_counts(frame)

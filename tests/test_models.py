@@ -25,9 +25,9 @@ def series(spark):
                 continue
             wave = level + 30 * math.sin(2 * math.pi * i / 24)
             rows.append((region, "hourly", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), wave, 2 * wave + 5,
-                         None if i % 31 == 3 else wave / 4, 20 + i % 24 / 2, float(i * 15 % 360)))
+                         None if i % 31 == 3 else wave / 4, 20 + i % 24 / 2, float(i * 15 % 360), {"radiation": float(i % 24)}))
     return spark.createDataFrame(rows, "region string, granularity string, date_time timestamp_ntz, pm2_5 double, "
-                                       "pm10 double, so2 double, temp double, wd double")
+                                       "pm10 double, so2 double, temp double, wd double, extra map<string,double>")
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +51,7 @@ def test_run_tables(spark, run):
     assert run.bundle.metadata["best_multi_output_strategy"].startswith("multi_output_")
     assert set(run.bundle.metadata["best_single_target_strategy_by_target"]) == {"pm2_5", "pm10", "so2"}
     names = run.bundle.features
-    assert {"pm2_5_lag_24", "so2_roll_std_3", "wd_sin", "region_AIIMS", "week_of_year"} <= set(names)
+    assert {"radiation", "pm2_5_lag_24", "so2_roll_std_3", "wd_sin", "region_AIIMS", "week_of_year"} <= set(names)
     assert not {"observed_row", "observed_future", "target_pm10", "split"} & set(names)
     report = reports.long_report(models.config_row(spark, CONFIG), run.coverage, run.split_counts, run.metrics, run.bundle.best)
     assert {r["section"] for r in report.select("section").distinct().collect()} == {
