@@ -252,3 +252,47 @@ BOOSTED_PRESETS = {
 }
 MODEL_FAMILIES = ("random_forest", "lightgbm", "xgboost")
 SEED = 42
+
+# Report texts, with the places of their values in braces.
+SUMMARY_TEXT = (
+    "Predicted PM2.5 is {pm2_5}, PM10 is {pm10}, and SO2 is {so2}. The project AQI-style category is {category} with {level} risk. "
+    "{advice}")
+REPORT_TEXT = (
+    "This report is generated using a rule-based NLP-style summarization template.\n\n"
+    "Today's forecast for {region} indicates PM2.5 at {pm2_5} ug/m3, PM10 at {pm10} ug/m3, and SO2 at {so2} ug/m3. "
+    "The AQI-style risk category is {category}. The hybrid model selected {strategy} because local pollution behavior is important "
+    "for this forecast. The prediction is mainly influenced by {influences}. {anomaly} {message}")
+WRAPPED_TEXT = (
+    "AI-Generated Air Quality Summary\n\n{body}\n\nRuntime artifact: {artifact}\n"
+    "Future scope: this template can be upgraded with an LLM-based report summarizer.")
+SIGNALS_TEXT = "The strongest available model signals for this demo are {features}."
+NO_SIGNALS_TEXT = "The model uses pollutant readings, weather context, time features, and region indicators."
+DEFAULT_INFLUENCES = "recent pollutant history, rolling pollution averages, and time-of-day patterns"
+SPIKE_TEXT = "The anomaly detection module also identified abnormal pollutant behavior compared to recent trends."
+NO_SPIKE_TEXT = "The anomaly detection module did not flag a major spike for this scenario."
+DEFAULT_CATEGORY, DEFAULT_STRATEGY = "Moderate", "hybrid forecasting strategy"
+ABNORMAL_SEVERITIES = ("Medium", "High")
+
+# Alert texts.
+SPIKE_ALERT_TEXT = "{pollutant} is unusually high for this demo threshold."
+REVIEW_ALERT_TEXT = "{pollutant} input is elevated for the configured review threshold."
+TREND_ALERT_TEXT = " is significantly above recent trend. Monitor exposure and verify sensor readings."
+TREND_NORMAL_TEXT = " is within the expected recent trend range."
+WATCH_TEXTS = {"pm2_5": "PM2.5 elevated at ", "pm10": "PM10 spike watch at ", "so2": "SO2 elevated at "}
+PM10_DRIVER_RATIO, PM10_DRIVER, PM2_5_DRIVER = 1.8, "PM10 lag features", "PM2.5 trend features"
+CALM_WIND, CALM_TEXT, WINDY_TEXT = 2.5, "Low wind stagnation", "Wind dispersion relief"
+
+# Signals of the rule forecast, as (from, scale) or levels.
+RULE_EVENING_RUSH, RULE_MORNING_RUSH, RULE_NIGHT = 1.0, 0.7, 0.55
+RULE_HUMIDITY, RULE_HEAT = (55.0, 18.0), (32.0, 10.0)
+RULE_WIND_CAP, RULE_WIND_SCALE = 10.0, 4.0
+
+# Spelling of headers.
+CAMEL_SPLITS = ("([a-z0-9])([A-Z])", "([A-Z]+)([A-Z][a-z])")
+HEADER_WORDS = (("&", " and "), ("%", " percent "))
+HEADER_SPELLINGS = (
+    ("date_and_time", "date_time"),
+    ("date_time_stamp", "date_time"),
+    ("pm_10", "pm10"),
+    ("pm_2_5", "pm2_5"),
+)

@@ -31,7 +31,7 @@ def spike_alerts(values: Mapping[str, Column], thresholds: Mapping[str, float] |
     active = {**K.SPIKE_THRESHOLDS, **(thresholds or {})}
     return F.array_compact(F.array(*[
         _alert(values.get(name, F.lit(0.0)), name, limit,
-               f"{name.upper()} is unusually high for this demo threshold.")
+               K.SPIKE_ALERT_TEXT.format(pollutant=name.upper()))
         for name, limit in active.items()
     ]))
 
@@ -40,7 +40,7 @@ def review_alerts(values: Mapping[str, Column], thresholds: Mapping[str, float]
     """Alerts on the readings themselves, with the lower review thresholds."""
     return F.array_compact(F.array(*[
         _alert(values.get(name, F.lit(0.0)), name, limit,
-               f"{K.POLLUTANT_LABELS.get(name, name.upper())} input is elevated for the configured review threshold.")
+               K.REVIEW_ALERT_TEXT.format(pollutant=K.POLLUTANT_LABELS.get(name, name.upper())))
         for name, limit in thresholds.items()
     ]))
 
@@ -60,9 +60,8 @@ def trend_spike(current: Column, mean: Column, std: Column, pollutant: Column) -
     ratio = F.when(mean > 0, current / F.nullif(mean, F.lit(0.0))).otherwise(F.lit(0.0))
     message = F.when(
         spiking,
-        F.concat(pollutant, F.lit(" is significantly above recent trend. "
-                                  "Monitor exposure and verify sensor readings.")),
-    ).otherwise(F.concat(pollutant, F.lit(" is within the expected recent trend range.")))
+        F.concat(pollutant, F.lit(K.TREND_ALERT_TEXT)),
+    ).otherwise(F.concat(pollutant, F.lit(K.TREND_NORMAL_TEXT)))
     known = current.isNotNull() & mean.isNotNull() & std.isNotNull()
     return F.when(known, F.struct(
         spiking.alias("is_spike"),
@@ -74,20 +73,18 @@ def trend_spike(current: Column, mean: Column, std: Column, pollutant: Column) -
 
 def watch_list(readings: Mapping[str, Column], forecasts: Mapping[str, Column]) -> Column:
     """Texts of the pollutants whose reading or forecast reaches the review threshold."""
-    words = {"pm2_5": "PM2.5 elevated at ", "pm10": "PM10 spike watch at ", "so2": "SO2 elevated at "}
     entries = []
     for name, limit in K.REVIEW_THRESHOLDS.items():
         worst = F.greatest(to_double_or_zero(readings[name]), to_double_or_zero(forecasts[name]))
         # One decimal, halves upward.
         shown = F.call_function("format_number", F.floor(worst * 10 + F.lit(0.5)) / 10, F.lit("0.0"))
-        entries.append(F.when(worst >= limit, F.concat(F.lit(words[name]), shown, F.lit(" ug/m3"))))
+        entries.append(F.when(worst >= limit, F.concat(F.lit(K.WATCH_TEXTS[name]), shown, F.lit(" ug/m3"))))
     return F.array_compact(F.array(*entries))
 
 
 def primary_driver(pm2_5: Column, pm10: Column) -> Column:
-    return F.when(pm10 >= pm2_5 * 1.8, F.lit("PM10 lag features")).otherwise(F.lit("PM2.5 trend features"))
+    return F.when(pm10 >= pm2_5 * K.PM10_DRIVER_RATIO, F.lit(K.PM10_DRIVER)).otherwise(F.lit(K.PM2_5_DRIVER))
 
 
 def weather_signal(wind: Column) -> Column:
-    return F.when(to_double_or_zero(wind) <= 2.5, F.lit("Low wind stagnation")).otherwise(
-        F.lit("Wind dispersion relief"))
+    return F.when(to_double_or_zero(wind) <= K.CALM_WIND, F.lit(K.CALM_TEXT)).otherwise(F.lit(K.WINDY_TEXT))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -16,65 +17,42 @@ def one_decimal(col: Column) -> Column:
     return F.call_function("format_number", to_double_or_zero(col), F.lit("0.0"))
 
 
-def _sentence(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+def _filled(template: str, **values: Column) -> Column:
+    """The template with every {name} replaced by its column."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces) if i % 2 or p])
 
 
 def forecast_summary(values: Mapping[str, Column]) -> Column:
     """One sentence per fact: forecast values, category, advice."""
     risk = risk_four_level(*[values[t] for t in K.TARGETS])
-    return _sentence(
-        "Predicted PM2.5 is ", one_decimal(values["pm2_5"]),
-        ", PM10 is ", one_decimal(values["pm10"]),
-        ", and SO2 is ", one_decimal(values["so2"]),
-        ". The project AQI-style category is ", risk["category"],
-        " with ", F.lower(risk["risk_level"]), " risk. ", risk["recommendation"],
-    )
+    return _filled(K.SUMMARY_TEXT, **{t: one_decimal(values[t]) for t in K.TARGETS}, category=risk["category"],
+                   level=F.lower(risk["risk_level"]), advice=risk["recommendation"])
 
 
 def air_quality_report(region: Column, values: Mapping[str, Column], category: Column, message: Column,
                        is_spike: Column, features: Column, strategy: Column, severity: Column | None = None) -> Column:
     """Narrative paragraph of one forecast. `features` is an array of names, most important first.
 
-    A spike, or a severity of Medium or High, counts as abnormal behaviour.
+    A spike, or a severity that counts as abnormal, gives the warning sentence.
     """
     spike = F.coalesce(is_spike, F.lit(False))
     if severity is not None:
-        spike = spike | F.coalesce(severity.isin("Medium", "High"), F.lit(False))
+        spike = spike | F.coalesce(severity.isin(*K.ABNORMAL_SEVERITIES), F.lit(False))
     named = F.array_join(F.slice(F.coalesce(features, F.array().cast("array<string>")), 1, 3), ", ")
-    influences = F.when(named != "", named).otherwise(
-        F.lit("recent pollutant history, rolling pollution averages, and time-of-day patterns"))
-    anomaly = F.when(
-        spike,
-        F.lit("The anomaly detection module also identified abnormal pollutant behavior compared to recent trends."),
-    ).otherwise(F.lit("The anomaly detection module did not flag a major spike for this scenario."))
-    return _sentence(
-        "This report is generated using a rule-based NLP-style summarization template.\n\n",
-        "Today's forecast for ", F.initcap(region),
-        " indicates PM2.5 at ", one_decimal(values["pm2_5"]),
-        " ug/m3, PM10 at ", one_decimal(values["pm10"]),
-        " ug/m3, and SO2 at ", one_decimal(values["so2"]),
-        " ug/m3. The AQI-style risk category is ", F.coalesce(category, F.lit("Moderate")),
-        ". The hybrid model selected ", F.coalesce(strategy, F.lit("hybrid forecasting strategy")),
-        " because local pollution behavior is important for this forecast. ",
-        "The prediction is mainly influenced by ", influences,
-        ". ", anomaly, " ", F.coalesce(message, F.lit("")),
-    )
+    return _filled(
+        K.REPORT_TEXT, region=F.initcap(region), **{t: one_decimal(values[t]) for t in K.TARGETS},
+        category=F.coalesce(category, F.lit(K.DEFAULT_CATEGORY)), strategy=F.coalesce(strategy, F.lit(K.DEFAULT_STRATEGY)),
+        influences=F.when(named != "", named).otherwise(F.lit(K.DEFAULT_INFLUENCES)),
+        anomaly=F.when(spike, F.lit(K.SPIKE_TEXT)).otherwise(F.lit(K.NO_SPIKE_TEXT)), message=F.coalesce(message, F.lit("")))
 
 
 def wrapped_report(body: Column, artifact: Column) -> Column:
     """Full report text around the paragraph."""
-    return _sentence(
-        "AI-Generated Air Quality Summary\n\n", body,
-        "\n\nRuntime artifact: ", artifact,
-        "\nFuture scope: this template can be upgraded with an LLM-based report summarizer.",
-    )
+    return _filled(K.WRAPPED_TEXT, body=body, artifact=artifact)
 
 
 def importance_sentence(features: Column) -> Column:
     """Sentence naming the three strongest features of an ordered name array."""
     top = F.array_join(F.slice(features, 1, 3), ", ")
-    return F.when(
-        F.coalesce(F.size(features), F.lit(0)) > 0,
-        _sentence("The strongest available model signals for this demo are ", top, "."),
-    ).otherwise(F.lit("The model uses pollutant readings, weather context, time features, and region indicators."))
+    return F.when(F.coalesce(F.size(features), F.lit(0)) > 0, _filled(K.SIGNALS_TEXT, features=top)).otherwise(F.lit(K.NO_SIGNALS_TEXT))

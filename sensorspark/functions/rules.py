@@ -13,14 +13,15 @@ from sensorspark.functions.numeric import clip, to_double_or_zero
 
 def _signals(values: Mapping[str, Column], hour: Column, month: Column) -> dict[str, Column]:
     zero = F.lit(0.0)
+    above = lambda name, start, scale: F.greatest(zero, to_double_or_zero(values[name]) - start) / scale
     return {
         **{t: to_double_or_zero(values[t]) for t in K.TARGETS},
-        "rush": F.when(hour.between(17, 21), 1.0).when(hour.between(7, 10), 0.7).otherwise(zero),
-        "night": F.when((hour >= 22) | (hour <= 5), 0.55).otherwise(zero),
+        "rush": F.when(hour.between(17, 21), K.RULE_EVENING_RUSH).when(hour.between(7, 10), K.RULE_MORNING_RUSH).otherwise(zero),
+        "night": F.when((hour >= 22) | (hour <= 5), K.RULE_NIGHT).otherwise(zero),
         "winter": F.when((month >= 11) | (month <= 2), 1.0).otherwise(zero),
-        "humid": F.greatest(zero, to_double_or_zero(values["hum"]) - 55.0) / 18.0,
-        "wind": F.least(to_double_or_zero(values["ws"]), F.lit(10.0)) / 4.0,
-        "heat": F.greatest(zero, to_double_or_zero(values["temp"]) - 32.0) / 10.0,
+        "humid": above("hum", *K.RULE_HUMIDITY),
+        "wind": F.least(to_double_or_zero(values["ws"]), F.lit(K.RULE_WIND_CAP)) / K.RULE_WIND_SCALE,
+        "heat": above("temp", *K.RULE_HEAT),
     }
 
 

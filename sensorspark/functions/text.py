@@ -29,10 +29,11 @@ def clean_text(col: Column) -> Column:
 
 def snake_case(col: Column) -> Column:
     """`PM2.5 (ug/m3)` -> `pm2_5_ug_m3`, `windSpeed` -> `wind_speed`."""
-    out = F.regexp_replace(strip(col), "([a-z0-9])([A-Z])", "$1_$2")
-    out = F.regexp_replace(out, "([A-Z]+)([A-Z][a-z])", "$1_$2")
-    out = F.replace(out, F.lit("&"), F.lit(" and "))
-    out = F.replace(out, F.lit("%"), F.lit(" percent "))
+    out = strip(col)
+    for pattern in K.CAMEL_SPLITS:
+        out = F.regexp_replace(out, pattern, "$1_$2")
+    for sign, word in K.HEADER_WORDS:
+        out = F.replace(out, F.lit(sign), F.lit(word))
     out = F.regexp_replace(out, "[^A-Za-z0-9]+", "_")
     return F.lower(F.regexp_replace(out, "^_+|_+$", ""))
 
@@ -50,8 +51,7 @@ def canonical_header(col: Column) -> Column:
     ordered, so the first canonical name that fits wins.
     """
     text = snake_case(col)
-    for old, new in (("date_and_time", "date_time"), ("date_time_stamp", "date_time"),
-                     ("pm_10", "pm10"), ("pm_2_5", "pm2_5")):
+    for old, new in K.HEADER_SPELLINGS:
         text = F.replace(text, F.lit(old), F.lit(new))
     names = "|".join(K.CANONICAL_NAMES)
     return F.regexp_replace(text, f"^({names})(?:_.*|[a-z_]*[a-z][a-z_]*)$", "$1")
