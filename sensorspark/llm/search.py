@@ -20,7 +20,7 @@ never read. Ties in score go to the lower id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-SHARD_CHARS = 32_000_000
+SHARD_CHARS = 16_000_000
 UNIT = float(1 << 30)
 _FIRST_POSTINGS = 512
 _RESULT = "query_id long, doc_id long, score double"
@@ -48,25 +48,49 @@ def _words(text: Column) -> Column:
 class Shard:
     """Inverted index of some documents; `mean` is the mean length over the whole corpus."""
 
-    def __init__(self, ids: list[int], texts: list[str], mean: float) -> None:
-        vocabulary: dict[str, int] = {}
-        n = len(ids)
-        words, sizes = [], np.zeros(n, np.int64)
-        for i, text in enumerate(texts):
-            own = [vocabulary.setdefault(w, len(vocabulary)) for w in text.split(" ")] if text else []
-            sizes[i] = len(own)
-            words.append(np.array(own, np.int64))
-        self.ids, self.n, self.vocabulary = np.array(ids, np.int64), n, vocabulary
-        doc = np.repeat(np.arange(n), sizes)
-        pairs, tf = np.unique((np.concatenate(words) if n else np.zeros(0, np.int64)) * max(n, 1) + doc, return_counts=True)
-        self.term, self.doc = np.divmod(pairs, max(n, 1))
+    def __init__(self, ids: list[int], texts: Iterable[str], mean: float) -> None:
+        self.vocabulary: dict[str, int] = {}
+        self.ids: np.ndarray | list[int] = []
+        self.words: list[np.ndarray] = []
+        for i, text in zip(ids, texts, strict=True):
+            self.add(i, text)
+        self.finish(mean)
+
+    @classmethod
+    def empty(cls) -> Shard:
+        shard = cls.__new__(cls)
+        shard.vocabulary, shard.ids, shard.words = {}, [], []
+        return shard
+
+    def add(self, doc_id: int, text: str) -> None:
+        """One more document; only the numbers of its words are kept."""
+        number, known = self.vocabulary.setdefault, self.vocabulary
+        own = [number(w, len(known)) for w in text.split(" ")] if text else []
+        self.ids.append(doc_id)
+        self.words.append(np.array(own, np.int32))
+
+    def finish(self, mean: float) -> None:
+        vocabulary, n = self.vocabulary, len(self.ids)
+        self.ids, self.n = np.array(self.ids, np.int64), n
+        sizes = np.fromiter(map(len, self.words), np.int64, n)
+        pairs = np.concatenate(self.words).astype(np.int64) if n else np.zeros(0, np.int64)
+        del self.words
+        pairs *= max(n, 1)
+        pairs += np.repeat(np.arange(n), sizes)
+        pairs.sort()
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        tf = np.diff(first, append=len(pairs))
+        pairs = pairs[first]
+        self.term, self.doc = (pairs // max(n, 1)).astype(np.int32), (pairs % max(n, 1)).astype(np.int32)
+        del pairs, first
         length = np.where(sizes > 0, sizes, 1)[self.doc] / mean
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
+        del length, tf
         self.start = np.searchsorted(self.term, np.arange(len(vocabulary) + 1))
         self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if len(vocabulary) else np.zeros(0)
         # Block maxima, in the order of the postings.
         self.blocks = n // BLOCK + 1
-        cell = self.term * self.blocks + self.doc // BLOCK
+        cell = self.term.astype(np.int64) * self.blocks + self.doc // BLOCK
         first = np.flatnonzero(np.diff(cell, prepend=-1))
         self.block_of = cell[first] % self.blocks
         self.block_most = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
@@ -83,12 +107,12 @@ class Shard:
         at = np.arange(sizes.sum()) + np.repeat(starts[lo] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
         return at, sizes
 
-    def search(self, terms: list[str], weights: list[float], k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, terms: list[str], weights: Sequence[float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best k, best first."""
-        known = [(self.vocabulary[t], w) for t, w in zip(terms, weights, strict=True) if t in self.vocabulary]
-        if not known:
+        t, w = np.array([self.vocabulary.get(x, -1) for x in terms], np.int64), np.asarray(weights, np.float64)
+        t, w = t[t >= 0], w[t >= 0]
+        if not len(t):
             return np.zeros(0, np.int64), np.zeros(0)
-        t, w = np.array([a for a, _ in known]), np.array([b for _, b in known])
         bound = np.rint(w * self.most[t] * UNIT)
         order = np.lexsort((t, -bound))
         t, w, bound = t[order], w[order], bound[order]
@@ -125,22 +149,22 @@ class Shard:
 def _run(mean: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: int | None = None
-        ids: list[int] = []
-        texts: list[str] = []
-        index: Shard | None = None
+        index, open_ = Shard.empty(), True
         for batch in batches:
             out: list[tuple[int, np.ndarray, np.ndarray]] = []
-            for row in batch.to_pylist():
-                if row["shard"] != shard:
-                    shard, ids, texts, index = row["shard"], [], [], None
-                if row["terms"] is None:
-                    ids.append(row["id"])
-                    texts.append(row["text"])
+            text, is_query = batch.column("text"), batch.column("weights").is_valid().to_pylist()
+            # Weights of the whole batch as one array; a missing list takes no place in it.
+            weights, ends = batch.column("weights").flatten().to_numpy(), batch.column("weights").value_lengths().fill_null(0).to_numpy().cumsum()
+            for i, (own, row_id) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("id").to_pylist(), strict=True)):
+                if own != shard:
+                    shard, index, open_ = own, Shard.empty(), True
+                if not is_query[i]:
+                    index.add(row_id, text[i].as_py())
                     continue
-                if index is None:
-                    index = Shard(ids, texts, mean)
-                    texts = []
-                out.append((row["id"], *index.search(row["terms"], row["weights"], k)))
+                if open_:  # the first query of a shard follows its last document
+                    index.finish(mean)
+                    open_ = False
+                out.append((row_id, *index.search(text[i].as_py().split(" "), weights[ends[i - 1] if i else 0: ends[i]], k)))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat([q for q, _, _ in out], [len(i) for _, i, _ in out]), pa.int64()),
@@ -172,11 +196,11 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, text: str = "text"
     mean, shards = max((words or 0) / max(total, 1), 1e-9), max(1, -(-(chars or 0) // shard_chars))
     vectors = query_vectors(asked, docs, total)
     dealt = docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int").alias("shard"), "id", "text",
-                        F.lit(None).cast("array<string>").alias("terms"), F.lit(None).cast("array<double>").alias("weights"))
+                        F.lit(None).cast("array<double>").alias("weights"))
     everywhere = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(int(shards) - 1))).alias("shard"), "id",
-                                F.lit(None).cast("string").alias("text"), "terms", "weights")
+                                F.array_join("terms", " ").alias("text"), "weights")  # a query's words take the place of a text
     rows = dealt.unionByName(everywhere).repartition(int(shards), "shard").sortWithinPartitions(
-        "shard", F.col("terms").isNotNull(), "id")
+        "shard", F.col("weights").isNotNull(), "id")
     found = rows.mapInArrow(_run(mean, k), _RESULT)
     place = W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
