@@ -38,7 +38,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, packed, and digests of the ids and of the text they decode to."""
-    coded = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    coded = bpe.encode(docs, TOKENIZER, round_trip=True)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

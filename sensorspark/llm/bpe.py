@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from sensorspark.llm.common import documents
 
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 _BITS = 24
 _MASK = (1 << _BITS) - 1
 _NO_MERGE = 1 << 62
@@ -350,8 +350,11 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_tokens, ids): ids packed as little-endian unsigned 32-bit integers."""
+def encode(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", round_trip: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids): ids packed as little-endian unsigned 32-bit integers.
+
+    With `round_trip` also `decoded`, the text of those ids, from the same worker and pass.
+    """
     spec = df.sparkSession.sparkContext.broadcast(load(path))  # a vocabulary file, whose size does not follow the data
     docs = documents(df, text, doc_id)
 
@@ -360,12 +363,16 @@ def encode(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id")
         for batch in batches:
             for part in _slices(batch, "text"):
                 ids = machine.encode_many(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "n_tokens", "ids"])
-
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return docs.mapInArrow(run, schema)
+                out = [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if round_trip:
+                    out.append(pa.array(["".join(machine.decode(_blocks(i))) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names)
+
+    fields = [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    if round_trip:
+        fields.append(T.StructField("decoded", T.StringType()))
+    names = [f.name for f in fields]
+    return docs.mapInArrow(run, T.StructType(fields))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -75,8 +75,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_bpe_stream")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    coded = bpe.encode(table(spark, folder, "documents"), TOKENIZER)
-    return bpe.decode(coded, TOKENIZER).select(
+    return bpe.encode(table(spark, folder, "documents"), TOKENIZER, round_trip=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -97,6 +97,8 @@ def test_query_and_awkward_rows(spark, folder, odd_docs, no_docs, both):
     coded = bpe.encode(odd_docs, path)
     assert coded.columns == ["doc_id", "n_tokens", "ids"] and coded.count() == odd_docs.count()
     assert sorted(r.n_tokens for r in coded.filter("doc_id = 0").collect()) == [0]
+    apart, together = bpe.decode(coded, path), bpe.encode(odd_docs, path, round_trip=True)
+    assert sorted(map(repr, apart.collect())) == sorted(map(repr, together.collect()))
     assert bpe.decode(bpe.decode(coded, path), path).columns == [*coded.columns, "decoded"]
     assert bpe.decode(bpe.encode(no_docs, path), path).count() == 0
     missing = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
