@@ -1,11 +1,12 @@
 """Licence texts in files, by a positional index of rare words.
 
-Templates are indexed word by word with their positions. Of the words of a file that occur in
-any template, the RARE with the highest inverse document frequency in the corpus are looked
-up; each of their places in the file, less the word's place in a template, is a vote for that template
-beginning there. Votes are intersected by relative position: the best start is the one most
-template words agree on. A template counts where the share of its indexed words (weighted by
-IDF) that agree reaches AGREEMENT and all of its key phrases stand in the file.
+Templates are indexed word by word with their positions. Each template is looked up by its own
+words with the highest inverse document frequency in the corpus, as many as hold more than the
+share of its weight that may disagree: a start at which none of them stands cannot reach AGREEMENT,
+so no start is lost. Each of their places in the file, less the word's place in the template, is a
+start to try; there all words of the template are compared by relative position. A template counts
+where the share of its words (weighted by IDF) that agree reaches AGREEMENT and all of its key
+phrases stand in the file.
 
 Base labels come from four phrases, whose words must stand consecutively.
 
@@ -15,8 +16,8 @@ the templates. Words are runs of ASCII letters and digits and of all other chara
 ASCII, in ASCII lower case.
 
 Edge cases: a missing text is an empty one without words; ids may be missing or repeated; other
-columns are never read; equal votes go to the earliest start; an empty corpus has no frequencies
-and gives no rows.
+columns are never read; a template may be cut by either end of a file, its missing words disagree;
+an empty corpus has no frequencies and gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 
 from sensorspark.llm.common import documents
 
-RARE = 24
 AGREEMENT = 0.8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,36 +118,46 @@ def idf_weights(total: int, found: Mapping[str, int], templates: Sequence[Templa
     return {w: math.log((total + 1) / (found.get(w, 0) + 1)) + 1e-3 for t in templates for w in t.words.split()}
 
 
-def _best_run(offsets: Column) -> Column:
-    """(weight, start) of the offset with the largest total weight, the earliest of equals; by one pass over sorted votes."""
-    zero, none = F.lit(0.0), F.lit(None).cast("int")
-    start = F.struct(none.alias("at"), zero.alias("sum"), none.alias("best_at"), zero.alias("best"))
+def _added(weights: Sequence[float]) -> float:
+    """Sum from left to right without compensation, as the engine adds; so a whole match is exactly 1."""
+    total = 0.0
+    for w in weights:
+        total += w
+    return total
 
-    def step(a: Column, v: Column) -> Column:
-        total = F.when(a["at"] == v["off"], a["sum"]).otherwise(0.0) + v["weight"]
-        better = total > a["best"] + 1e-9
-        return F.struct(v["off"].alias("at"), total.alias("sum"), F.when(better, v["off"]).otherwise(a["best_at"]).alias("best_at"),
-                        F.greatest(a["best"], total).alias("best"))
-    return F.aggregate(F.array_sort(offsets), start, step)
 
+def anchor_words(template: Template, idf: Mapping[str, float], agreement: float = AGREEMENT) -> list[str]:
+    """The rarest words of a template, as many as together weigh more than what may disagree."""
+    words = template.words.split()
+    spare = (1 - agreement) * _added([idf[w] for w in words]) * (1 + 1e-9)
+    chosen: list[str] = []
+    for word in sorted(set(words), key=lambda w: (-idf[w], w)):
+        chosen.append(word)
+        spare -= idf[word] * words.count(word)
+        if spare < 0:
+            break
+    return chosen
 
-def _agreement(hits: Column, template: Template, idf: Mapping[str, float], anchors: Column, present: Column) -> Column:
-    """Weight of the template's words that agree on one start, of those looked up or missing from the file.
 
-    Words that the file has, but too commonly to be looked up in it, count neither way.
-    """
-    postings = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(i).alias("pos"), F.lit(idf[w]).alias("weight"))
-                         for i, w in enumerate(template.words.split())])
-    own = F.filter(postings, lambda p: F.array_contains(anchors, p["w"]))
-    votes = F.flatten(F.transform(own, lambda p: F.transform(
-        F.filter(hits, lambda h: h["w"] == p["w"]), lambda h: F.struct((h["i"] - p["pos"]).alias("off"), p["weight"].alias("weight")))))
-    counted = F.filter(postings, lambda p: F.array_contains(anchors, p["w"]) | ~F.array_contains(present, p["w"]))
-    whole = F.aggregate(counted, F.lit(0.0), lambda a, p: a + p["weight"])
-    return F.when(whole > 0, _best_run(votes)["best"] / whole).otherwise(0.0)
+def _agreement(words: Column, template: Template, idf: Mapping[str, float], agreement: float) -> Column:
+    """Largest share of the template's weight that agrees on one start, exact from `agreement` upwards."""
+    indexed = list(enumerate(template.words.split()))
+    anchors = anchor_words(template, idf, agreement)
+
+    def array(places: Sequence[tuple[int, str]]) -> Column:
+        return F.array(*[F.struct(F.lit(w).alias("w"), F.lit(i).alias("pos"), F.lit(idf[w]).alias("weight")) for i, w in places])
+
+    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*anchors), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
+    rare = array([(i, w) for i, w in indexed if w in set(anchors)])
+    starts = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(
+        F.filter(rare, lambda p: p["w"] == h["w"]), lambda p: h["i"] - p["pos"]))))
+    agreed = F.transform(starts, lambda s: F.aggregate(array(indexed), F.lit(0.0), lambda a, p: a + F.when(
+        F.get(words, s + p["pos"]) == p["w"], p["weight"]).otherwise(0.0)))
+    return F.coalesce(F.array_max(agreed), F.lit(0.0)) / _added([idf[w] for _, w in indexed])
 
 
 def scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id", templates: Sequence[Template] = TEMPLATES,
-         rare: int = RARE, agreement: float = AGREEMENT) -> DataFrame:
+         agreement: float = AGREEMENT) -> DataFrame:
     """(doc_id, n_words, places, base_labels, found): one row per row of the input.
 
     `places` are (label, start, size) of the base phrases by start, `found` are (label, score) of the templates.
@@ -155,7 +165,6 @@ def scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id", templates: S
     docs = documents(df, text, doc_id)
     total, counted = frequencies(docs, templates)
     idf = idf_weights(total, counted, templates)
-    by_rarity = sorted(idf, key=lambda w: (-idf[w], w))
     words, possible = F.col("_words"), F.col("_possible")
     phrases = [*PHRASES, *sorted({t.keys[0] for t in templates})]
     none = F.array().cast("array<struct<label:string,start:int,size:int>>")
@@ -163,20 +172,14 @@ def scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id", templates: S
     places = F.concat(*[F.transform(_places(words, p), lambda i: F.struct(
         i.alias("start"), F.lit(label).alias("label"), F.lit(len(p.split())).alias("size"))) for p, label in PHRASES.items()])
     based = cut.select("doc_id", "_words", F.size("_words").cast("bigint").alias("n_words"), "_possible", F.when(possible, F.transform(
-        F.array_sort(places), lambda s: F.struct(s["label"], s["start"], s["size"]))).otherwise(none).alias("places"),
-        # The rarest template words of this file, rarest first; then where they stand.
-        F.when(possible, F.array_intersect(F.array(*[F.lit(w) for w in by_rarity]), words)).alias("_present")
-    ).withColumn("_anchors", F.slice("_present", 1, rare))
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: F.array_contains("_anchors", h["w"]))
-    hit = based.withColumn("_hits", F.when(possible, hits))
+        F.array_sort(places), lambda s: F.struct(s["label"], s["start"], s["size"]))).otherwise(none).alias("places"))
     scores = []
     for t in templates:
         verified = F.lit(True)
         for phrase in t.keys:
             verified = verified & (F.size(_places(words, phrase)) > 0)
-        scores.append(F.struct(F.lit(t.label).alias("label"), F.when(verified, _agreement(F.col("_hits"), t, idf, F.col("_anchors"), F.col("_present")))
-                               .otherwise(0.0).alias("score")))
+        scores.append(F.struct(F.lit(t.label).alias("label"), F.when(verified, _agreement(words, t, idf, agreement)).otherwise(0.0).alias("score")))
     empty = F.array().cast("array<struct<label:string,score:double>>")
     found = F.when(possible, F.filter(F.array(*scores), lambda s: s["score"] >= agreement)).otherwise(empty)
-    return hit.select("doc_id", "n_words", "places",
+    return based.select("doc_id", "n_words", "places",
                       F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"]))).alias("base_labels"), found.alias("found"))

@@ -61,3 +61,35 @@ def test_awkward_rows(spark, odd_docs, no_docs):
     many = spark.createDataFrame([(1, "mit license " * 3000), (2, None)], "doc_id long, text string")
     rows = dict(rows_of(many))
     assert len(rows[1].places) == 3000 and rows[2].n_words == 0
+
+
+def test_every_notice_of_a_file_is_found_beside_rarer_ones(spark):
+    """bsd and mit-text bring over 24 words that stand nowhere else; the words of the other notices are common."""
+    by = {t.label: t.words for t in lic.TEMPLATES}
+    common = "released under the mit license this work is licensed under the gnu general public license version 3"
+    docs = [(1, " / ".join([by["bsd"], by["mit-text"], by["mit-notice"]])), (2, " / ".join(t.words for t in lic.TEMPLATES)),
+            (3, by["bsd"] + " / " + by["mit-text"]), (4, "mit license " + by["bsd"])]
+    docs += [(100 + i, common) for i in range(50)]
+    rows = dict(rows_of(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {f.label for f in rows[1].found} == {"bsd", "mit-text", "mit-notice"}
+    assert {f.label for f in rows[2].found} == set(by) and {f.score for f in rows[2].found} == {1.0}
+    assert {f.label for f in rows[3].found} == {"bsd", "mit-text"} and {f.label for f in rows[4].found} == {"bsd"}
+    assert all({f.label for f in rows[i].found} == {"mit-notice", "gpl-3.0"} for i in range(100, 150))
+
+
+def test_scores_equal_every_start_tried(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text ilike '%license%' or text ilike '%cc%by%'").select("doc_id", "text")
+    total, counted = lic.frequencies(docs)
+    idf = lic.idf_weights(total, counted)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert texts
+    for i, r in rows_of(docs):
+        words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in texts[i]))
+        joined, want = f" {' '.join(words)} ", {}
+        for t in lic.TEMPLATES:
+            own = t.words.split()
+            best = max((sum(idf[w] for k, w in enumerate(own) if 0 <= s + k < len(words) and words[s + k] == w)
+                        for s in range(1 - len(own), len(words))), default=0.0) / sum(idf[w] for w in own)
+            if best >= lic.AGREEMENT and all(f" {k} " in joined for k in t.keys):
+                want[t.label] = round(best, 9)
+        assert {f.label: round(f.score, 9) for f in r.found} == want
