@@ -48,10 +48,14 @@ ranked AS (SELECT *, CAST(pm2_5 IS NOT NULL AS INT) + CAST(pm10 IS NOT NULL AS I
   source_relative_path, source_sheet, round(pm2_5, 6) AS pm2_5, round(pm10, 6) AS pm10
 FROM ranked, open WHERE rn = 1 AND epoch_ms(date_time) <= epoch_ms(watermark)"""))
 def stream_dedupe_window(spark, folder):
-    arriving = raw_readings(_Streamed(spark), folder)
-    kept = jobs.clean_stream(arriving, ["pm2_5", "pm10"], "1 hour", ties=["source_relative_path", "source_sheet", "event_id"])
+    """Best row per key of the stream; keys still open at its end are given out by a batch over the rows past the watermark."""
+    def kept(session):
+        return jobs.clean_stream(raw_readings(session, folder), ["pm2_5", "pm10"], "1 hour",
+                                 ties=["source_relative_path", "source_sheet", "event_id"])
+
     path = new_path(spark, "stream-clean")
-    out = jobs.run_to_table(kept, f"{path}/out", f"{path}/checkpoint")
+    closed = jobs.run_to_table(kept(_Streamed(spark)), f"{path}/out", f"{path}/checkpoint")
+    out = closed.unionByName(jobs.still_open(kept(spark), f"{path}/checkpoint"))
     return out.withColumns({"pm2_5": F.round("pm2_5", 6), "pm10": F.round("pm10", 6)})
 
 
@@ -59,10 +63,12 @@ def stream_dedupe_window(spark, folder):
   SELECT * FROM every_h WHERE epoch_ms(date_time) + 3600000 <= (SELECT epoch_ms(max(date_time)) - 3600000 FROM ev))""",
        tail=" UNION ALL ".join(_z_sql(t) for t in K.TARGETS)))
 def stream_zscore(spark, folder):
-    """Hourly means of the stream, then alerts per micro-batch; hours still open at the end are held back."""
-    arriving = event_readings(table(_Streamed(spark), folder, "events"))
-    means = jobs.mean_stream(arriving, K.TARGETS, "hourly", "1 hour")
+    """Hourly means of the stream, then alerts per micro-batch; hours still open at the end are a last batch."""
+    def means(session):
+        return jobs.mean_stream(event_readings(table(session, folder, "events")), K.TARGETS, "hourly", "1 hour")
+
     path = new_path(spark, "stream-zscore")
     job = jobs.RollingAlertJob(spark, f"{path}/job", K.TARGETS, window=24, threshold=2.0)
-    job.start(means, f"{path}/checkpoint").awaitTermination()
+    job.start(means(_Streamed(spark)), f"{path}/checkpoint").awaitTermination()
+    job.finish(means(spark), f"{path}/checkpoint", K.STEP_SECONDS["hourly"])
     return rounded(job.alerts(), "value", "z_score")

@@ -74,6 +74,24 @@ def mean_stream(raw: DataFrame, metrics: Sequence[str], granularity: str = "hour
         .select("region", _wall_clock(F.col("_window")["start"]).alias("date_time"), *metrics)
     )
 
+def last_position(spark: SparkSession, checkpoint: str) -> tuple[int, int | None]:
+    """(number, watermark in microseconds) of the last micro-batch of a stream that has ended; (-1, None) before the first."""
+    log = spark.read.text(f"{checkpoint}/offsets").select(
+        F.col("_metadata.file_name").cast("bigint").alias("batch"),
+        F.get_json_object("value", "$.batchWatermarkMs").cast("bigint").alias("mark"))
+    row = log.agg(F.max("batch").alias("batch"), F.max("mark").alias("mark")).first()
+    return (-1, None) if row["batch"] is None else (row["batch"], None if row["mark"] is None else row["mark"] * 1000)
+
+
+def still_open(whole: DataFrame, checkpoint: str, seconds: int = 0) -> DataFrame:
+    """Rows of a step that the ended stream holds in its state, from the batch result `whole` of the same step.
+
+    A row is open until the watermark has reached its time, or for windows of `seconds` their end. No row of an
+    open key was late, so the batch rows past the watermark are those of the state. The state stays as it
+    is: a later run gives these keys out itself, with what has arrived by then.
+    """
+    _, mark = last_position(whole.sparkSession, checkpoint)
+    return whole if mark is None else whole.where(micros(F.col("date_time")) + F.lit(seconds * 1_000_000) > F.lit(mark))
 
 
 class RollingAlertJob:
@@ -134,6 +152,14 @@ class RollingAlertJob:
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(self.process).start()
         )
 
+    def finish(self, whole: DataFrame, checkpoint: str, seconds: int = 0) -> None:
+        """Alerts of the rows still open when the stream ended, as the batch after its last.
+
+        A later run of the stream overwrites them under the same number.
+        """
+        number, _ = last_position(self.spark, checkpoint)
+        self.process(still_open(whole, checkpoint, seconds), number + 1)
+
     def alerts(self) -> DataFrame:
         return self.spark.read.option("basePath", f"{self.folder}/alerts").parquet(f"{self.folder}/alerts").drop("batch")
 
