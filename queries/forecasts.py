@@ -13,15 +13,11 @@ from sensorspark.operators import evaluate, models, split
 from sensorspark.plans import flows, reports
 from sensorspark.plans.shared import materialize
 
-FOREST = {"numTrees": 10, "maxDepth": 6}
-BOOSTED = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2}
-
 
 def config(*families: str) -> models.ForecastConfig:
-    """Whole table, published flow, fewer trees than the published run."""
+    """Whole table, published flow, presets, lags and windows."""
     return models.ForecastConfig(
-        granularity="hourly", lags=(1, 3, 24), windows=(3, 24), min_date=None, train_end=TRAIN_END,
-        validation_end=VALIDATION_END, families=families, forest=FOREST, boosted=BOOSTED)
+        granularity="hourly", min_date=None, train_end=TRAIN_END, validation_end=VALIDATION_END, families=families)
 
 
 def _train(spark, folder, *families):
@@ -45,7 +41,7 @@ leads AS (
 
 
 def _frame_sql():
-    """Select list of the model frame, column for column."""
+    """Select list of the model frame with three of the seven lags and two of the four windows."""
     def rolled(c, w, f):
         over = f"OVER (PARTITION BY region ORDER BY date_time ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
         return s6(f"CASE WHEN count({c}) {over} >= {max(2, w // 2)} THEN {f}({c}) {over} END")

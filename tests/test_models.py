@@ -137,3 +137,18 @@ def test_families():
         models.resolve_families(["other"])
     with pytest.raises(ValueError, match="Unsupported"):
         models.estimator("other", CONFIG)
+
+
+def test_model_queries_use_the_published_run(spark, folder):
+    from queries import QUERIES
+    from queries.common import SENSORS
+    from queries.forecasts import config
+    from sensorspark import constants as K
+
+    run = config("random_forest", "lightgbm", "xgboost")
+    forest, boosted = models.estimator("random_forest", run), models.estimator("xgboost", run)
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (140, 18)
+    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize()) == (360, 8, 0.045)
+    columns = set(QUERIES["model_frame"](spark, folder).columns)
+    assert {f"{c}_lag_{k}" for c in SENSORS for k in (1, 3, 6, 12, 24, 48, 168)} <= columns
+    assert {f"{c}_roll_{n}_{w}" for c in K.ROLLING_SENSORS for n in ("mean", "std") for w in (3, 6, 24, 72)} <= columns
