@@ -32,3 +32,10 @@ def unit_hash(*parts: Column | str) -> Column:
     text = F.concat_ws("|", *[F.coalesce(F.col(p).cast("string") if isinstance(p, str) else p.cast("string"), F.lit(""))
                               for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def finite_vectors(df: DataFrame, vector: str = "embedding", id: str = "vec_id") -> DataFrame:
+    """(id, vector) as doubles of the rows whose vector is there, not empty and all finite."""
+    value = F.col(f"`{vector}`").cast("array<double>")
+    finite = F.forall(value, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+    return df.select(F.col(f"`{id}`").alias("id"), value.alias("vector")).filter((F.size(value) > 0) & finite)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorspark.llm import bpe, licenses, mixing, pii, pu_quality, quality_rules, search, simhash, toxicity, warc
+from sensorspark.llm import bpe, licenses, mixing, pii, pu_quality, quality_rules, search, simhash, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -164,3 +164,10 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = search.top_k(docs, docs.filter("doc_id % 100 = 0"))
     return found.select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.select("vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained",
+                        "identity_error")
