@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorspark.llm import bpe, licenses, mixing, pii, pu_quality, quality_rules, search, simhash, toxicity, warc, whitening
+from sensorspark.llm import (
+    bpe,
+    licenses,
+    mixing,
+    pii,
+    pu_quality,
+    quality_rules,
+    search,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
+from sensorspark.plans.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +186,10 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     found = whitening.whiten(table(spark, folder, "embeddings"))
     return found.select("vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained",
                         "identity_error")
+
+
+@query("op12_token_files")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
