@@ -40,35 +40,28 @@ def stream_risk_scoring(spark, folder):
     return jobs.run_to_table(scored, f"{path}/out", f"{path}/checkpoint")
 
 
-@query("stream_dedupe_window", with_views(EV, RAW, """open AS (SELECT max(date_time) - INTERVAL 1 HOUR AS watermark FROM aligned),
-ranked AS (SELECT *, CAST(pm2_5 IS NOT NULL AS INT) + CAST(pm10 IS NOT NULL AS INT) AS score, count(*) OVER (PARTITION BY region, granularity, date_time) AS n,
+@query("stream_dedupe_window", with_views(EV, RAW, """ranked AS (SELECT *, CAST(pm2_5 IS NOT NULL AS INT) + CAST(pm10 IS NOT NULL AS INT) AS score, count(*) OVER (PARTITION BY region, granularity, date_time) AS n,
   row_number() OVER (PARTITION BY region, granularity, date_time
     ORDER BY CAST(pm2_5 IS NOT NULL AS INT) + CAST(pm10 IS NOT NULL AS INT) DESC, source_relative_path, source_sheet, event_id) AS rn FROM aligned)""",
        tail="""SELECT region, granularity, date_time, n AS source_row_count, score AS selected_row_non_null_score, event_id,
   source_relative_path, source_sheet, round(pm2_5, 6) AS pm2_5, round(pm10, 6) AS pm10
-FROM ranked, open WHERE rn = 1 AND epoch_ms(date_time) <= epoch_ms(watermark)"""))
+FROM ranked WHERE rn = 1"""))
 def stream_dedupe_window(spark, folder):
-    """Best row per key of the stream; keys still open at its end are given out by a batch over the rows past the watermark."""
-    def kept(session):
-        return jobs.clean_stream(raw_readings(session, folder), ["pm2_5", "pm10"], "1 hour",
-                                 ties=["source_relative_path", "source_sheet", "event_id"])
-
+    """Best row per key of the stream: the keys it has closed, and those its state still holds at the end."""
     path = new_path(spark, "stream-clean")
-    closed = jobs.run_to_table(kept(_Streamed(spark)), f"{path}/out", f"{path}/checkpoint")
-    out = closed.unionByName(jobs.still_open(kept(spark), f"{path}/checkpoint"))
+    job = jobs.CleanJob(spark, f"{path}/job", ["pm2_5", "pm10"], 3600, ties=["source_relative_path", "source_sheet", "event_id"])
+    job.start(raw_readings(_Streamed(spark), folder), f"{path}/checkpoint").awaitTermination()
+    out = job.closed().unionByName(job.open())
     return out.withColumns({"pm2_5": F.round("pm2_5", 6), "pm10": F.round("pm10", 6)})
 
 
-@query("stream_zscore", with_views(EV, RH.replace("readings_h AS", "every_h AS"), """readings_h AS (
-  SELECT * FROM every_h WHERE epoch_ms(date_time) + 3600000 <= (SELECT epoch_ms(max(date_time)) - 3600000 FROM ev))""",
-       tail=" UNION ALL ".join(_z_sql(t) for t in K.TARGETS)))
+@query("stream_zscore", with_views(EV, RH, tail=" UNION ALL ".join(_z_sql(t) for t in K.TARGETS)))
 def stream_zscore(spark, folder):
-    """Hourly means of the stream, then alerts per micro-batch; hours still open at the end are a last batch."""
-    def means(session):
-        return jobs.mean_stream(event_readings(table(session, folder, "events")), K.TARGETS, "hourly", "1 hour")
-
+    """Hourly means of the stream and alerts against the state of each region; an end mark closes the last hours."""
     path = new_path(spark, "stream-zscore")
-    job = jobs.RollingAlertJob(spark, f"{path}/job", K.TARGETS, window=24, threshold=2.0)
-    job.start(means(_Streamed(spark)), f"{path}/checkpoint").awaitTermination()
-    job.finish(means(spark), f"{path}/checkpoint", K.STEP_SECONDS["hourly"])
-    return rounded(job.alerts(), "value", "z_score")
+    source = event_readings(table(_Streamed(spark), folder, "events")).select("region", "date_time", *K.TARGETS)
+    stream = jobs.with_end(source, path)
+    alerts = jobs.stateful_alerts(stream, K.TARGETS, "hourly", window=24, threshold=2.0)
+    jobs.run_to_table(alerts, f"{path}/out", f"{path}/checkpoint")
+    jobs.mark_end(stream, path, f"{path}/checkpoint", 3 * K.STEP_SECONDS["hourly"])
+    return rounded(jobs.run_to_table(alerts, f"{path}/out", f"{path}/checkpoint"), "value", "z_score")
