@@ -41,13 +41,13 @@ leads AS (
 
 
 def _frame_sql():
-    """Select list of the model frame with three of the seven lags and two of the four windows."""
+    """Select list of the model frame, with all published lags and windows."""
     def rolled(c, w, f):
         over = f"OVER (PARTITION BY region ORDER BY date_time ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
         return s6(f"CASE WHEN count({c}) {over} >= {max(2, w // 2)} THEN {f}({c}) {over} END")
 
-    lags = [s6(f"lag({c}, {k}) OVER (PARTITION BY region ORDER BY date_time)", f"{c}_lag_{k}") for c in SENSORS for k in (1, 3, 24)]
-    rolls = [f"{rolled(c, w, f)} AS {c}_roll_{n}_{w}" for c in K.ROLLING_SENSORS for w in (3, 24)
+    lags = [s6(f"lag({c}, {k}) OVER (PARTITION BY region ORDER BY date_time)", f"{c}_lag_{k}") for c in SENSORS for k in K.LAGS["hourly"]]
+    rolls = [f"{rolled(c, w, f)} AS {c}_roll_{n}_{w}" for c in K.ROLLING_SENSORS for w in K.WINDOWS["hourly"]
              for n, f in (("mean", "avg"), ("std", "stddev_samp"))]
     hot = [f"CAST(region = '{r}' AS INT) AS region_{r}" for r in K.REGIONS]
     usable = " AND ".join(["observed_row = 1", "observed_future = 1", *[f"target_{t} IS NOT NULL" for t in K.TARGETS]])
