@@ -1,9 +1,10 @@
 """Exact quantiles of many columns without holding a column in one task.
 
-One way for every size. Each wanted order statistic is bracketed by two approximate
-percentiles, whose rank error is known; the next pass looks only between the brackets,
-until few enough values are left to count them one by one. Every pass is one aggregate
-per group of columns, so nothing but the brackets and at most READABLE_ROWS counted values
+Mergeable KLL sketches bracket the wanted order statistics of all columns in the pass that also
+counts them; a second pass counts what lies below and inside every bracket; a third one reads the
+few values inside, so three passes are enough while the brackets hold at most READABLE_ROWS values. Larger
+ones are bracketed again, inside only. A bracket that misses its ranks, which a sketch may do, is thrown
+away and the one before it halved. Nothing but brackets and at most READABLE_ROWS counted values
 reach the driver. NULL, NaN and infinities are no values.
 """
 
@@ -19,8 +20,34 @@ from pyspark.sql import functions as F
 from sensorspark.functions.numeric import finite
 
 READABLE_ROWS = 20_000
-ACCURACY = 1000
-RANKS_PER_PASS = 64
+# Size of a sketch and the rank error, as a share of the rows, that its brackets allow for.
+SKETCH_SIZE, RANK_ERROR = 2048, 0.003
+RANGES_PER_PASS = 128
+
+
+@dataclass
+class _Range:
+    """The order statistics `first` and `last` (from 0) of a column: both in [low, high], which holds `rows` values after `below`."""
+
+    column: str
+    first: int
+    last: int
+    low: float
+    high: float
+    below: int
+    rows: int
+    found: tuple[float, float] | None = None
+
+    def bracket(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
+
+
+def _sketch(value: Column) -> Column:
+    return F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE))
+
+
+def _read_at(sketch: Column, shares: Sequence[float]) -> Column:
+    return F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(float(min(1.0, max(0.0, s)))) for s in shares]))
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], exact: bool = True,
@@ -34,90 +61,106 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         wanted = F.array(*[F.lit(p) for p in probabilities])
         row = df.agg(*[F.percentile_approx(v, wanted, F.lit(accuracy)) for v in values.values()]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
-    ends = df.agg(*[f(v) for v in values.values() for f in (F.count, F.min, F.max)]).first()
-    ranks: dict[tuple[str, int], _Rank] = {}
-    places: dict[str, list[float]] = {}
-    for i, c in enumerate(columns):
-        n, low, high = ends[3 * i: 3 * i + 3]
-        places[c] = [p * (n - 1) for p in probabilities] if n else []
-        for place in places[c]:
-            for at in {math.floor(place), math.ceil(place)}:
-                ranks.setdefault((c, at), _Rank(c, at, low, high, 0, n))
-    _search(df, values, list(ranks.values()))
-
-    def between(c: str, place: float) -> float:
-        low, high = ranks[c, math.floor(place)].low, ranks[c, math.ceil(place)].low
-        return low + (high - low) * (place - math.floor(place))
-    return {c: [between(c, place) for place in places[c]] or [None] * len(probabilities) for c in columns}
-
-
-@dataclass
-class _Rank:
-    """The order statistic `at` (from 0) of a column: in [low, high], with `below` values under low and `rows` inside."""
-
-    column: str
-    at: int
-    low: float
-    high: float
-    below: int
-    rows: int
-
-    def inside(self, value: Column) -> Column:
-        return value.between(F.lit(self.low), F.lit(self.high))
-
-
-def _search(df: DataFrame, values: dict[str, Column], ranks: list[_Rank]) -> None:
-    """Narrow all ranks until low = high."""
-    while open_ranks := [r for r in ranks if r.low < r.high]:
-        # Neighbouring ranks of a column mostly share a bracket, which is then counted once.
-        brackets = {(r.column, r.low, r.high): r.rows for r in open_ranks}
-        if sum(brackets.values()) <= READABLE_ROWS:
-            _read(df, values, open_ranks, list(brackets))
-            return
-        for at in range(0, len(open_ranks), RANKS_PER_PASS):
-            _narrow(df, values, open_ranks[at: at + RANKS_PER_PASS])
-
-
-def _narrow(df: DataFrame, values: dict[str, Column], ranks: list[_Rank]) -> None:
-    """One pass for new brackets by sketch, one to count what lies below and between them."""
-    asked = []
-    for r in ranks:
-        share = (r.at - r.below + 1) / r.rows
-        near = F.array(F.lit(max(0.0, share - 2 / ACCURACY)), F.lit(min(1.0, share + 2 / ACCURACY)))
-        asked.append(F.percentile_approx(F.when(r.inside(values[r.column]), values[r.column]), near, F.lit(ACCURACY)))
-    sketched = df.agg(*asked).first()
+    names = {c: f"_{i}" for i, c in enumerate(columns)}
+    summed = df.agg(*[f(v).alias(f"{n}{names[c]}") for c, v in values.items() for n, f in (
+        ("n", F.count), ("low", F.min), ("high", F.max), ("sketch", _sketch))])
+
+    shares = [p + sign * RANK_ERROR for p in probabilities for sign in (-1, 1)]
+    row = summed.select(*[c for name in names.values() for c in (
+        f"n{name}", f"low{name}", f"high{name}",
+        F.when(F.col(f"n{name}") > 0, _read_at(F.col(f"sketch{name}"), shares)).alias(f"near{name}"))]).first()
+    ranges: dict[tuple[str, int], _Range] = {}
     tries = []
-    for r, (low, high) in zip(ranks, sketched, strict=True):
-        if (low, high) == (r.low, r.high):  # a sketch that does not help is replaced by halving, which always does
-            high = r.low + (r.high - r.low) / 2
-            high = high if r.low <= high < r.high else r.low
-        tries.append((low, high))
-    counts = df.agg(*[F.count(F.when(test, 1)) for r, (low, high) in zip(ranks, tries, strict=True) for v in (values[r.column],) for test in (
-        v < low, v.between(low, high), (v > high) & (v <= r.high), )]
-                    + [F.min(F.when(v > high, v)) for r, (_, high) in zip(ranks, tries, strict=True) for v in (values[r.column],)]).first()
-    for i, (r, (low, high)) in enumerate(zip(ranks, tries, strict=True)):
-        below, rows, above = counts[3 * i: 3 * i + 3]
-        if below <= r.at < below + rows:
+    for i, c in enumerate(columns):
+        n, low, high, brackets = row[4 * i: 4 * i + 4]
+        for k, p in enumerate(probabilities if n else []):
+            place = p * (n - 1)
+            ranges[c, k] = _Range(c, math.floor(place), math.ceil(place), low, high, 0, n)
+            # Few rows: the neighbours of a rank lie further off, as shares, than the error that is allowed for.
+            few = n * RANK_ERROR < 3
+            tries.append((ranges[c, k], *((low, high) if few else brackets[2 * k: 2 * k + 2])))
+    for at in range(0, len(tries), RANGES_PER_PASS):
+        _count(df, values, tries[at: at + RANGES_PER_PASS], first=True)
+    while open_ranges := [r for r in ranges.values() if r.found is None]:
+        if sum({r.bracket(): r.rows for r in open_ranges}.values()) <= READABLE_ROWS:
+            _read(df, values, open_ranges)
+        else:
+            for at in range(0, len(open_ranges), RANGES_PER_PASS):
+                _narrow(df, values, open_ranges[at: at + RANGES_PER_PASS])
+
+    def between(r: _Range, p: float) -> float:
+        place = p * (row[f"n{names[r.column]}"] - 1)
+        return r.found[0] + (r.found[1] - r.found[0]) * (place - math.floor(place))
+    return {c: [between(ranges[c, k], p) if (c, k) in ranges else None for k, p in enumerate(probabilities)] for c in columns}
+
+
+def _narrow(df: DataFrame, values: dict[str, Column], ranges: Sequence[_Range]) -> None:
+    """Sketch the inside of every bracket, then count the new ones."""
+    inside = {r.bracket(): F.when(values[r.column].between(F.lit(r.low), F.lit(r.high)), values[r.column]) for r in ranges}
+    names = {b: f"s{i}" for i, b in enumerate(inside)}
+    summed = df.agg(*[_sketch(v).alias(names[b]) for b, v in inside.items()])
+
+    def near(r: _Range) -> list[float]:
+        slack = RANK_ERROR + 2 / r.rows
+        return [(r.first - r.below) / r.rows - slack, (r.last - r.below + 1) / r.rows + slack]
+
+    row = summed.select(*[_read_at(F.col(names[r.bracket()]), near(r)) for r in ranges]).first()
+    _count(df, values, [(r, low, high) for r, (low, high) in zip(ranges, row, strict=True)])
+
+
+def _count(df: DataFrame, values: dict[str, Column], tries: Sequence[tuple[_Range, float, float]], first: bool = False) -> None:
+    """Take over the brackets that hold their ranks; halve the others, and those that are no smaller unless it is the first time."""
+    halved = []
+    wanted = dict.fromkeys((r.column, low, high) for r, low, high in tries)
+    counts = df.agg(*[F.count_if(test) for c, low, high in wanted for test in (
+        values[c] < low, values[c].between(F.lit(low), F.lit(high)))]).first()
+    known = {b: (counts[2 * i], counts[2 * i + 1]) for i, b in enumerate(wanted)}
+    for r, low, high in tries:
+        below, rows = known[r.column, low, high]
+        holds = below <= r.first and r.last < below + rows
+        if holds and (first or rows < r.rows or low == high):
             r.low, r.high, r.below, r.rows = low, high, below, rows
-        elif r.at >= below + rows:  # only after halving: the upper half
-            r.low, r.below, r.rows = counts[3 * len(ranks) + i], below + rows, above
+            if low == high:
+                r.found = (low, low)
         else:
-            raise ArithmeticError(f"rank {r.at} of {r.column} left its bracket")
-
-
-def _read(df: DataFrame, values: dict[str, Column], ranks: list[_Rank], brackets: list[tuple[str, float, float]]) -> None:
+            halved.append(r)
+    if halved:
+        _halve(df, values, halved)
+
+
+def _halve(df: DataFrame, values: dict[str, Column], ranges: Sequence[_Range]) -> None:
+    """Cut brackets in the middle of their values' range; always makes progress."""
+    cuts = []
+    for r in ranges:
+        middle = r.low + (r.high - r.low) / 2
+        cuts.append(middle if r.low <= middle < r.high else r.low)
+    rows = df.agg(*[a for r, cut in zip(ranges, cuts, strict=True) for v in (values[r.column],) for a in (
+        F.count_if(v.between(F.lit(r.low), F.lit(cut))), F.max(F.when(v.between(F.lit(r.low), F.lit(cut)), v)),
+        F.min(F.when((v > cut) & (v <= r.high), v)))]).first()
+    for i, r in enumerate(ranges):
+        under, top, bottom = rows[3 * i: 3 * i + 3]
+        if r.last < r.below + under:
+            r.high, r.rows = top, under
+        elif r.first >= r.below + under:
+            r.low, r.below, r.rows = bottom, r.below + under, r.rows - under
+        else:  # the two neighbours lie on either side of the cut
+            r.found = (top, bottom)
+        if r.low == r.high:
+            r.found = (r.low, r.low)
+
+
+def _read(df: DataFrame, values: dict[str, Column], ranges: Sequence[_Range]) -> None:
     """Count the values inside the last brackets, at most READABLE_ROWS in all."""
+    brackets = list(dict.fromkeys(r.bracket() for r in ranges))
     found = F.array_compact(F.array(*[
         F.when(values[c].between(F.lit(low), F.lit(high)), F.struct(F.lit(i).alias("id"), values[c].alias("v")))
         for i, (c, low, high) in enumerate(brackets)]))
     counted: dict[int, list] = {}
     for row in df.select(F.inline(found)).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")).collect():
         counted.setdefault(row["id"], []).append((row["v"], row["n"]))
-    ordered = {brackets[i]: sorted(pairs) for i, pairs in counted.items()}
-    for r in ranks:
-        seen = r.below
-        for value, n in ordered[r.column, r.low, r.high]:
+    for r in ranges:
+        ends, seen = [], r.below
+        for value, n in sorted(counted[brackets.index(r.bracket())]):
             seen += n
-            if r.at < seen:
-                r.low = r.high = value
-                break
+            ends += [value] * ((r.first < seen) + (r.last < seen) - len(ends))
+        r.found = (ends[0], ends[1])

@@ -19,16 +19,30 @@ def table(spark, n=4000, seed=1):
     return pdf, spark.createDataFrame(rows, ", ".join(f"{c} double" for c in pdf.columns)).repartition(4)
 
 
-@pytest.mark.parametrize(("readable", "accuracy"), [(0, 20), (50, 20), (100_000, 1000)])
-def test_quantiles_are_exact(spark, monkeypatch, readable, accuracy):
+@pytest.mark.parametrize(("readable", "size", "error"), [(0, 8, 0.0), (50, 8, 0.1), (0, 200, 0.02), (100_000, 2048, 0.003)])
+def test_quantiles_are_exact(spark, monkeypatch, readable, size, error):
+    """Also with sketches so coarse that brackets miss their ranks."""
     pdf, df = table(spark)
     monkeypatch.setattr(Q, "READABLE_ROWS", readable)
-    monkeypatch.setattr(Q, "ACCURACY", accuracy)
+    monkeypatch.setattr(Q, "SKETCH_SIZE", size)
+    monkeypatch.setattr(Q, "RANK_ERROR", error)
     got = Q.quantiles(df, list(pdf.columns), PROBABILITIES)
     for c in pdf.columns:
         np.testing.assert_allclose(got[c], pdf[c].dropna().quantile(PROBABILITIES).tolist(), rtol=1e-12)
 
 
+def test_three_passes_are_enough(spark, monkeypatch):
+    passes = []
+    for name in ("_count", "_read", "_narrow", "_halve"):
+        real = getattr(Q, name)
+        monkeypatch.setattr(Q, name, lambda *a, real=real, name=name, **k: passes.append(name) or real(*a, **k))
+    pdf, df = table(spark, 60_000)
+    got = Q.quantiles(df, list(pdf.columns), [0.005, 0.5, 0.995])
+    assert passes == ["_count", "_read"], "one pass for sketches and ends comes before"
+    for c in pdf.columns:
+        np.testing.assert_allclose(got[c], pdf[c].dropna().quantile([0.005, 0.5, 0.995]).tolist(), rtol=1e-12)
+
+
 @pytest.mark.parametrize("readable", [0, 10, 100_000])
 def test_values_that_are_not_finite_do_not_count(spark, monkeypatch, readable):
     monkeypatch.setattr(Q, "READABLE_ROWS", readable)
