@@ -3,16 +3,18 @@
 A bucket (a source with a weight of its own; all others together) of n documents and target
 share w gets total * w documents on average, so each of its documents is repeated with mean
 rate total * w / n. The number of copies is the inverse of the Poisson distribution at a number
-hashed from seed and document, so a rerun, or any partitioning, gives the same mix. Copies
-are exploded and dealt out over the cluster by a second hash, which is their place in the
+hashed from seed, id and text, so a rerun, or any partitioning, gives the same mix. A rate beyond
+MOST is split into equal parts, whose copies add up, so tables stay short whatever the rate. Copies
+are exploded, in blocks, and dealt out over the cluster by a second hash, which is their place in the
 global order: every output partition is one slice of that order, itself in order.
 
 Built-in expressions only. The corpus is counted by bucket; that table has at most one row per
-given weight and one more, so its distribution tables are a bounded broadcast. Nothing depends
+given weight and one more, each with a table of at most some 150 numbers in the plan. Nothing depends
 on how many rows a source has: no step groups or partitions documents by source.
 
-Edge cases: a missing source belongs to the rest; missing, empty and repeated ids are fine (equal
-ids get equal copy numbers and, if their texts are equal too, repeat like any row). Buckets without documents
+Edge cases: a missing source belongs to the rest; missing texts count as empty ones. Rows of one id with different texts
+are drawn each by itself; rows equal in id and text get equal numbers of copies. A row without id is drawn by its
+place in the table, so the same files give the same mix, but another partitioning may give these rows other numbers. Buckets without documents
 get no share: the shares of the others grow in proportion. A weight of zero removes a source.
 Columns named like the results are replaced; all others are carried unchanged.
 """
@@ -29,6 +31,8 @@ from sensorspark.llm.common import unit_hash
 
 REST = "*"
 RESULTS = ("copy", "order_key")
+# Largest rate that is inverted in one piece, and copies that are exploded at once.
+MOST, BLOCK = 64.0, 4096
 _TAIL = 1e-18
 
 
@@ -62,8 +66,19 @@ def rates(df: DataFrame, weights: Mapping[str, float], total: int | None = None,
     return {b: size * wanted[b] / share / sizes[b] if share else 0.0 for b in sizes}
 
 
+def _copies(rate: float, seed: int) -> Column:
+    """Copies of a row with key and text `_said`: a Poisson number of mean `rate`."""
+    pieces = max(1, math.ceil(rate / MOST))
+    table = F.array(*[F.lit(p) for p in poisson_table(rate / pieces)])
+    inverse = lambda u: F.size(F.filter(table, lambda p: p <= u))
+    if pieces == 1:
+        return inverse(unit_hash(F.lit(seed), "_said"))
+    numbers = F.sequence(F.lit(1), F.lit(pieces))
+    return F.aggregate(numbers, F.lit(0), lambda n, i: n + inverse(unit_hash(F.lit(seed), "_said", i)))
+
+
 def mix(df: DataFrame, weights: Mapping[str, float], total: int | None = None, seed: int = 17, source: str = "source",
-        doc_id: str = "doc_id", parts: int | None = None) -> DataFrame:
+        doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """The columns of the input, `copy` (from 0) and `order_key`: one row per copy, globally shuffled.
 
     `weights` maps sources to target shares; the key "*" stands for all sources not named.
@@ -72,14 +87,18 @@ def mix(df: DataFrame, weights: Mapping[str, float], total: int | None = None, s
     found = rates(df, weights, total, source)
     carried = [F.col(f"`{c}`") for c in df.columns if c not in RESULTS]
     bucket = bucket_of(F.col(f"`{source}`"), weights)
-    u = unit_hash(F.lit(seed), f"`{doc_id}`")
+    row = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
+    key = F.coalesce(F.col(f"`{doc_id}`").cast("string"), row)
+    content = F.coalesce(F.col(f"`{text}`"), F.lit("")) if text in df.columns else F.lit("")
+    keyed = df.select(*carried, key.alias("_key"), F.concat_ws("|", key, content).alias("_said"), bucket.alias("_bucket"))
     copies = F.lit(0)
     for name, rate in sorted(found.items()):
-        table = F.array(*[F.lit(p) for p in poisson_table(rate)])
-        copies = F.when(bucket == name, F.size(F.filter(table, lambda p: p <= u))).otherwise(copies)
-    named = df.select(*carried, copies.alias("copy"))
-    each = named.filter("copy > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copy") - 1)))
-    order = unit_hash(F.lit(seed + 1), f"`{doc_id}`", "copy")
+        copies = F.when(F.col("_bucket") == name, _copies(rate, seed)).otherwise(copies)
+    named = keyed.withColumn("copy", copies).filter("copy > 0")
+    # Two steps, so that no array is longer than a block or the number of blocks.
+    starts = named.withColumn("_from", F.explode(F.sequence(F.lit(0), F.greatest(F.col("copy") - 1, F.lit(0)), F.lit(BLOCK))))
+    each = starts.withColumn("copy", F.explode(F.sequence("_from", F.least(F.col("_from") + (BLOCK - 1), F.col("copy") - 1))))
+    order = unit_hash(F.lit(seed + 1), "_said", "copy")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = each.withColumn("order_key", order).repartitionById(parts, F.floor(F.col("order_key") * parts).cast("int"))
+    dealt = each.withColumn("order_key", order).select(*carried, "copy", "order_key").repartitionById(parts, F.floor(F.col("order_key") * parts).cast("int"))
     return dealt.sortWithinPartitions("order_key")

@@ -29,7 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # Vocabulary of the token queries; operators take any path.
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(name: str, sql: str | None = None):
@@ -114,11 +114,11 @@ r AS (SELECT b, (SELECT sum(n) FROM n) * w / (SELECT sum(w) FROM n) / n AS rate
 p AS (SELECT b, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY b ORDER BY k) AS below
       FROM (SELECT b, rate, unnest(range(0, CAST(rate + 20 * sqrt(rate) + 40 AS BIGINT))) AS k FROM r)),
 q AS (SELECT b, list(below ORDER BY k) AS cdf FROM p GROUP BY b),
-c AS (SELECT d.*, len(list_filter(q.cdf, lambda x: x <= CAST('0x' || substr(md5('17|' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0)) AS copies
+c AS (SELECT d.*, len(list_filter(q.cdf, lambda x: x <= CAST('0x' || substr(md5('17|' || doc_id || '|' || coalesce(text, '')), 1, 13) AS BIGINT) / 4503599627370496.0)) AS copies
       FROM d JOIN q USING (b)),
 e AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(0, copies)) AS copy FROM c)
 SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy,
-       CAST('0x' || substr(md5('18|' || doc_id || '|' || copy), 1, 13) AS BIGINT) / 4503599627370496.0 AS order_key FROM e
+       CAST('0x' || substr(md5('18|' || doc_id || '|' || coalesce(text, '') || '|' || copy), 1, 13) AS BIGINT) / 4503599627370496.0 AS order_key FROM e
 """
 
 

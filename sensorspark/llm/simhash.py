@@ -13,9 +13,9 @@ one flipped bit away, of which any two members within two bits share one, at a c
 the members. Both ways give the same components.
 
 Edge cases: texts without words (missing ones too) have fingerprint zero and link like any
-other. Rows of one id are separate rows. Rows without id take part with what id their
-fingerprint's other rows have; a fingerprint without any id has no component (NULL), and
-`keep_one` keeps its rows, which nothing names. Other columns are carried or ignored, never read.
+other. Rows of one id are separate rows, each in the class of its text. Rows without id take part like all
+others; a class without any id has no component_id (NULL). `keep_one` keeps one row of every class, one
+with an id if there is any; of rows equal in id and text, one. Other columns are carried or ignored, never read.
 """
 
 from __future__ import annotations
@@ -112,28 +112,37 @@ def links(points: DataFrame, blocks: int = BLOCKS, cell_limit: int = CELL_LIMIT)
     return direct.unionByName(starred).distinct()
 
 
+def _rooted(df: DataFrame, text: str, doc_id: str, blocks: int, cell_limit: int) -> DataFrame:
+    """(doc_id, fp, t, root, component_id) per row: hash of the text, least fingerprint and least id of the row's class."""
+    known = documents(df, text, doc_id).select("doc_id", _fingerprints("text").alias("fp"), F.xxhash64("text").alias("t"))
+    rows = materialize(known, "fingerprints")
+    counts = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    points = counts.select("fp", F.col("fp").alias("node"), "least")
+    found = components(links(points.select("fp", "node"), blocks, cell_limit))
+    rooted = materialize(points.join(found, "node", "left").select("fp", F.coalesce("component", "fp").alias("root"), "least"), "roots")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return spread_lookup(rows, rooted.join(ids, "root").select("fp", "root", "component_id"), "fp", counts, rows.count())
+
+
 def classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", blocks: int = BLOCKS,
             cell_limit: int = CELL_LIMIT) -> DataFrame:
     """(doc_id, fp, component_id): one row per row of the input, with the least id reachable over links."""
-    rows = materialize(fingerprints(df, text, doc_id), "fingerprints")
-    counts = rows.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n"))
-    points = counts.filter("node is not null").select("fp", "node")
-    found = components(links(points, blocks, cell_limit))
-    mapping = points.join(found, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id"))
-    return spread_lookup(rows, mapping, "fp", counts, rows.count()).select("doc_id", "fp", "component_id")
+    return _rooted(df, text, doc_id, blocks, cell_limit).select("doc_id", "fp", "component_id")
 
 
 def hex16(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options: int) -> DataFrame:
-    """The input with one row per class: the one with the least id, and one row if that id repeats."""
-    names = list(df.columns)
-    chosen = classes(df, text, doc_id, **options).filter("component_id = doc_id").select(
-        F.col("doc_id").alias("_kept")).distinct()
-    key = F.col(f"`{doc_id}`")
-    first = W.partitionBy("_kept").orderBy(key)
-    kept = df.join(chosen, key == F.col("_kept")).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    return kept.select(*[F.col(f"`{c}`") for c in names]).unionByName(df.filter(key.isNull()))
+def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", blocks: int = BLOCKS,
+             cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """The input with one row per class: the one with the least id (none is last), then the least hash of its text."""
+    rows = _rooted(df, text, doc_id, blocks, cell_limit)
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("b"))
+    chosen = best.select(F.col("b.doc_id").alias("_kept"), F.col("b.t").alias("_t"))
+    key, content = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    # Rows of one id and one text are in one class, of which one row stays.
+    first = W.partitionBy("_kept", "_t").orderBy(content)
+    kept = df.withColumn("_hash", F.xxhash64(content)).join(chosen, key.eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_t")))
+    kept = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sensorspark.llm import mixing
 
 
-def copies(doc_id, rate, seed):
-    u = int(hashlib.md5(f"{seed}|{doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+def copies(doc_id, rate, seed, text="t"):
+    u = int(hashlib.md5(f"{seed}|{doc_id}|{text}".encode()).hexdigest()[:13], 16) / 2**52
     k, below = 0, math.exp(-rate)
     term = below
     while below <= u:
@@ -55,6 +55,28 @@ def test_large_rates_and_tables(spark):
     assert abs(mixing.mix(df, {"a": 1.0}, total=3000).count() - 3000) < 300
 
 
+@pytest.mark.parametrize("text", ["'the same'", "concat('text ', id)"])
+def test_rows_without_id_are_drawn_each_by_itself(spark, text):
+    df = spark.range(8000).selectExpr("cast(null as long) as doc_id", f"{text} as text", "'a' as source")
+    out = mixing.mix(df, {"a": 1.0}, total=12000, parts=8).withColumn("part", F.spark_partition_id()).collect()
+    assert abs(len(out) - 12000) < 5 * math.sqrt(12000)
+    parts = Counter(r.part for r in out)
+    assert len(parts) == 8 and all(abs(n - 1500) < 5 * math.sqrt(1500) for n in parts.values())
+
+
+def test_one_id_with_many_texts(spark):
+    df = spark.range(4000).selectExpr("7L as doc_id", "concat('text ', id) as text", "'a' as source")
+    got = Counter(r.text for r in mixing.mix(df, {"a": 1.0}, total=6000, seed=3).collect())
+    assert all(got[f"text {i}"] == copies(7, 1.5, 3, f"text {i}") for i in range(4000)) and len(set(got.values())) > 3
+
+
+def test_rates_beyond_one_table(spark):
+    df = spark.range(4).selectExpr("id as doc_id", "'t' as text", "'a' as source")
+    out = Counter(r.doc_id for r in mixing.mix(df, {"a": 1.0}, total=400_000).groupBy("doc_id", "copy").count().filter("count = 1").collect())
+    assert all(abs(n - 100_000) < 6 * math.sqrt(100_000) for n in out.values()) and len(set(out.values())) == 4
+    assert len(mixing.poisson_table(mixing.MOST)) < 200
+
+
 def test_awkward_rows(spark, odd_docs, no_docs):
     out = mixing.mix(odd_docs.withColumn("copy", F.lit("x")), {"src0": 1.0, mixing.REST: 1.0}, total=400)
     assert out.columns == [*odd_docs.columns, "copy", "order_key"] and 200 < out.count() < 600
