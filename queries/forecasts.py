@@ -10,7 +10,7 @@ from queries.common import (
 )
 from sensorspark import constants as K
 from sensorspark.operators import evaluate, models, split
-from sensorspark.plans import flows, reports
+from sensorspark.plans import flows, reports, run_store
 from sensorspark.plans.shared import materialize
 
 
@@ -21,7 +21,8 @@ def config(*families: str) -> models.ForecastConfig:
 
 
 def _train(spark, folder, *families):
-    return flows.train(readings_dense(spark, folder), config(*families))
+    """Run of the store: trained by the first query that asks for it, models of a family shared by all runs."""
+    return run_store.trained(readings_dense(spark, folder), config(*families))
 
 
 _DENSE = """readings_h AS (

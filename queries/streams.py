@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.common import EV, RAW, RH, event_readings, query, r6, raw_readings, rounded, s6, table, with_views
+from queries.common import EV, RAW, RH, event_readings, query, r6, raw_readings, readings_dense, rounded, s6, table, with_views
+from queries.forecasts import config
 from queries.risk_alerts import RULES
 from queries.series import _z_sql
 from sensorspark import constants as K
+from sensorspark.plans import run_store
 from sensorspark.plans.shared import new_path
 from sensorspark.streaming import jobs
 
@@ -65,3 +67,16 @@ def stream_zscore(spark, folder):
     jobs.run_to_table(alerts, f"{path}/out", f"{path}/checkpoint")
     jobs.mark_end(stream, path, f"{path}/checkpoint", 3 * K.STEP_SECONDS["hourly"])
     return rounded(jobs.run_to_table(alerts, f"{path}/out", f"{path}/checkpoint"), "value", "z_score")
+
+
+@query("stream_model_scoring")
+def stream_model_scoring(spark, folder):
+    """Arriving readings scored by the stored run's winners of their station; readings out of range are listed instead."""
+    path = new_path(spark, "stream-models")
+    bundle = run_store.trained(readings_dense(spark, folder), config("random_forest")).bundle
+    arriving = event_readings(table(_Streamed(spark), folder, "events")).drop("value", "user_id")
+    job = jobs.ModelScoringJob(spark, f"{path}/job", bundle, "best", keep=["event_id"])
+    job.start(arriving, f"{path}/checkpoint").awaitTermination()
+    shown = [c for t in bundle.targets for c in (f"{t}_forecast", f"{t}_strategy")]
+    scored = job.scores().select("event_id", "region", *shown, F.col("risk.category").alias("category"), F.lit("").alias("violations"))
+    return scored.unionByName(job.rejects().select("event_id", "region", F.array_join("violations", ",").alias("violations")), allowMissingColumns=True)

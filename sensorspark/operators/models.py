@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -24,6 +25,12 @@ from sensorspark.plans.shared import materialize
 SCOPES = ("multi_output", "single_target")
 BASELINE = "baseline_median"
 FEATURES = "_features"
+# Families that learn all targets of a row at once in the multi-output scope; the others fit one model per target in both.
+JOINT_FAMILIES = ("random_forest",)
+# Fits that run at the same time; each launches many small jobs.
+PARALLEL_FITS = 6
+# Training rows per task: levels of a tree are one job each, so small tables take few tasks.
+ROWS_PER_TASK = 20_000
 
 
 class ModelNotReadyError(RuntimeError):
@@ -129,7 +136,8 @@ def preprocessing(columns: Sequence[str], train: DataFrame, config: ForecastConf
 
 @dataclass
 class ForecastBundle:
-    """Everything scoring needs. `models[family][target]` are fitted regressors."""
+    """Everything scoring needs. `models[family][target]` are fitted regressors; `joint[family]` serve all targets of the
+    multi-output scope, on targets less their mean over their deviation (`scales`) and with one more feature per target."""
 
     preprocess: PipelineModel
     models: dict[str, dict[str, object]]
@@ -138,6 +146,8 @@ class ForecastBundle:
     targets: list[str]
     metadata: dict
     best: DataFrame
+    joint: dict[str, object] = field(default_factory=dict)
+    scales: dict[str, list[float]] = field(default_factory=dict)
 
     REQUIRED = ("preprocess", "models", "target_model", "features", "targets")
 
@@ -156,8 +166,11 @@ class ForecastBundle:
         for family, per_target in self.models.items():
             for target, model in per_target.items():
                 model.write().overwrite().save(f"{path}/models/{family}/{target}")
+        for family, model in self.joint.items():
+            model.write().overwrite().save(f"{path}/joint/{family}")
         self.best.write.mode("overwrite").parquet(f"{path}/best")
         contract = {"features": self.features, "targets": self.targets, "families": list(self.models),
+                    "joint": list(self.joint), "scales": self.scales,
                     "metadata": self.metadata, "parts": list(self.REQUIRED)}
         spark.createDataFrame([(json.dumps(contract),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/contract")
 
@@ -170,14 +183,17 @@ class ForecastBundle:
         missing = sorted(set(cls.REQUIRED) - set(contract["parts"]))
         if missing:
             raise ModelNotReadyError("Forecast bundle is missing parts: " + ", ".join(missing))
-        readers = {f: RandomForestRegressionModel if f == "random_forest" else GBTRegressionModel
-                   for f in contract["families"]}
-        models = {f: {t: readers[f].load(f"{path}/models/{f}/{t}") for t in contract["targets"]}
-                  for f in contract["families"]}
+        models = {f: {t: reader(f).load(f"{path}/models/{f}/{t}") for t in contract["targets"]} for f in contract["families"]}
+        joint = {f: reader(f).load(f"{path}/joint/{f}") for f in contract.get("joint", [])}
         return cls(PipelineModel.load(f"{path}/preprocess"), models,
                    TargetTransformerModel.load(f"{path}/target_model"), contract["features"],
                    contract["targets"], {**contract["metadata"], "model_dir": path},
-                   spark.read.parquet(f"{path}/best"))
+                   spark.read.parquet(f"{path}/best"), joint, contract.get("scales", {}))
+
+
+def reader(family: str):
+    """Class that loads the regressors of a family."""
+    return RandomForestRegressionModel if family == "random_forest" else GBTRegressionModel
 
 
 def median_baseline(train: DataFrame, targets: Sequence[str], exact: bool = True) -> dict[str, float | None]:
@@ -186,21 +202,69 @@ def median_baseline(train: DataFrame, targets: Sequence[str], exact: bool = True
     return {t: found[t][0] for t in targets}
 
 
-def raw_predictions(df: DataFrame, bundle_models: Mapping[str, Mapping[str, object]], preprocess: PipelineModel) -> DataFrame:
-    """Add `_p_{family}_{target}` (transformed scale) for every fitted model."""
+def raw_predictions(df: DataFrame, bundle_models: Mapping[str, Mapping[str, object]], preprocess: PipelineModel,
+                    joint: Mapping[str, object] | None = None, scales: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """Add `_p_{family}_{target}` (transformed scale) for every fitted model, `_j_{family}_{target}` for the joint ones."""
     out = preprocess.transform(df)
     for family, per_target in bundle_models.items():
         for target, model in per_target.items():
             out = model.copy({model.featuresCol: FEATURES, model.predictionCol: f"_p_{family}_{target}"}).transform(out)
+    for target in scales if joint else ():
+        out = with_target(out, target, list(scales))
+        for family, model in joint.items():
+            name = f"_j_{family}_{target}"
+            out = model.copy({model.featuresCol: JOINT_FEATURES, model.predictionCol: name}).transform(out)
+            middle, spread = scales[target]
+            out = out.withColumn(name, F.col(name) * spread + middle)
+        out = out.drop(JOINT_FEATURES)
     return out
 
 
-def fit(frame: DataFrame, config: ForecastConfig) -> tuple[ForecastBundle, DataFrame, DataFrame]:
+JOINT_FEATURES = "_joint_features"
+
+
+def with_target(df: DataFrame, target: str | Column, targets: Sequence[str]) -> DataFrame:
+    """Features and one indicator per target as one vector."""
+    names = [f"_is_{t}" for t in targets]
+    wanted = F.lit(target) if isinstance(target, str) else target
+    told = df.withColumns({n: (wanted == t).cast("double") for n, t in zip(names, targets, strict=True)})
+    return VectorAssembler(inputCols=[FEATURES, *names], outputCol=JOINT_FEATURES).transform(told).drop(*names)
+
+
+Keep = Callable[[str, Sequence[str], Callable[[], dict[str, object]]], dict[str, object]]
+
+
+def fit_now(family: str, names: Sequence[str], train: Callable[[], dict[str, object]]) -> dict[str, object]:
+    """Models of a family by name, always trained anew. A store puts its own in this place."""
+    return train()
+
+
+def fit_families(assembled: DataFrame, families: Sequence[str], targets: Sequence[str], scales: Mapping[str, Sequence[float]],
+                 config: ForecastConfig, keep: Keep = fit_now) -> dict[str, dict[str, object]]:
+    """Regressors of each family by target, and the joint one under the name `joint`. Fits run side by side."""
+    indicators = F.array(*[F.struct(F.lit(t).alias("_target"), ((F.col(f"_y_{t}") - scales[t][0]) / scales[t][1]).alias("_y")) for t in targets])
+    stacked = with_target(assembled.select(FEATURES, F.inline(indicators)), F.col("_target"), targets)
+
+    def train(family: str, pool: ThreadPoolExecutor) -> dict[str, object]:
+        learner = estimator(family, config)
+        jobs = {t: (assembled, {learner.featuresCol: FEATURES, learner.labelCol: f"_y_{t}"}) for t in targets}
+        if family in JOINT_FAMILIES:
+            jobs["joint"] = (stacked, {learner.featuresCol: JOINT_FEATURES, learner.labelCol: "_y"})
+        started = {name: pool.submit(learner.copy(params).fit, rows) for name, (rows, params) in jobs.items()}
+        return {name: task.result() for name, task in started.items()}
+
+    names = {f: [*targets, *(["joint"] if f in JOINT_FAMILIES else [])] for f in families}
+    with ThreadPoolExecutor(len(families)) as outer, ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        found = {f: outer.submit(keep, f, names[f], lambda f=f: train(f, pool)) for f in families}
+        return {f: task.result() for f, task in found.items()}
+
+
+def fit(frame: DataFrame, config: ForecastConfig, keep: Keep = fit_now) -> tuple[ForecastBundle, DataFrame, DataFrame]:
     """(bundle, long predictions on validation and test, metrics).
 
-    The regressors of a family are independent per target, so one fit per
-    target serves the multi-output and the single-target strategy alike.
-    `frame` should be a stored table: every tree level reads the training rows.
+    A forest learns all targets together for the multi-output strategy and each by itself for the single-target one;
+    boosted families have one model per target in both. `frame` should be a stored table.
+    `keep` may hand out models that were trained before.
     """
     families = resolve_families(config.families)
     targets = list(config.targets)
@@ -216,19 +280,20 @@ def fit(frame: DataFrame, config: ForecastConfig) -> tuple[ForecastBundle, DataF
     labels = [target_model.forward(F.col(c).cast("double"), t).alias(f"_y_{t}") for t, c in names.items()]
     assembled = preprocess.transform(train.select(*columns, *labels)).select(FEATURES, *[f"_y_{t}" for t in targets])
     assembled = materialize(assembled, "training-rows")
+    spreads = assembled.agg(F.count(F.lit(1)), *[f(f"_y_{t}") for t in targets for f in (F.avg, F.stddev_pop)]).first()
+    scales = {t: [spreads[1 + 2 * i] or 0.0, spreads[2 + 2 * i] or 1.0] for i, t in enumerate(targets)}
     medians = median_baseline(assembled.select(*[F.col(f"_y_{t}").alias(t) for t in targets]), targets, config.exact_quantiles)
-    models: dict[str, dict[str, object]] = {}
-    for family in families:
-        learner = estimator(family, config)
-        models[family] = {
-            t: learner.copy({learner.featuresCol: FEATURES, learner.labelCol: f"_y_{t}"}).fit(assembled) for t in targets}
+    found = fit_families(assembled.coalesce(max(1, spreads[0] // ROWS_PER_TASK)), families, targets, scales, config, keep)
+    models = {f: {t: per[t] for t in targets} for f, per in found.items()}
+    joint = {f: per["joint"] for f, per in found.items() if "joint" in per}
     held_out = frame.where(F.col("split").isin("validation", "test")).select(
         *dict.fromkeys(["region", "date_time", "split", *columns, *names.values()]))
-    scored = raw_predictions(held_out, models, preprocess)
+    scored = raw_predictions(held_out, models, preprocess, joint, scales)
     predicted = {BASELINE: {t: F.lit(medians[t]).cast("double") for t in targets}}
     for scope in SCOPES:
         for family in families:
-            predicted[strategy(scope, family)] = {t: F.col(f"_p_{family}_{t}") for t in targets}
+            together = scope == "multi_output" and family in joint
+            predicted[strategy(scope, family)] = {t: F.col(f"{'_j' if together else '_p'}_{family}_{t}") for t in targets}
     wide = scored.select("region", "date_time", "split", *names.values(), *[
         target_model.backward(c, t).alias(f"{s}_pred_{t}") for s, cols in predicted.items() for t, c in cols.items()])
     predictions = evaluate.long_predictions(
@@ -249,20 +314,29 @@ def fit(frame: DataFrame, config: ForecastConfig) -> tuple[ForecastBundle, DataF
         "model_families": families, "candidate_scopes": scopes, "best_multi_output_strategy": best_multi,
         "best_single_target_strategy_by_target": best_single, "seed": config.seed,
         "regions": [c[len("region_"):] for c in columns if c.startswith("region_")],
+        "learner_options": {f: learner_options(f, config) for f in families},
+        "jointly_fitted": sorted(joint), "training_rows": spreads[0],
     }
-    return ForecastBundle(preprocess, models, target_model, columns, targets, metadata, best), predictions, metrics
+    return ForecastBundle(preprocess, models, target_model, columns, targets, metadata, best, joint, scales), predictions, metrics
+
+
+def learner_options(family: str, config: ForecastConfig) -> dict:
+    """The options a family is trained with."""
+    return {"seed": config.seed, **(dict(K.FOREST_PRESET) | dict(config.forest) if family == "random_forest"
+                                    else dict(K.BOOSTED_PRESETS[family]) | dict(config.boosted))}
 
 
-def _family_of(bundle: ForecastBundle, name: str, target: str) -> str:
-    """Model family behind a strategy name for one target."""
+def _served_by(bundle: ForecastBundle, name: str, target: str) -> tuple[bool, str]:
+    """(joint model?, family) behind a strategy name for one target."""
     chosen = name
     if name == "multi_output":
         chosen = bundle.metadata.get("best_multi_output_strategy")
     elif name == "single_target":
         chosen = bundle.metadata.get("best_single_target_strategy_by_target", {}).get(target)
     for scope in SCOPES:
-        if chosen and chosen.startswith(scope + "_") and chosen[len(scope) + 1:] in bundle.models:
-            return chosen[len(scope) + 1:]
+        family = (chosen or "").removeprefix(scope + "_")
+        if chosen and family != chosen and family in bundle.models:
+            return scope == "multi_output" and family in bundle.joint, family
     raise ModelNotReadyError(f"The bundle has no model for strategy {name} and target {target}")
 
 
@@ -277,16 +351,18 @@ def predict(bundle: ForecastBundle, feature_rows: DataFrame, strategy_name: str
     if name != "best" and name not in served:
         raise ValueError("strategy must be one of: " + ", ".join(["best", *SCOPES, *sorted(bundle.candidates())]))
     names = served if name == "best" else [name]
-    family = {(n, t): _family_of(bundle, n, t) for n in names for t in bundle.targets}
-    used = {f: {t: bundle.models[f][t] for t in bundle.targets if (any(family[(n, t)] == f for n in names))}
-            for f in dict.fromkeys(family.values())}
+    served_by = {(n, t): _served_by(bundle, n, t) for n in names for t in bundle.targets}
+    used = {f: {t: bundle.models[f][t] for t in bundle.targets if any(served_by[(n, t)] == (False, f) for n in names)}
+            for f in bundle.models}
+    joint = {f: m for f, m in bundle.joint.items() if (True, f) in served_by.values()}
     rows = feature_rows
     if name == "best":
         rows = rows.join(best_by_region(bundle), region, "left")
-    scored = raw_predictions(rows, used, bundle.preprocess)
+    scored = raw_predictions(rows, used, bundle.preprocess, joint, bundle.scales)
 
     def restored(n: str, t: str) -> Column:
-        return bundle.target_model.backward(F.col(f"_p_{family[(n, t)]}_{t}"), t)
+        together, family = served_by[(n, t)]
+        return bundle.target_model.backward(F.col(f"{'_j' if together else '_p'}_{family}_{t}"), t)
 
     out = {}
     for t in bundle.targets:
@@ -332,7 +408,10 @@ def feature_importance(spark: SparkSession, model=None, names: Sequence[str] = (
 def bundle_importance(spark: SparkSession, bundle: ForecastBundle, k: int = 12) -> DataFrame:
     """Importance from the multi-output choice for the first target, as in single-model bundles."""
     target = bundle.targets[0]
-    return feature_importance(spark, bundle.models[_family_of(bundle, "multi_output", target)][target], bundle.inputs(), k)
+    together, family = _served_by(bundle, "multi_output", target)
+    model = bundle.joint[family] if together else bundle.models[family][target]
+    names = bundle.inputs() + ([f"target_{t}" for t in bundle.scales] if together else [])
+    return feature_importance(spark, model, names, k)
 
 
 def config_row(spark: SparkSession, config: ForecastConfig) -> DataFrame:

@@ -66,7 +66,8 @@ class Trained:
     comparison: DataFrame
 
 
-def train(df: DataFrame, config: models.ForecastConfig | None = None) -> Trained:
+def train(df: DataFrame, config: models.ForecastConfig | None = None, keep: models.Keep = models.fit_now) -> Trained:
+    """Train and compare on a table of readings; `keep` may hand out models that were trained before."""
     config = config or models.ForecastConfig()
     # Stored once: the spine, the readings, the station names and the coverage all read it. Extra metrics become columns.
     base = materialize(split.base_load(flat_maps(df), config.granularity, config.min_date, config.max_date), "base")
@@ -74,7 +75,7 @@ def train(df: DataFrame, config: models.ForecastConfig | None = None) -> Trained
     frame = materialize(models.model_frame(base, config), "model-frame")
     counts = split.split_counts(frame)
     totals = split.require_splits(counts)
-    bundle, predictions, metrics = models.fit(frame, config)
+    bundle, predictions, metrics = models.fit(frame, config, keep)
     bundle.metadata["split_counts"] = totals
     candidates = evaluate.overall(metrics).where(F.col("strategy") != models.BASELINE)
     return Trained(

@@ -22,7 +22,8 @@ from sensorspark.functions.rules import rule_forecast
 from sensorspark.functions.times import align_to_granularity, from_micros, micros
 from sensorspark.operators.alerts import rolling_zscore_alerts
 from sensorspark.operators.evaluate import last_rows
-from sensorspark.plans.flows import present_forecast
+from sensorspark.operators.models import ForecastBundle
+from sensorspark.plans.flows import checked_requests, present_forecast, score
 
 
 def _event_time(ts: Column) -> Column:
@@ -270,6 +271,37 @@ class CleanJob(BatchFiles):
         return self.spark.read.option("basePath", f"{self.folder}/late").schema(schema).parquet(f"{self.folder}/late")
 
 
+class ModelScoringJob(BatchFiles):
+    """Requests of a stream scored with a saved bundle: forecasts of the valid ones, the others with what is wrong with them.
+
+    Both tables are written by the same micro-batch under its number, so a batch that is repeated changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, bundle: ForecastBundle, strategy: str = "best",
+                 keep: Sequence[str] = ()) -> None:
+        super().__init__(spark, folder)
+        self.bundle, self.strategy, self.keep = bundle, strategy, tuple(keep)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        stored = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            scored = score(self.bundle, stored, self.strategy, self.keep)
+            scored.write.mode("overwrite").parquet(self._path("scores", batch_id))
+            _, rejected = checked_requests(stored)
+            rejected.select(*self.keep, "region", "date_time", "violations").write.mode("overwrite").parquet(self._path("rejects", batch_id))
+        finally:
+            stored.unpersist()
+
+    def _table(self, kind: str) -> DataFrame:
+        return self.spark.read.option("basePath", f"{self.folder}/{kind}").parquet(f"{self.folder}/{kind}").drop("batch")
+
+    def scores(self) -> DataFrame:
+        return self._table("scores")
+
+    def rejects(self) -> DataFrame:
+        return self._table("rejects")
+
+
 def with_end(stream: DataFrame, folder: str, ts: str = "date_time") -> DataFrame:
     """A stream with a second source of end marks (see `mark_end`): rows in which only the time is set."""
     spark = stream.sparkSession

@@ -7,7 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from sensorspark.operators import evaluate, models
-from sensorspark.plans import flows, reports
+from sensorspark.plans import flows, reports, run_store
 
 CONFIG = models.ForecastConfig(
     granularity="hourly", lags=(1, 24), windows=(3, 24), min_date=None, train_end="2024-01-15 00:00:00",
@@ -42,6 +42,62 @@ def test_candidates_beat_the_median(run):
     assert all(board[s] < board["baseline_median"] / 2 for s in board if s != "baseline_median")
 
 
+def test_joint_and_single_forests_differ(run):
+    """A forest learns the targets together in one scope and alone in the other; boosted families do not."""
+    rows = {(r["strategy"], r["split"], r["target"]): r["rmse"] for r in evaluate.overall(run.metrics).collect()}
+    for target in ("pm2_5", "pm10", "so2"):
+        assert rows["multi_output_random_forest", "test", target] != rows["single_target_random_forest", "test", target]
+        assert rows["multi_output_lightgbm", "test", target] == rows["single_target_lightgbm", "test", target]
+    assert set(run.bundle.joint) == {"random_forest"} and run.bundle.metadata["jointly_fitted"] == ["random_forest"]
+    inputs = len(run.bundle.inputs())
+    assert run.bundle.joint["random_forest"].numFeatures == inputs + 3
+    assert run.bundle.models["random_forest"]["so2"].numFeatures == inputs
+
+
+def test_targets_are_scaled_for_the_joint_fit(run):
+    for middle, spread in run.bundle.scales.values():
+        assert spread > 0 and math.isfinite(middle)
+
+
+def test_store_trains_once(spark, series, tmp_path, monkeypatch):
+    fits = []
+    real = models.estimator
+    monkeypatch.setattr(models, "estimator", lambda family, config: fits.append(family) or real(family, config))
+    place = str(tmp_path / "store")
+    small = models.ForecastConfig(**{**CONFIG.__dict__, "families": ("random_forest",), "forest": {"numTrees": 3, "maxDepth": 3}})
+    first = run_store.trained(series, small, place)
+    again = run_store.trained(series.repartition(3), small, place)  # the same rows in other files
+    assert fits == ["random_forest"] and first.bundle.metadata == again.bundle.metadata
+    shape = lambda df: sorted(map(str, df.collect()))
+    for name in run_store.TABLES:
+        assert shape(getattr(first, name)) == shape(getattr(again, name))
+    both = models.ForecastConfig(**{**small.__dict__, "families": ("random_forest", "lightgbm"), "boosted": CONFIG.boosted})
+    told = run_store.trained(series, both, place)
+    assert fits == ["random_forest", "lightgbm"], "a family is shared by runs with other families"
+    run_store.trained(series, models.ForecastConfig(**{**small.__dict__, "forest": {"numTrees": 2, "maxDepth": 3}}), place)
+    assert fits == ["random_forest", "lightgbm", "random_forest"], "learner options are part of the name"
+    assert told.bundle.metadata["learner_options"]["random_forest"]["numTrees"] == 3
+    assert told.bundle.metadata["dataset"]["rows"] == series.count() and told.bundle.metadata["trained_at"].endswith("+00:00")
+    changed = series.where("region <> 'AIIMS'")
+    assert run_store.dataset_fingerprint(changed) != run_store.dataset_fingerprint(series)
+    assert run_store.run_name(small, {"rows": 1}) != run_store.run_name(both, {"rows": 1})
+    request = requests_table(spark)
+    assert flows.score(told.bundle, request, "multi_output_random_forest").count() == 2
+
+
+def test_half_written_runs_are_not_seen(spark, tmp_path):
+    def fail(path):
+        spark.range(1).write.parquet(f"{path}/part")
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        run_store._publish(spark, str(tmp_path / "a"), fail)
+    assert not (tmp_path / "a").exists()
+    run_store._publish(spark, str(tmp_path / "a"), lambda d: spark.range(1).write.parquet(d))
+    run_store._publish(spark, str(tmp_path / "a"), lambda d: spark.range(9).write.parquet(d))
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 1 and len(list(tmp_path.iterdir())) == 1 + 1
+
+
 def test_run_tables(spark, run):
     totals = run.bundle.metadata["split_counts"]
     assert totals["train"] > totals["validation"] > 0 and totals["test"] > 0
@@ -152,3 +208,38 @@ def test_model_queries_use_the_published_run(spark, folder):
     columns = set(QUERIES["model_frame"](spark, folder).columns)
     assert {f"{c}_lag_{k}" for c in SENSORS for k in (1, 3, 6, 12, 24, 48, 168)} <= columns
     assert {f"{c}_roll_{n}_{w}" for c in K.ROLLING_SENSORS for n in ("mean", "std") for w in (3, 6, 24, 72)} <= columns
+
+
+def test_stream_of_requests_with_a_saved_model(spark, run, tmp_path):
+    """Six micro-batches and a restart give the rows of one batch; rejects are listed once."""
+    from sensorspark.streaming import jobs
+
+    run.bundle.save(str(tmp_path / "b"))
+    bundle = models.ForecastBundle.load(spark, str(tmp_path / "b"))
+    rows = [(i, ["AIIMS", "SILTARA", "nowhere"][i % 3], f"2024-01-1{i % 9}T10:00:00", 40.0 + i, -1.0 if i % 7 == 0 else 90.0, 12.0) for i in range(36)]
+    schema = "event_id long, region string, timestamp string, pm25 double, pm10 double, so2 double"
+    source = str(tmp_path / "in")
+
+    def arrive(parts):
+        for part in parts:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def go():
+        job = jobs.ModelScoringJob(spark, str(tmp_path / "job"), bundle, "best", keep=["event_id"])
+        job.start(jobs.read_stream(spark, source, spark.read.parquet(source).schema, max_files=1), str(tmp_path / "cp")).awaitTermination()
+        return job
+
+    parts = [rows[i * 6:(i + 1) * 6] for i in range(6)]
+    arrive(parts[:3])
+    go()
+    arrive(parts[3:])
+    job = go()
+    whole = spark.createDataFrame(rows, schema)
+    pick = ["event_id", "region", *[f"{t}_{n}" for t in ("pm2_5", "pm10", "so2") for n in ("forecast", "strategy")], "risk.category", "summary"]
+    told = lambda df: sorted(map(str, df.select(*pick).collect()))
+    assert told(job.scores()) == told(flows.score(bundle, whole, "best", ("event_id",)))
+    _, rejected = flows.checked_requests(whole)
+    listed = lambda df: sorted((r["event_id"], *r["violations"]) for r in df.collect())
+    assert listed(job.rejects()) == listed(rejected) and job.scores().count() + job.rejects().count() == 36
+    job.process(spark.createDataFrame(parts[5], schema), 5)
+    assert job.scores().count() + job.rejects().count() == 36
