@@ -14,8 +14,9 @@ filter that is broadcast): it lets no frequent phrase be missed, and a rare one
 then dropped by its exact count. When phrases outgrow the filter the result is the same, only with
 more counting; give more bits then.
 
-The stripe of a frequent prefix is split into `parts` by the following word, so that none
-becomes one task's, or one row's, whole vocabulary: 256 for the empty prefix, 16 for all others.
+Stripes travel in bundles: all stripes of a slice whose prefixes fall into one bucket are one row; there is a bucket for
+every half megabyte of text. The stripes of a hot prefix (over 1/4096 of all words, so there are at most 4096 per length; the
+empty prefix always) are dealt over buckets by the following word, so that none becomes one task's whole vocabulary.
 
 Everything is per language. Edge cases: a missing language is `und`, an empty one is itself; a missing
 text has no words; repeated rows count as often as they stand there; ids and other columns are not
@@ -24,10 +25,12 @@ read. A piece of one word counts for that word. An empty table gives an empty re
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -42,8 +45,12 @@ _SLICE_TYPES = 1 << 20
 _END = b"\xff"  # no byte of UTF-8
 _TO_LOWER = bytes(c + 32 if 65 <= c <= 90 else 255 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-STRIPE = "lang string, prefix string, part int, total bigint, words array<string>, n array<bigint>"
-MERGED = STRIPE + ", bits array<bigint>"
+_BUNDLE = ("bucket int, langs array<string>, prefixes array<string>, sizes array<int>, rest array<bigint>, "
+           "words array<string>, n array<bigint>")
+_STRIPE = "lang string, prefix string, total bigint, words array<string>, n array<bigint>, bits array<bigint>"
+_HOT_SHARE, _HOT_PARTS = 4096, np.uint64(64)
+_MERGE_ROWS = 1 << 20
+_BUCKET_BYTES = 1 << 19
 
 
 def _mixed(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -91,7 +98,7 @@ class Slice:
         self.known: dict[str, dict[bytes, int]] = {}
         self.words: list[bytes] = [b""]
         self.langs: list[str] = [""]
-        self.hashes: list[int] = [0]
+        self.hashes = array("Q", [0])
         self.ids: list[np.ndarray] = []
         self.size = 0
 
@@ -108,8 +115,11 @@ class Slice:
         self.ids.append(ids)
         self.size += len(ids)
 
-    def stripes(self, size: int, filters: list[Filter], parts: int) -> pa.RecordBatch:
-        """Stripes of prefixes of size - 1 words; `filters` know the frequent phrases of 1 to size - 1 words."""
+    def stripes(self, size: int, filters: list[Filter], hot: np.ndarray, buckets: int) -> pa.RecordBatch:
+        """Bundles of the stripes of prefixes of size - 1 words.
+
+        `filters` know the frequent phrases of 1 to size - 1 words, `hot` has the hashes of hot prefixes.
+        """
         ids, hashes = np.concatenate(self.ids), np.array(self.hashes, np.uint64)
         # at[i]: may the phrase that starts at i be frequent; its number and hash (of the prefix, then of the ending).
         prefix, h = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.uint64)
@@ -137,37 +147,47 @@ class Slice:
         following = np.append(ids[reach:], np.zeros(reach, np.int64))[place]
         counted = np.append(ending, [False])[place + 1] if size > 1 else np.ones(len(place), bool)
         key, n = np.unique(prefix[place] * len(self.words) + np.where(counted & (following > 0), following, 0), return_counts=True)
-        return self._rows(size, key // len(self.words), key % len(self.words), n, first, ids, hashes, parts)
+        return self._bundles(size, key // len(self.words), key % len(self.words), n, first, ids, h, hashes, hot, buckets)
 
-    def _rows(self, size, prefix, word, n, first, ids, hashes, parts) -> pa.RecordBatch:
-        if size == 1:  # the empty prefix of each language
-            number = {lang: i for i, lang in enumerate(sorted(self.known))}
+    def _bundles(self, size, prefix, word, n, first, ids, h, hashes, hot, buckets) -> pa.RecordBatch:
+        """Rows of _BUNDLE from counts of (prefix, following word); word 0 stands for all that are not counted."""
+        names = sorted(self.known)
+        if size == 1:  # the empty prefix of each language, always hot
+            number = {lang: i for i, lang in enumerate(names)}
             prefix = np.array([number[self.langs[w]] for w in word.tolist()], np.int64)
-        part = np.where(word > 0, hashes[word] % np.uint64(parts), 0).astype(np.int64)
-        order = np.lexsort((word, part, prefix))
-        prefix, word, n, part = prefix[order], word[order], n[order], part[order]
-        new = np.flatnonzero(np.diff(prefix, prepend=-1) | np.diff(part, prepend=-1))
-        rest = np.where(word == 0, n, 0)
-        total = np.add.reduceat(rest, new) if len(new) else rest
+            start, split = np.zeros(len(prefix), np.uint64), np.ones(len(prefix), bool)
+        else:
+            start = h[first[prefix]]
+            split = np.isin(start, hot)
+        part = np.where(split & (word > 0), hashes[word] % _HOT_PARTS if size > 1 else hashes[word], np.uint64(0))
+        bucket = (_mixed(start, part) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((word, prefix, bucket))
+        prefix, word, n, bucket = prefix[order], word[order], n[order], bucket[order]
+        new = np.flatnonzero((np.diff(bucket, prepend=-1) != 0) | (np.diff(prefix, prepend=-1) != 0))
+        own = np.flatnonzero(np.diff(bucket[new], prepend=-1))  # the first stripe of each bundle
         keep = word > 0
-        offsets = np.concatenate([np.concatenate([[0], np.cumsum(keep)])[new], [keep.sum()]])
+        rest = np.add.reduceat(np.where(keep, 0, n), new) if len(new) else n
+        ends = np.concatenate([np.concatenate([[0], np.cumsum(keep)])[new], [keep.sum()]])
         words = pa.array(self.words, pa.binary()).cast(pa.string())
         if size == 1:
-            langs = pa.array(sorted(self.known), pa.string()).take(pa.array(prefix[new]))
+            langs = pa.array(names, pa.string()).take(pa.array(prefix[new]))
             text = pa.array([""] * len(new), pa.string())
         else:
             at = first[prefix[new]]
             langs = pa.array(self.langs, pa.string()).take(pa.array(ids[at]))
             text = words.take(pa.array(ids[at]))
             for i in range(1, size - 1):
-                text = pa.compute.binary_join_element_wise(text, words.take(pa.array(ids[at + i])), " ")
-        lists = lambda values: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+                text = pc.binary_join_element_wise(text, words.take(pa.array(ids[at + i])), " ")
+        bundles = pa.array(np.append(own, len(new)), pa.int32())
+        inner = pa.array(ends[np.append(own, len(new))], pa.int32())
+        stripe, element = (lambda v: pa.ListArray.from_arrays(bundles, v)), (lambda v: pa.ListArray.from_arrays(inner, v))
         return pa.RecordBatch.from_arrays(
-            [langs, text, pa.array(part[new], pa.int32()), pa.array(total, pa.int64()), lists(words.take(pa.array(word[keep]))),
-             lists(pa.array(n[keep], pa.int64()))], ["lang", "prefix", "part", "total", "words", "n"])
+            [pa.array(bucket[new][own], pa.int32()), stripe(langs), stripe(text), stripe(pa.array(np.diff(ends), pa.int32())),
+             stripe(pa.array(rest, pa.int64())), element(words.take(pa.array(word[keep]))), element(pa.array(n[keep], pa.int64()))],
+            ["bucket", "langs", "prefixes", "sizes", "rest", "words", "n"])
 
 
-def _read(size: int, parts: int, shared: list[Broadcast], bits: int):
+def _read(size: int, shared: list[Broadcast], hot: np.ndarray, bits: int, buckets: int):
     """Stripes of the texts of a task, added up slice by slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [Filter(s.value, bits) for s in shared]
@@ -176,58 +196,75 @@ def _read(size: int, parts: int, shared: list[Broadcast], bits: int):
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 current.add(lang.as_py(), text.as_py())
                 if current.size >= SLICE_WORDS or len(current.words) >= _SLICE_TYPES:
-                    yield from _small(current.stripes(size, filters, parts))
+                    yield from _small(current.stripes(size, filters, hot, buckets))
                     current = Slice()
         if current.size:
-            yield from _small(current.stripes(size, filters, parts))
+            yield from _small(current.stripes(size, filters, hot, buckets))
     return run
 
 
 def _small(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, 20_000):
-        yield batch.slice(start, 20_000)
+    for start in range(0, batch.num_rows, 256):
+        yield batch.slice(start, 256)
+
+
+def _elements(bundles: pa.RecordBatch) -> pa.Table:
+    """Bundles as rows (lang, prefix, word, n); a missing word has what is not counted by itself."""
+    flat = [bundles.column(c).flatten() for c in range(1, 7)]
+    langs, prefixes, sizes, rest, words, n = flat
+    owner = pa.array(np.repeat(np.arange(len(langs)), sizes.to_numpy()))
+    other = pa.array(np.flatnonzero(rest.to_numpy()))
+    none = pa.nulls(len(other), pa.string())
+    columns = [(langs.take(owner), langs.take(other)), (prefixes.take(owner), prefixes.take(other)), (words, none), (n, rest.take(other))]
+    return pa.table([pa.chunked_array(list(c)) for c in columns], ["lang", "prefix", "word", "n"])
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Stripes merged element by element."""
+    return pa.concat_tables(tables).group_by(["lang", "prefix", "word"]).aggregate([("n", "sum")]).rename_columns(["lang", "prefix", "word", "n"])
+
+
+def _merged(tables: list[pa.Table], least: int, bits: int) -> pa.RecordBatch:
+    """Stripes of one bucket; words under `least` go into the total only."""
+    found = _added(tables).sort_by([(c, "ascending") for c in ("lang", "prefix", "word")]).combine_chunks()
+    lang, prefix, word = (pa.concat_arrays(found[c].chunks) for c in ("lang", "prefix", "word"))
+    n = found["n"].to_numpy()
+    keys = pc.binary_join_element_wise(lang, prefix, "\t").dictionary_encode().indices.to_numpy()
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    keep = (n >= least) & word.is_valid().to_numpy(zero_copy_only=False)
+    ends = np.concatenate([np.concatenate([[0], np.cumsum(keep)])[new], [keep.sum()]])
+    at = np.flatnonzero(keep)
+    places: list[int] = []
+    if bits:
+        for a, b, c in zip(lang.take(pa.array(at)).to_pylist(), prefix.take(pa.array(at)).to_pylist(), word.take(pa.array(at)).to_pylist(), strict=True):
+            words = [w.encode("utf-8", "surrogatepass") for w in ([*b.split(" "), c] if b else [c])]
+            places += positions(phrase_hash(a, words), bits)
+    lists = lambda values, scale=1: pa.ListArray.from_arrays(pa.array(ends * scale, pa.int32()), values)
+    return pa.RecordBatch.from_arrays(
+        [lang.take(pa.array(new)), prefix.take(pa.array(new)), pa.array(np.add.reduceat(n, new), pa.int64()), lists(word.take(pa.array(at))),
+         lists(pa.array(n[at], pa.int64())), lists(pa.array(places, pa.int64()), 2 if bits else 0)],
+        ["lang", "prefix", "total", "words", "n", "bits"])
 
 
 def _merge(least: int, bits: int):
-    """Stripes sorted by key, those of one key added element by element; words under `least` go into the total only."""
+    """Bundles sorted by bucket, those of one bucket added up."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total, counts = None, 0, {}
-        out: list[tuple] = []
-
-        def close() -> None:
-            kept = sorted((w, c) for w, c in counts.items() if c >= least)
-            places = []
-            if bits:
-                before = key[1].encode("utf-8", "surrogatepass").split(b" ") if key[1] else []
-                for w, _ in kept:
-                    places += positions(phrase_hash(key[0], [*before, w.encode("utf-8", "surrogatepass")]), bits)
-            out.append((*key, total + sum(counts.values()), [w for w, _ in kept], [c for _, c in kept], places))
-
-        def flushed() -> pa.RecordBatch:
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-            out.clear()
-            return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "total", "words", "n", "bits"])
-
+        current, held, rows = None, [], 0
         for batch in batches:
-            lists = [batch.column(c) for c in (4, 5)]
-            words, n = (a.flatten().to_pylist() for a in lists)
-            ends = (lists[0].offsets.to_numpy() - lists[0].offsets[0].as_py()).tolist()
-            for i, (lang, prefix, part, rest) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
-                if key != (lang, prefix, part):
-                    if key is not None:
-                        close()
-                        if len(out) >= 10_000:
-                            yield flushed()
-                    key, total, counts = (lang, prefix, part), 0, {}
-                total += rest
-                for at in range(ends[i], ends[i + 1]):
-                    w = words[at]
-                    counts[w] = counts.get(w, 0) + n[at]
-        if key is not None:
-            close()
-        if out:
-            yield flushed()
+            bucket = batch.column(0).to_numpy()
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for start, end in zip(starts, [*starts[1:], len(bucket)], strict=True):
+                if bucket[start] != current:
+                    if held:
+                        yield _merged(held, least, bits)
+                    current, held, rows = bucket[start], [], 0
+                held.append(_elements(batch.slice(start, end - start)))
+                rows += held[-1].num_rows
+                if rows > _MERGE_ROWS:
+                    held = [_added(held)]
+                    rows = held[0].num_rows // 2
+        if held:
+            yield _merged(held, least, bits)
     return run
 
 
@@ -250,19 +287,29 @@ def stripes(df: DataFrame, least: int, text: str = "text", lang: str = "lang", f
         raise ValueError("filter_bits must be a power of two, at least 64")
     spark = df.sparkSession
     texts = df.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
+    size = texts.agg(F.sum(F.octet_length("text").cast("decimal(38,0)"))).first()[0] or 0
+    buckets = min(1 << 20, max(64, int(size) // _BUCKET_BYTES))
     shared: list[Broadcast] = []
-    levels = []
+    levels, hot, words = [], np.zeros(0, np.uint64), 0
     for size in range(1, LONGEST + 1):
-        parts = 256 if size == 1 else 16
-        found = texts.mapInArrow(_read(size, parts, [*shared], filter_bits), STRIPE)
-        keyed = found.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
-        merged = materialize(keyed.mapInArrow(_merge(least, filter_bits if size < LONGEST else 0), MERGED), "stripes")
+        found = texts.mapInArrow(_read(size, [*shared], hot, filter_bits, buckets), _BUNDLE)
+        keyed = found.repartition("bucket").sortWithinPartitions("bucket")
+        merged = materialize(keyed.mapInArrow(_merge(least, filter_bits if size < LONGEST else 0), _STRIPE), "stripes")
         if size < LONGEST:
             shared.append(spark.sparkContext.broadcast(_filter(merged, filter_bits)))
+            words = words or merged.agg(F.sum("total")).first()[0] or 0
+            hot = _hot(merged, words)
         levels.append(merged.drop("bits"))
     return levels[0].unionByName(levels[1]).unionByName(levels[2]).unionByName(levels[3])
 
 
+def _hot(merged: DataFrame, words: int) -> np.ndarray:
+    """Hashes of the phrases with over 1/_HOT_SHARE of all words; there are fewer than that."""
+    entries = merged.select("lang", "prefix", F.explode(F.arrays_zip("words", "n")).alias("e")).filter(F.col("e.n") * _HOT_SHARE > words)
+    rows = entries.select("lang", F.concat_ws(" ", F.nullif("prefix", F.lit("")), "e.words").alias("phrase")).collect()
+    return np.array([phrase_hash(r["lang"], [w.encode() for w in r["phrase"].split(" ")]) for r in rows], np.uint64)
+
+
 def scored(found: DataFrame, least: int, share: int = 80) -> DataFrame:
     """Candidates that no longer one takes over: lang, phrase, a, l, r, score, by the lowest cut."""
     totals = found.filter("prefix <> ''").groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
@@ -290,12 +337,22 @@ def scored(found: DataFrame, least: int, share: int = 80) -> DataFrame:
 
 
 def ranked(phrases: DataFrame, top: int) -> DataFrame:
-    """The first `top` of each language; a language is cut down in slices before it becomes one group."""
+    """The first `top` of each language.
+
+    A language is cut down in slices first; what is left is dealt out in order, and the places of a part follow
+    from the sizes of the parts before it, so no task holds a whole language.
+    """
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
     slices = phrases.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(64)))
     first = slices.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))).filter(F.col("rank") <= top)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    return first.drop("slice").withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= top)
+    parts = int(phrases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(first.drop("slice", "rank").repartitionByRange(parts, "lang", *order).withColumn("part", F.spark_partition_id()), "in-order")
+    sizes = dealt.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("lang", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")).filter(F.col("start") < top)
+    own = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    placed = dealt.join(starts, ["lang", "part"]).withColumn("rank", (F.col("start") + own).cast("bigint"))
+    return placed.filter(F.col("rank") <= top).drop("part", "start")
 
 
 def mine(df: DataFrame, least: int = 30, share: int = 80, top: int = 2000, text: str = "text", lang: str = "lang",

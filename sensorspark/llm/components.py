@@ -5,31 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.llm.common import spread_lookup
 from sensorspark.plans.shared import materialize
 
+SALTS = 16
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
-    """Rows of (a, b) with the least node around a; nodes with very many links stay spread."""
-    return spread_lookup(rows, least.select("a", "m"), "a", least.select("a", "n"), total)
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """Rows of (a, b) with the least node around a; the rows of a node with very many links are dealt over SALTS keys."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    every = least.select("a", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint").alias("salt"))
+    return salted.join(every, ["a", "salt"]).select("a", "b", "m")
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the least node around it."""
     both = _both_ways(edges)
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    return _with_least(both.filter("b > a"), least, 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    return _with_least(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = _with_least(down, least, total).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    moved = _with_least(down, least).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -39,8 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars alternate until nothing moves, a number of rounds that grows with the
     logarithm of a component's size. Each round is a table in the shared folder, so a lost
     executor costs at most the round at hand. Links from a node to itself and repeated links
-    do no harm; an empty table gives an empty one. A node with a large share of all links is looked up by
-    broadcast (fewer than 64 can be such), so its links stay where they are.
+    do no harm; an empty table gives an empty one. The links of one node are spread over SALTS tasks.
     """
     edges = materialize(edges.select("a", "b").filter("a <> b").distinct(), "links")
     seen = None
@@ -50,5 +52,4 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         seen = now
-        large = materialize(_large_star(edges, now[0]), "links")
-        edges = materialize(_small_star(large, now[0]), "links")
+        edges = materialize(_small_star(_large_star(edges)), "links")

@@ -202,15 +202,16 @@ WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
 o AS (SELECT lang, unnest(range(1, len(ws) + 1)) AS i, ws FROM w),
 g AS (SELECT lang, k, ws[i:i + k - 1] AS words FROM o, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(ws)),
-f AS (SELECT lang, k, words, array_to_string(words, ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, k, words, array_to_string(words, ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
 n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
 s AS (SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(f) AS longer
       FROM c, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
 h AS (SELECT c.* FROM c LEFT JOIN s USING (lang, phrase) WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * f::HUGEINT),
-x AS (SELECT h.lang, h.phrase, h.f AS a, j, u.f AS l, v.f AS r, (2000000 * h.f::HUGEINT) // (u.f + v.f) AS score
-      FROM h, (SELECT unnest([1, 2, 3]) AS j) JOIN f u ON u.lang = h.lang AND u.phrase = array_to_string(h.words[1:j], ' ')
-      JOIN f v ON v.lang = h.lang AND v.phrase = array_to_string(h.words[j + 1:], ' ') WHERE j < h.k),
+y AS (SELECT h.*, j, array_to_string(words[1:j], ' ') AS head, array_to_string(words[j + 1:], ' ') AS tail
+      FROM h, (SELECT unnest([1, 2, 3]) AS j) WHERE j < k),
+x AS (SELECT y.lang, y.phrase, y.f AS a, j, u.f AS l, v.f AS r, (2000000 * y.f::HUGEINT) // (u.f + v.f) AS score
+      FROM y JOIN f u ON u.lang = y.lang AND u.phrase = y.head JOIN f v ON v.lang = y.lang AND v.phrase = y.tail),
 b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM r JOIN n USING (lang) WHERE rank <= 2000

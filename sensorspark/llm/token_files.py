@@ -23,10 +23,10 @@ sizes only, never what is read back. A corpus too small to train on gets an empt
 Ids before a document: parts are ranges of doc_id, `parts` in number; a file knows the ids before it
 in its part, and the parts' totals are one small table.
 
-Texts are encoded by the `tokenizers` library. White space never joins a token to what stands
-before it with byte-level pre-tokenizers, so a text falls into stretches "white space, then none"
-that encode by themselves: common ones are encoded once. Texts with control characters on which
-Python and Unicode disagree are encoded whole, other pre-tokenizers always.
+Texts are encoded by the `tokenizers` library. Byte-level pre-tokenizers always split before white
+space and where runs of letters, digits and marks meet, so a text falls into stretches that
+encode by themselves: each different one is encoded once. Texts with added tokens, or with control
+characters on which Python and Unicode disagree, are encoded whole; with other pre-tokenizers all are.
 
 Edge cases: a missing or empty text has the end id only. Rows without doc_id come first. Rows of one
 doc_id, and rows without, stand in the order of a hash of their frames; equal rows are all kept. A
@@ -39,17 +39,22 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import os
 import re
 import struct
+import sys
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import Broadcast, TaskContext
@@ -64,14 +69,23 @@ HEAD = struct.Struct("<8s32sIIIQ")
 FOOT = struct.Struct("<QQI8sc")
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("length", "<u4"), ("n", "<u8")])
 LEVEL = 3
-_CACHED_CHARS, _CACHED_WORDS = 48, 1 << 18
+_CACHED_CHARS, _CACHED_WORDS = 48, 3 << 19
+_SLICE_CHARS = 1 << 22
 _PIECE = 8192
 
+# White space and what follows it up to a place where every byte-level pre-tokenizer splits: the end of a run of Latin letters,
+# digits or ASCII marks, unless some other character beyond ASCII or (after marks) an apostrophe follows; else up to the next white space.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_OTHER = "\x80-\u00bf\u00d7\u00f7\u0250-\U0010ffff"
+_STRETCH = re.compile(rf"\s*(?:[{_LATIN}]++(?![{_OTHER}])|[0-9]++(?![{_OTHER}])|[!-&(-/:-@\[-`{{-~]++(?!['{_OTHER}])|\S+)|\s+")
+
 
 class Encoder:
     """Ids of texts by the tokenizers library, serialized; built once per Python worker."""
 
     def __init__(self, spec: str) -> None:
+        # One task has one core; set before the library starts threads of its own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         data = json.loads(spec)
@@ -79,37 +93,82 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.width = 2 if self.tokenizer.get_vocab_size(True) <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
         pre = data.get("pre_tokenizer") or {}
         own = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        plain = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not re.search(r"\s", t["content"])
-                    for t in data.get("added_tokens", []))
-        self.splits = bool(own and plain and not data.get("normalizer") and not data.get("post_processor"))
-        self.stretches = re.compile(r"\s*\S+|\s+").findall
-        self.odd = re.compile("[\x1c-\x1f]").search  # white space to Python, not to Unicode
+        self.splits = bool(own and not data.get("normalizer") and not data.get("post_processor"))
+        self.stretches = _STRETCH.findall
+        self.spaced = re.compile(r"\s[ \n]").search
+        marks = [re.escape(t["content"]) for t in data.get("added_tokens", [])]
+        self.odd = re.compile("|".join(["[\x1c-\x1f]", *marks])).search  # these are white space to Python, not to Unicode
         self.known: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not self.splits or self.odd(text):
-            return self._whole(text)
-        words, known = self.stretches(text), self.known
-        missing = [w for w in set(words) if w not in known]
-        rare: dict[str, bytes] = {}
+    def _bytes(self, ids: list[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Serialized ids of each text."""
+        out: list[bytes] = [b""] * len(texts)
+        plain, mixed = [], []
+        for i, text in enumerate(texts):
+            if not self.splits or self.odd(text):
+                out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            elif self.spaced(text):
+                mixed.append(i)
+            else:
+                plain.append(i)
+        for group, way in ((plain, self._by_pieces), (mixed, self._by_stretches)):
+            for i, found in zip(group, way([texts[i] for i in group]), strict=True):
+                out[i] = found
+        return out
+
+    def _ids(self, units: list[str]) -> list[bytes]:
+        """Ids of strings that encode by themselves; different ones are encoded once and mostly remembered."""
+        known = self.known
+        found = list(map(known.get, units))
+        missing = list({u for u, f in zip(units, found, strict=True) if f is None})
         if missing:
-            if len(known) + len(missing) > _CACHED_WORDS:
-                known.clear()
-                missing = list(set(words))
-            for at in range(0, len(missing), 4096):
-                some = missing[at:at + 4096]
-                for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    ids = np.array(found.ids, self.kind).tobytes()
-                    (known if len(word) <= _CACHED_CHARS and len(known) < _CACHED_WORDS else rare)[word] = ids
-        if rare:
-            return b"".join([known[w] if w in known else rare[w] for w in words])
-        return b"".join(map(known.__getitem__, words))
+            fresh: dict[str, bytes] = {}
+            for at in range(0, len(missing), 8192):
+                some = missing[at:at + 8192]
+                fresh.update(zip(some, [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)], strict=True))
+            found = [fresh[u] if f is None else f for u, f in zip(units, found, strict=True)]
+            known.update((u, f) for u, f in fresh.items() if len(u) <= _CACHED_CHARS)
+            if len(known) > _CACHED_WORDS:
+                for u in list(known)[_CACHED_WORDS // 2:]:  # units seen first stay: common ones are among them
+                    del known[u]
+        return found
+
+    def _by_stretches(self, texts: list[str]) -> list[bytes]:
+        """Texts as joined stretches."""
+        units = [self.stretches(t) for t in texts]
+        ids = self._ids(list(chain.from_iterable(units)))
+        cuts = np.cumsum([0, *map(len, units)]).tolist()
+        return [b"".join(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        """Texts whose blanks and line feeds stand alone: cut before each, different pieces encoded once, ids put together as arrays."""
+        if not texts:
+            return []
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        ends = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        firsts = [t.replace("\n", " \n").split(" ", 1)[0] for t in texts]  # the only pieces without a blank before them
+        pieces = [w if w.startswith("\n") else " " + w for w in coded.dictionary.to_pylist()]
+        ids = self._ids([*pieces, *firsts])
+        code = coded.indices.to_numpy().astype(np.int64)
+        code[ends[:-1]] = len(pieces) + np.arange(len(texts))
+        lengths = np.array([len(i) for i in ids], np.int64) // self.width
+        starts = np.cumsum(lengths) - lengths
+        each = lengths[code]
+        places = np.cumsum(each)
+        from_ = np.repeat(starts[code] - (places - each), each) + np.arange(places[-1])
+        found = np.frombuffer(b"".join(ids), f"u{self.width}")[from_]
+        cuts = np.concatenate([[0], places])[ends]
+        return [found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 @lru_cache(maxsize=1)
@@ -145,7 +204,7 @@ def _sampled(spec: Broadcast, share: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, pieces = [], []
+            hashes, taken = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seed = (doc_id or 0) & 0xFFFFFFFF
                 for at in range(0, len(text), _PIECE):
@@ -153,8 +212,9 @@ def _sampled(spec: Broadcast, share: float):
                     value = xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass"), seed)
                     if value < limit:
                         hashes.append(value - (1 << 63))
-                        pieces.append(encoder_of(spec.value).encode(piece))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(pieces, pa.binary())], ["h", "ids"])
+                        taken.append(piece)
+            ids = encoder_of(spec.value).encode(taken) if taken else []
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.binary())], ["h", "ids"])
     return run
 
 
@@ -167,20 +227,29 @@ def fit_dictionary(docs: DataFrame, spec: Broadcast, dictionary_bytes: int, samp
     return train([bytes(r["ids"]) for r in found.orderBy("h").collect()], dictionary_bytes)  # bounded by sample_bytes
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts, and where they start, of about _SLICE_CHARS characters."""
+    start, some, size = 0, [], 0
+    for text in texts:
+        some.append(text.as_py())
+        size += len(some[-1])
+        if size >= _SLICE_CHARS:
+            yield start, some
+            start, some, size = start + len(some), [], 0
+    if some:
+        yield start, some
+
+
 def _frames(spec: Broadcast, shared: Broadcast, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, compress = encoder_of(spec.value), _compressor(shared.value).compress
-        end = b"" if end_id is None else np.array([end_id], encoder.kind).tobytes()
+        end = b"" if end_id is None else encoder._bytes([end_id])
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                counts, frames = [], []
-                for text in part.column(1):
-                    ids = encoder.encode(text.as_py()) + end
-                    counts.append(len(ids) // encoder.width)
-                    frames.append(compress(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())], ["doc_id", "n", "frame"])
+            for start, texts in _slices(batch.column(1)):
+                ids = [found + end for found in encoder.encode(texts)]
+                counts = pa.array([len(found) // encoder.width for found in ids], pa.int64())
+                frames = pa.array([compress(found) for found in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(ids)), counts, frames], ["doc_id", "n", "frame"])
     return run
 
 
