@@ -17,7 +17,7 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
     """Rows of (a, b) with the least node around a; the rows of a node with very many links are dealt over SALTS keys."""
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-    every = least.select("a", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint").alias("salt"))
+    every = least.select("a", "m", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
     return salted.join(every, ["a", "salt"]).select("a", "b", "m")
 
 
