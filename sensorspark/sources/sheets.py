@@ -21,6 +21,8 @@ from sensorspark.functions.times import parse_datetime
 SHEET = ["region", "path", "workbook", "sheet"]
 HEADER_SEARCH_ROWS = 20
 MIN_CANONICAL_HEADERS = 4
+# First rows of sheets per task: a task sorts its rows in memory.
+ROWS_PER_TASK = 250_000
 _METRICS = [n for n in K.CANONICAL_NAMES if n != "date_time"]
 
 
@@ -49,17 +51,19 @@ def sheet_headers(cells: DataFrame) -> DataFrame:
     """One row per day sheet: header position, header texts, normalised names and sheet metadata.
 
     A single aggregate over the first rows of the sheets; `header_row` is NULL
-    when no header was found there.
+    when no header was found there. The rows are counted first and dealt by sheet to as many
+    tasks as they need, so that no task sorts more as the input grows; only header rows carry their cells there.
     """
     top = day_sheets(cells).where(F.col("row_idx") < HEADER_SEARCH_ROWS)
+    tasks = max(1, -(-top.count() // ROWS_PER_TASK))
 
     def meta(row: int) -> Column:
-        return F.max(F.when(F.col("row_idx") == row, F.get("cells", F.lit(1))))
+        return F.when(F.col("row_idx") == row, F.get("cells", F.lit(1)))
 
-    heads = top.groupBy(*SHEET).agg(
-        F.min(_header(F.col("cells"))).alias("_head"),
-        meta(0).alias("_m0"), meta(2).alias("_m2"), meta(3).alias("_m3"),
-    )
+    slim = top.select(*SHEET, _header(F.col("cells")).alias("_head"),
+                      meta(0).alias("_m0"), meta(2).alias("_m2"), meta(3).alias("_m3"))
+    heads = slim.repartition(tasks, *SHEET).groupBy(*SHEET).agg(
+        F.min("_head").alias("_head"), *[F.max(m).alias(m) for m in ("_m0", "_m2", "_m3")])
     head = F.col("_head")
     return heads.select(
         *SHEET, head["row_idx"].alias("header_row"), head["cells"].alias("header_cells"),
