@@ -87,7 +87,7 @@ def gbt_forecast(spark, folder):
 def best_strategy_scoring(spark, folder):
     """Every reading scored by the winner of its station and target."""
     run = _train(spark, folder, "random_forest", "lightgbm")
-    requests = readings_dense(spark, folder).drop("granularity")
+    requests = models.spread(readings_dense(spark, folder).drop("granularity"), run.bundle.metadata["dataset"]["rows"])
     scored = flows.score(run.bundle, requests, "best")
     return scored.select("region", "date_time", *[c for t in run.bundle.targets for c in (f"{t}_forecast", f"{t}_strategy")],
                          F.col("risk.category").alias("category"), "summary",

@@ -31,6 +31,8 @@ JOINT_FAMILIES = ("random_forest",)
 PARALLEL_FITS = 6
 # Training rows per task: levels of a tree are one job each, so small tables take few tasks.
 ROWS_PER_TASK = 20_000
+# Rows scored per task: a row meets hundreds of trees, so even a small file is more than one task's work.
+SCORED_PER_TASK = 10_000
 
 
 class ModelNotReadyError(RuntimeError):
@@ -202,6 +204,12 @@ def median_baseline(train: DataFrame, targets: Sequence[str], exact: bool = True
     return {t: found[t][0] for t in targets}
 
 
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows dealt over as many tasks as scoring them is worth; `rows` saves counting them."""
+    tasks = -(-(df.count() if rows is None else rows) // SCORED_PER_TASK)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def raw_predictions(df: DataFrame, bundle_models: Mapping[str, Mapping[str, object]], preprocess: PipelineModel,
                     joint: Mapping[str, object] | None = None, scales: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
     """Add `_p_{family}_{target}` (transformed scale) for every fitted model, `_j_{family}_{target}` for the joint ones."""
@@ -288,7 +296,7 @@ def fit(frame: DataFrame, config: ForecastConfig, keep: Keep = fit_now) -> tuple
     joint = {f: per["joint"] for f, per in found.items() if "joint" in per}
     held_out = frame.where(F.col("split").isin("validation", "test")).select(
         *dict.fromkeys(["region", "date_time", "split", *columns, *names.values()]))
-    scored = raw_predictions(held_out, models, preprocess, joint, scales)
+    scored = raw_predictions(spread(held_out), models, preprocess, joint, scales)
     predicted = {BASELINE: {t: F.lit(medians[t]).cast("double") for t in targets}}
     for scope in SCOPES:
         for family in families:

@@ -22,7 +22,7 @@ from sensorspark.functions.rules import rule_forecast
 from sensorspark.functions.times import align_to_granularity, from_micros, micros
 from sensorspark.operators.alerts import rolling_zscore_alerts
 from sensorspark.operators.evaluate import last_rows
-from sensorspark.operators.models import ForecastBundle
+from sensorspark.operators.models import ForecastBundle, spread
 from sensorspark.plans.flows import checked_requests, present_forecast, score
 
 
@@ -285,7 +285,7 @@ class ModelScoringJob(BatchFiles):
     def process(self, batch: DataFrame, batch_id: int) -> None:
         stored = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            scored = score(self.bundle, stored, self.strategy, self.keep)
+            scored = score(self.bundle, spread(stored), self.strategy, self.keep)
             scored.write.mode("overwrite").parquet(self._path("scores", batch_id))
             _, rejected = checked_requests(stored)
             rejected.select(*self.keep, "region", "date_time", "violations").write.mode("overwrite").parquet(self._path("rejects", batch_id))

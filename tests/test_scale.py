@@ -1,6 +1,10 @@
 """Work per task stays bounded as tables grow."""
 
+from sensorspark.operators import models
+from sensorspark.plans import flows
 from sensorspark.sources import sheets
+from sensorspark.streaming import jobs
+from test_models import run, series  # noqa: F401
 
 CELLS = "region string, path string, workbook string, sheet string, row_idx int, cells array<string>"
 
@@ -31,3 +35,17 @@ def test_header_rows_are_dealt_to_tasks_before_they_are_sorted(spark, monkeypatc
         assert (r["station_name"], r["time_base"], r["report_type"]) == (f"S{i}", None, None)
         assert r["header_row"] == (5 if i % 3 else 7 if i % 2 else None)
         assert r["names"] is None if r["header_row"] is None else r["names"][0] == ("date_time" if r["header_row"] == 5 else "wd")
+
+
+def test_stream_scoring_is_dealt_over_tasks(spark, run, monkeypatch, tmp_path):
+    """A micro-batch from one file is scored by several tasks, with the forecasts of one."""
+    rows = [(i, ["AIIMS", "SILTARA", "nowhere"][i % 3], f"2024-01-1{i % 9}T10:00:00", 40.0 + i, 90.0, 12.0) for i in range(36)]
+    batch = spark.createDataFrame(rows, "event_id long, region string, timestamp string, pm25 double, pm10 double, so2 double").coalesce(1)
+    told = lambda df: sorted(map(str, df.select("event_id", "pm2_5_forecast", "pm10_forecast", "so2_forecast", "pm2_5_strategy").collect()))
+    want = told(flows.score(run.bundle, batch, "best", ("event_id",)))
+    seen = []
+    monkeypatch.setattr(models, "SCORED_PER_TASK", 4)
+    monkeypatch.setattr(jobs, "score", lambda bundle, df, *a: seen.append(df.rdd.getNumPartitions()) or flows.score(bundle, df, *a))
+    job = jobs.ModelScoringJob(spark, str(tmp_path), run.bundle, "best", keep=["event_id"])
+    job.process(batch, 0)
+    assert seen == [9] and told(job.scores()) == want and len(want) == 24  # one station is unknown
