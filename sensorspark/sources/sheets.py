@@ -123,7 +123,8 @@ def _data_rows(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """Rows below the units row of readable day sheets, with the layout of their sheet."""
     usable = headers.where(F.col("header_row").isNotNull() & _has_time())
     # A sheet has at most some million rows, so no key of this join can grow hot.
-    rows = day_sheets(cells).select(*SHEET, "row_idx", "cells").join(_layout(usable), SHEET)
+    # Headers are dealt over few tasks; dealt anew, they do not set the tasks of the far more numerous data rows.
+    rows = day_sheets(cells).select(*SHEET, "row_idx", "cells").join(_layout(usable).repartition(*SHEET), SHEET)
     return rows.where((F.col("row_idx") >= F.col("header_row") + 2) & F.exists("cells", lambda c: c.isNotNull()))
 
 

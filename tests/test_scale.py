@@ -37,6 +37,19 @@ def test_header_rows_are_dealt_to_tasks_before_they_are_sorted(spark, monkeypatc
         assert r["names"] is None if r["header_row"] is None else r["names"][0] == ("date_time" if r["header_row"] == 5 else "wd")
 
 
+def test_tasks_of_header_rows_do_not_bind_the_data_rows(spark):
+    cells = spark.createDataFrame(list(sheet_rows(300)), CELLS)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sheets.load_sheets(cells)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    dealt = [x for x in plan[plan.index("SortMergeJoin"):].splitlines() if "Exchange hashpartitioning" in x]
+    assert len(dealt) == 2 and all(", 8), " in x for x in dealt)  # both sides of the join; the header rows go to one task
+    assert sheets.load_sheets(cells).count() == 250  # one row each of the sheets with a header; 50 have none
+
+
 def test_stream_scoring_is_dealt_over_tasks(spark, run, monkeypatch, tmp_path):
     """A micro-batch from one file is scored by several tasks, with the forecasts of one."""
     rows = [(i, ["AIIMS", "SILTARA", "nowhere"][i % 3], f"2024-01-1{i % 9}T10:00:00", 40.0 + i, 90.0, 12.0) for i in range(36)]
