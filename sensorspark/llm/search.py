@@ -2,15 +2,17 @@
 
 Statistics (documents, mean length, document frequencies) are taken over the whole corpus, so a
 document's score does not depend on its shard. Documents are dealt by hash to shards of about
-SHARD_CHARS characters. Every shard is one group of one task: its documents come first and become an
-inverted index (postings by term, maxima by term and by block of BLOCK documents), then all queries
-stream past it in batches. The shards' top k are merged by score, then id.
+SHARD_CHARS characters. Every shard is one group of one task: the words of all queries come first, then
+its documents, which become an inverted index of those words, then all queries stream past it in
+batches, as numbers of words. The shards' top k are merged by score, then id.
 
-A query reads its posting lists from the highest bound to the lowest, as WAND orders them. Once
-the k-th best partial score exceeds what the unread lists could add together, that is the pivot: a
-document of none of the read lists cannot win any more. Of the others, those whose partial score plus
-their block's maxima in the unread lists reaches the threshold are scored in full. A term's share
-of a score is rounded to 2**-30, so sums are exact in any order and equal texts tie exactly.
+A query reads the lists of its rarer words. The k documents best by these, scored in full, give
+a threshold. The lists of frequent words (in over 1/FREQUENT of the shard) are also columns: block maxima (of
+BLOCK documents) over them bound what they can add, and blocks and documents that cannot reach the
+threshold are skipped. Where many are left, the columns are added for many queries in one product in
+single precision, and documents further from the k-th than rounding explains are skipped. What remains
+is scored in full. A term's share of a score is rounded to 2**-30, so sums are exact in any order and
+equal texts tie exactly.
 
 Edge cases: rows without id are left out of corpus and queries; rows of one id are separate
 documents; missing and empty texts match nothing and, as queries, give no rows; documents that share no
@@ -28,11 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sensorspark.plans.shared import materialize
+
 K1, B = 1.2, 0.75
 BLOCK = 64
-SHARD_CHARS = 16_000_000
+SHARD_CHARS = 32_000_000
 UNIT = float(1 << 30)
-_FIRST_POSTINGS = 512
+FREQUENT = 16
+_TOGETHER = 64
+_WORDS, _DOCUMENT, _QUERY = 0, 1, 2
 _RESULT = "query_id long, doc_id long, score double"
 
 
@@ -46,60 +52,78 @@ def _words(text: Column) -> Column:
 
 
 class Shard:
-    """Inverted index of some documents; `mean` is the mean length over the whole corpus."""
+    """Inverted index of some documents; `mean` is the mean length over the whole corpus.
+
+    With a `vocabulary` (numbers by word, below `size`) only its words are indexed; all words count for the length.
+    """
 
     def __init__(self, ids: list[int], texts: Iterable[str], mean: float) -> None:
-        self.vocabulary: dict[str, int] = {}
-        self.ids: np.ndarray | list[int] = []
-        self.words: list[np.ndarray] = []
+        self._begin(None, 0)
         for i, text in zip(ids, texts, strict=True):
             self.add(i, text)
         self.finish(mean)
 
     @classmethod
-    def empty(cls) -> Shard:
+    def empty(cls, vocabulary: dict[str, int] | None = None, size: int = 0) -> Shard:
         shard = cls.__new__(cls)
-        shard.vocabulary, shard.ids, shard.words = {}, [], []
+        shard._begin(vocabulary, size)
         return shard
 
+    def _begin(self, vocabulary: dict[str, int] | None, size: int) -> None:
+        self.open, self.vocabulary, self.size = vocabulary is None, vocabulary or {}, size
+        self.ids: np.ndarray | list[int] = []
+        self.lengths: list[int] = []
+        self.words: list[np.ndarray] = []
+        self.scored = 0  # documents scored in full after pruning
+
     def add(self, doc_id: int, text: str) -> None:
         """One more document; only the numbers of its words are kept."""
-        number, known = self.vocabulary.setdefault, self.vocabulary
-        own = [number(w, len(known)) for w in text.split(" ")] if text else []
+        known, cut = self.vocabulary, text.split(" ") if text else []
+        if self.open:
+            own = np.array([known.setdefault(w, len(known)) for w in cut], np.int32)
+        else:
+            own = np.array([known.get(w, -1) for w in cut], np.int32)
+            own = own[own >= 0]
         self.ids.append(doc_id)
-        self.words.append(np.array(own, np.int32))
+        self.lengths.append(len(cut))
+        self.words.append(own)
 
     def finish(self, mean: float) -> None:
-        vocabulary, n = self.vocabulary, len(self.ids)
+        n = len(self.ids)
+        self.size = len(self.vocabulary) if self.open else self.size
         self.ids, self.n = np.array(self.ids, np.int64), n
         sizes = np.fromiter(map(len, self.words), np.int64, n)
         pairs = np.concatenate(self.words).astype(np.int64) if n else np.zeros(0, np.int64)
         del self.words
         pairs *= max(n, 1)
-        pairs += np.repeat(np.arange(n), sizes)
+        pairs += np.repeat(np.arange(n, dtype=np.int32), sizes)
         pairs.sort()
         first = np.flatnonzero(np.diff(pairs, prepend=-1))
-        tf = np.diff(first, append=len(pairs))
+        tf = np.diff(first, append=len(pairs)).astype(np.int32)
         pairs = pairs[first]
         self.term, self.doc = (pairs // max(n, 1)).astype(np.int32), (pairs % max(n, 1)).astype(np.int32)
         del pairs, first
-        length = np.where(sizes > 0, sizes, 1)[self.doc] / mean
+        lengths = np.array(self.lengths, np.int64)
+        length = np.where(lengths > 0, lengths, 1)[self.doc] / mean
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
         del length, tf
-        self.start = np.searchsorted(self.term, np.arange(len(vocabulary) + 1))
-        self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if len(vocabulary) else np.zeros(0)
-        # Block maxima, in the order of the postings.
-        self.blocks = n // BLOCK + 1
-        cell = self.term.astype(np.int64) * self.blocks + self.doc // BLOCK
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.block_of = cell[first] % self.blocks
-        self.block_most = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
-        self.block_start = np.searchsorted(self.term[first], np.arange(len(vocabulary) + 1))
+        self.start = np.searchsorted(self.term, np.arange(self.size + 1))
+        # Lists of over 1/FREQUENT of the documents as columns too, and the maxima of their blocks.
+        held = np.diff(self.start)
+        frequent = np.flatnonzero(held * FREQUENT > max(n, FREQUENT))
+        self.column = np.full(self.size, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        at, counts = self._lists(self.start, frequent)
+        self.columns = np.zeros((n, len(frequent)), np.float32)
+        self.columns[self.doc[at], np.repeat(np.arange(len(frequent)), counts)] = self.impact[at]
+        edges = np.arange(0, n, BLOCK)
+        self.block_most = np.maximum.reduceat(self.columns, edges) if n else self.columns
+        self.in_block = np.diff(edges, append=n)
         # The same postings by document, for full scores.
         order = np.argsort(self.doc, kind="stable")
         self.of_doc_term, self.of_doc_impact = self.term[order], self.impact[order]
         self.doc_start = np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.weight = np.zeros(len(vocabulary))
+        self.weight = np.zeros(self.size)
 
     def _lists(self, starts: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the lists `lo`, one after the other, and how long each is."""
@@ -107,82 +131,128 @@ class Shard:
         at = np.arange(sizes.sum()) + np.repeat(starts[lo] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
         return at, sizes
 
+    def _full(self, chosen: np.ndarray, t: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+        """Whole scores of some documents, in UNITs."""
+        self.weight[t] = scaled
+        at, sizes = self._lists(self.doc_start, chosen)
+        score = np.bincount(np.repeat(np.arange(len(chosen)), sizes),
+                            np.rint(self.weight[self.of_doc_term[at]] * self.of_doc_impact[at]), len(chosen))
+        self.weight[t] = 0
+        return score
+
+    def _best(self, chosen: np.ndarray, t: np.ndarray, scaled: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        score = self._full(chosen, t, scaled)
+        chosen, score = chosen[score > 0], score[score > 0]
+        best = np.lexsort((self.ids[chosen], -score))[:k]
+        return self.ids[chosen][best], score[best] / UNIT
+
     def search(self, terms: list[str], weights: Sequence[float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best k, best first."""
         t, w = np.array([self.vocabulary.get(x, -1) for x in terms], np.int64), np.asarray(weights, np.float64)
-        t, w = t[t >= 0], w[t >= 0]
-        if not len(t):
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = np.rint(w * self.most[t] * UNIT)
-        order = np.lexsort((t, -bound))
-        t, w, bound = t[order], w[order], bound[order]
-        left = bound[::-1].cumsum()[::-1]  # what the lists from here on can add together
-        postings = np.cumsum(self.start[t + 1] - self.start[t])
-        partial, read, budget = np.zeros(self.n), 0, _FIRST_POSTINGS
-        threshold = 0.0
-        while read < len(t):
-            pivot = len(t) - int(np.searchsorted(left[::-1], threshold, "left"))  # the lists from here on add less than that
-            upto = max(read + 1, min(int(np.searchsorted(postings, budget, "right")), pivot))
-            at, sizes = self._lists(self.start, t[read:upto])
-            partial += np.bincount(self.doc[at], np.rint(np.repeat(w[read:upto], sizes) * self.impact[at] * UNIT), self.n)
-            read, budget = upto, budget * 4
-            if self.n > k:
-                threshold = max(threshold, float(np.partition(partial, self.n - k)[self.n - k]))
-            if read < len(t) and threshold > left[read]:
-                break
-        if read < len(t):
-            at, sizes = self._lists(self.block_start, t[read:])
-            more = np.bincount(self.block_of[at], np.rint(np.repeat(w[read:], sizes) * self.block_most[at] * UNIT), self.blocks)
-            chosen = np.flatnonzero((partial > 0) & (partial + more[np.arange(self.n) // BLOCK] >= threshold))
-            self.weight[t] = w
-            at, sizes = self._lists(self.doc_start, chosen)
-            score = np.bincount(np.repeat(np.arange(len(chosen)), sizes),
-                                np.rint(self.weight[self.of_doc_term[at]] * self.of_doc_impact[at] * UNIT), len(chosen))
-            self.weight[t] = 0
-        else:
-            chosen = np.flatnonzero((partial > 0) & (partial >= threshold))
-            score = partial[chosen]
-        best = np.lexsort((self.ids[chosen], -score))[:k]
-        return self.ids[chosen][best], score[best] / UNIT
+        return self.search_many([(t[t >= 0], w[t >= 0])], k)[0]
 
+    def search_many(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of the best k for each (numbers of words, weights)."""
+        asked = np.zeros((self.columns.shape[1], len(queries)), np.float32)
+        for i, (t, w) in enumerate(queries):
+            column = self.column[t]
+            asked[column[column >= 0], i] = w[column >= 0] * UNIT
+        more = self.block_most @ asked
+        # More than rounding can change: relative, of a sum of so many single precision products; absolute, of its rounded terms.
+        error, units = (self.columns.shape[1] + 8) * 2.0**-22, self.columns.shape[1]
+        out, left = [], []
+        for i, (t, w) in enumerate(queries):
+            scaled = w * UNIT
+            rare = self.column[t] < 0
+            at, sizes = self._lists(self.start, t[rare])
+            partial = np.bincount(self.doc[at], np.rint(np.repeat(scaled[rare], sizes) * self.impact[at]), self.n)
+            threshold = 0.0
+            if self.n > k:  # the k-th best of all is at least the least of any k
+                threshold = self._full(np.argpartition(partial, self.n - k)[self.n - k:], t, scaled).min()
+            bound = partial + np.repeat(more[:, i].astype(np.float64) * (1 + error), self.in_block)
+            chosen = np.flatnonzero((bound > 0) & (bound + units >= threshold))
+            if len(chosen) * FREQUENT > self.n and self.n > k:
+                left.append((i, partial, threshold))
+            out.append((chosen, t, scaled))
+        if left:  # many blocks may hold winners: their frequent words are added for all these queries at once
+            added = asked[:, [i for i, _, _ in left]].T @ self.columns.T
+            for (i, partial, threshold), sums in zip(left, added, strict=True):
+                near = partial + sums
+                slack = error * float(sums.max()) + units
+                threshold = max(threshold, np.partition(near, self.n - k)[self.n - k] - slack)
+                chosen, t, scaled = out[i]
+                out[i] = chosen[near[chosen] + slack >= threshold], t, scaled
+        self.scored += sum(len(chosen) for chosen, _, _ in out)
+        return [self._best(chosen, t, scaled, k) for chosen, t, scaled in out]
 
-def _run(mean: float, k: int):
+
+def _run(mean: float, k: int, chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: int | None = None
-        index, open_ = Shard.empty(), True
+        index, vocabulary, idf, state = Shard.empty(), {}, np.zeros(0), _WORDS
         for batch in batches:
-            out: list[tuple[int, np.ndarray, np.ndarray]] = []
-            text, is_query = batch.column("text"), batch.column("weights").is_valid().to_pylist()
-            # Weights of the whole batch as one array; a missing list takes no place in it.
-            weights, ends = batch.column("weights").flatten().to_numpy(), batch.column("weights").value_lengths().fill_null(0).to_numpy().cumsum()
-            for i, (own, row_id) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("id").to_pylist(), strict=True)):
+            text, ids = batch.column("text"), batch.column("id").to_pylist()
+            asked: list[tuple[int, np.ndarray, np.ndarray]] = []
+            found: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+            def answer() -> None:
+                for at in range(0, len(asked), _TOGETHER):
+                    part = asked[at: at + _TOGETHER]
+                    best = index.search_many([(t, w) for _, t, w in part], k)
+                    found.extend((q, i, s) for (q, _, _), (i, s) in zip(part, best, strict=True))
+                asked.clear()
+
+            numbers, n_ends = batch.column("numbers").flatten().to_numpy(), batch.column("numbers").value_lengths().fill_null(0).to_numpy().cumsum()
+            terms, t_ends = batch.column("terms").flatten().to_numpy(), batch.column("terms").value_lengths().fill_null(0).to_numpy().cumsum()
+            counts = batch.column("counts").flatten().to_numpy()
+            for i, (own, kind) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
                 if own != shard:
-                    shard, index, open_ = own, Shard.empty(), True
-                if not is_query[i]:
-                    index.add(row_id, text[i].as_py())
+                    answer()
+                    shard, vocabulary, idf, state = own, {}, np.zeros(0), _WORDS
+                if kind == _WORDS:
+                    words = text[i].as_py().split(" ")
+                    place = np.arange(len(words)) * chunks + ids[i]
+                    if place[-1] >= len(idf):
+                        idf = np.concatenate([idf, np.zeros(place[-1] + 1 - len(idf))])
+                    vocabulary.update(zip(words, place.tolist(), strict=True))
+                    idf[place] = numbers[n_ends[i - 1] if i else 0: n_ends[i]]
                     continue
-                if open_:  # the first query of a shard follows its last document
+                if state == _WORDS:
+                    index, state = Shard.empty(vocabulary, len(idf)), _DOCUMENT
+                if kind == _DOCUMENT:
+                    index.add(ids[i], text[i].as_py())
+                    continue
+                if state == _DOCUMENT:
                     index.finish(mean)
-                    open_ = False
-                out.append((row_id, *index.search(text[i].as_py().split(" "), weights[ends[i - 1] if i else 0: ends[i]], k)))
-            if out:
+                    state = _QUERY
+                t = terms[t_ends[i - 1] if i else 0: t_ends[i]].astype(np.int64)
+                asked.append((ids[i], t, counts[t_ends[i - 1] if i else 0: t_ends[i]] * idf[t]))
+            answer()
+            if found:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([q for q, _, _ in out], [len(i) for _, i, _ in out]), pa.int64()),
-                     pa.array(np.concatenate([i for _, i, _ in out]), pa.int64()),
-                     pa.array(np.concatenate([s for _, _, s in out]), pa.float64())], ["query_id", "doc_id", "score"])
+                    [pa.array(np.repeat([q for q, _, _ in found], [len(i) for _, i, _ in found]), pa.int64()),
+                     pa.array(np.concatenate([i for _, i, _ in found]), pa.int64()),
+                     pa.array(np.concatenate([s for _, _, s in found]), pa.float64())], ["query_id", "doc_id", "score"])
     return run
 
 
-def query_vectors(queries: DataFrame, docs: DataFrame, total: int) -> DataFrame:
-    """(id, terms, weights): the words of each query that the corpus has, with IDF times their count in the query."""
-    asked = queries.select("id", F.explode(_words(F.col("text"))).alias("w")).groupBy("id", "w").agg(F.count(F.lit(1)).alias("qf"))
+def query_words(queries: DataFrame, docs: DataFrame, total: int, chunks: int) -> tuple[DataFrame, DataFrame]:
+    """The words of the queries that the corpus has, and the queries by them.
+
+    (chunk, words, idfs): lists of words dealt by hash. (id, terms, counts): a word is numbered by its place in its
+    list times `chunks` plus the chunk, so no copy of a query carries words or weights.
+    """
+    asked = queries.select("id", F.explode(_words(F.col("text"))).alias("w")).groupBy("id", "w").agg(F.count(F.lit(1)).cast("int").alias("qf"))
     wanted = asked.select("w").distinct()
     held = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(float(total)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    known = held.join(wanted, "w", "left_semi").select("w", idf.alias("idf"))
-    pairs = asked.join(known, "w").select("id", F.struct("w", (F.col("qf") * F.col("idf")).alias("weight")).alias("p"))
-    grouped = pairs.groupBy("id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    return grouped.select("id", F.transform("ps", lambda p: p["w"]).alias("terms"), F.transform("ps", lambda p: p["weight"]).alias("weights"))
+    known = held.join(wanted, "w", "left_semi").select(F.pmod(F.xxhash64("w"), F.lit(chunks)).alias("chunk"), F.struct("w", idf.alias("idf")).alias("p"))
+    lists = known.groupBy("chunk").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    lists = materialize(lists.select("chunk", F.col("ps.w").alias("words"), F.col("ps.idf").alias("idfs")), "query-words")
+    numbers = lists.select("chunk", F.posexplode("words").alias("place", "w")).select(
+        "w", (F.col("place") * chunks + F.col("chunk")).cast("int").alias("term"))
+    pairs = asked.join(numbers, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("term", "qf"))).alias("ps"))
+    return lists, pairs.select("id", F.col("ps.term").alias("terms"), F.col("ps.qf").alias("counts"))
 
 
 def top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, text: str = "text", doc_id: str = "doc_id",
@@ -191,16 +261,19 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, text: str = "text"
     def read(df: DataFrame) -> DataFrame:
         return df.filter(F.col(f"`{doc_id}`").isNotNull()).select(F.col(f"`{doc_id}`").cast("long").alias("id"), normal(F.col(f"`{text}`")).alias("text"))
 
-    docs, asked = read(corpus), read(queries)
-    total, words, chars = docs.agg(F.count(F.lit(1)), F.sum(F.size(_words(F.col("text")))), F.sum(F.length("text"))).first()
-    mean, shards = max((words or 0) / max(total, 1), 1e-9), max(1, -(-(chars or 0) // shard_chars))
-    vectors = query_vectors(asked, docs, total)
-    dealt = docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int").alias("shard"), "id", "text",
-                        F.lit(None).cast("array<double>").alias("weights"))
-    everywhere = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(int(shards) - 1))).alias("shard"), "id",
-                                F.array_join("terms", " ").alias("text"), "weights")  # a query's words take the place of a text
-    rows = dealt.unionByName(everywhere).repartition(int(shards), "shard").sortWithinPartitions(
-        "shard", F.col("weights").isNotNull(), "id")
-    found = rows.mapInArrow(_run(mean, k), _RESULT)
+    # Stored once: the statistics, the words and the shards all read it.
+    docs = read(corpus).withColumns({"n_words": F.size(_words(F.col("text"))), "n_chars": F.length("text")})
+    docs, asked = materialize(docs, "normal-texts"), read(queries)
+    total, words, chars = docs.agg(F.count(F.lit(1)), F.sum("n_words"), F.sum("n_chars")).first()
+    mean, shards = max((words or 0) / max(total, 1), 1e-9), int(max(1, -(-(chars or 0) // shard_chars)))
+    lists, numbered = query_words(asked, docs, total, shards)
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    dealt = docs.select(F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int").alias("shard"), F.lit(_DOCUMENT).alias("kind"), "id", "text")
+    rows = dealt.unionByName(
+        lists.select(everywhere, F.lit(_WORDS).alias("kind"), F.col("chunk").alias("id"), F.array_join("words", " ").alias("text"),
+                     F.col("idfs").alias("numbers")), allowMissingColumns=True).unionByName(
+        numbered.select(everywhere, F.lit(_QUERY).alias("kind"), "id", "terms", "counts"), allowMissingColumns=True)
+    rows = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "kind", "id")
+    found = rows.mapInArrow(_run(mean, k, shards), _RESULT)
     place = W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from sensorspark.llm import search
 
 
@@ -68,6 +70,45 @@ def test_pruning_skips_lists_and_stays_exact():
     assert [(int(i), round(s * 2**30)) for i, s in zip(ids, scores, strict=True)] == want
 
 
+def test_many_queries_at_once_skip_blocks_and_documents():
+    """Only words of queries are indexed; few documents are scored in full, with and without blocks that stand out."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices([f"f{i}" for i in range(40)], k=60) + rng.choices([f"r{i}" for i in range(3000)], k=20)) for _ in range(3000)]
+    texts[700:720] = [texts[700] + f" more{i}" for i in range(20)]  # near copies: a high threshold
+    vocabulary = {w: 3 * i for i, w in enumerate(sorted({w for q in range(0, 3000, 100) for w in texts[q].split()}))}
+    shard = search.Shard.empty(vocabulary, 3 * len(vocabulary))
+    for i, text in enumerate(texts):
+        shard.add(i, text)
+    shard.finish(80.0)
+    assert set(shard.term.tolist()) <= set(vocabulary.values()) and shard.columns.shape[1] >= 40
+    queries = []
+    for q in range(0, 3000, 100):
+        counts = Counter(texts[q].split())
+        queries.append((np.array([vocabulary[w] for w in counts]), np.array([c * (0.5 if w[0] == "f" else 4.0) for w, c in counts.items()])))
+    found = shard.search_many(queries, 5)
+    assert shard.scored < len(queries) * shard.n / 16
+    lists = [range(shard.start[t], shard.start[t + 1]) for t in range(shard.size)]
+    for (t, w), (ids, scores) in zip(queries, found, strict=True):
+        exact = Counter()
+        for a, b in zip(t, w, strict=True):
+            for at in lists[a]:
+                exact[int(shard.doc[at])] += round(b * shard.impact[at] * 2**30)
+        want = sorted(exact.items(), key=lambda e: (-e[1], e[0]))[:5]
+        assert [(int(i), round(s * 2**30)) for i, s in zip(ids, scores, strict=True)] == want
+    one = shard.search_many(queries[:1], 5)[0]
+    assert one[0].tolist() == found[0][0].tolist() and one[1].tolist() == found[0][1].tolist()
+
+
+def test_copies_of_queries_carry_numbers(spark):
+    docs = spark.createDataFrame([(1, "a b b c"), (2, "b d"), (3, "")], "id long, text string")
+    lists, asked = search.query_words(docs.filter("id < 3"), docs, 3, 2)
+    number = {w: p * 2 + r.chunk for r in lists.collect() for p, w in enumerate(r.words)}
+    assert sorted(number) == ["a", "b", "c", "d"] and len(set(number.values())) == 4
+    assert dict(asked.dtypes) == {"id": "bigint", "terms": "array<int>", "counts": "array<int>"}
+    got = {r.id: dict(zip(r.terms, r.counts, strict=True)) for r in asked.collect()}
+    assert got == {1: {number["a"]: 1, number["b"]: 2, number["c"]: 1}, 2: {number["b"]: 1, number["d"]: 1}}
+
+
 def test_awkward_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     docs = [(i, t) for i, t in rows if i not in (5, None)]
