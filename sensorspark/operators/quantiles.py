@@ -11,9 +11,10 @@ reach the driver. NULL, NaN and infinities are no values.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ READABLE_ROWS = 20_000
 # Size of a sketch and the rank error, as a share of the rows, that its brackets allow for.
 SKETCH_SIZE, RANK_ERROR = 2048, 0.003
 RANGES_PER_PASS = 128
+# Sketches are kept by column in a hash table, which Spark gives up for a sort from 128 keys on.
+COLUMNS_PER_PASS = 100
 
 
 @dataclass
@@ -42,6 +45,23 @@ class _Range:
         return self.column, self.low, self.high
 
 
+def _by_column(df: DataFrame, values: dict[str, Column], columns: Sequence[str]) -> DataFrame:
+    """(c, v): the values of each column under its place in `columns`. Plans stay small however many columns there are."""
+    return df.select(F.posexplode(F.array(*[values[c] for c in columns])).alias("c", "v")).filter("v IS NOT NULL")
+
+
+def _brackets(wanted: Iterable[tuple[str, float, float]]) -> tuple[dict[str, list[tuple[float, float]]], list[tuple[Column, Column]]]:
+    """Different brackets of each column, and the k-th (low, high) of the column that a row of `_by_column` belongs to."""
+    by_column: dict[str, list[tuple[float, float]]] = {}
+    for c, *bracket in dict.fromkeys(wanted):
+        by_column.setdefault(c, []).append(tuple(bracket))
+
+    def end(k: int, side: int) -> Column:
+        # Columns with fewer brackets have NaN, which holds nothing.
+        return F.element_at(F.lit(np.array([b[k][side] if k < len(b) else math.nan for b in by_column.values()], np.float64)), F.col("c") + 1)
+    return by_column, [(end(k, 0), end(k, 1)) for k in range(max(map(len, by_column.values()), default=0))]
+
+
 def _sketch(value: Column) -> Column:
     return F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE))
 
@@ -61,26 +81,25 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         wanted = F.array(*[F.lit(p) for p in probabilities])
         row = df.agg(*[F.percentile_approx(v, wanted, F.lit(accuracy)) for v in values.values()]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
-    names = {c: f"_{i}" for i, c in enumerate(columns)}
-    summed = df.agg(*[f(v).alias(f"{n}{names[c]}") for c, v in values.items() for n, f in (
-        ("n", F.count), ("low", F.min), ("high", F.max), ("sketch", _sketch))])
-
     shares = [p + sign * RANK_ERROR for p in probabilities for sign in (-1, 1)]
-    row = summed.select(*[c for name in names.values() for c in (
-        f"n{name}", f"low{name}", f"high{name}",
-        F.when(F.col(f"n{name}") > 0, _read_at(F.col(f"sketch{name}"), shares)).alias(f"near{name}"))]).first()
+    known: dict[str, list] = {}
+    for at in range(0, len(columns), COLUMNS_PER_PASS):
+        part = columns[at: at + COLUMNS_PER_PASS]
+        summed = _by_column(df, values, part).groupBy("c").agg(
+            F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), _sketch(F.col("v")).alias("sketch"))
+        for row in summed.select("c", "n", "low", "high", _read_at(F.col("sketch"), shares)).collect():
+            known[part[row[0]]] = list(row[1:])
     ranges: dict[tuple[str, int], _Range] = {}
     tries = []
-    for i, c in enumerate(columns):
-        n, low, high, brackets = row[4 * i: 4 * i + 4]
+    for c in columns:
+        n, low, high, brackets = known.get(c, (0, None, None, None))
         for k, p in enumerate(probabilities if n else []):
             place = p * (n - 1)
             ranges[c, k] = _Range(c, math.floor(place), math.ceil(place), low, high, 0, n)
             # Few rows: the neighbours of a rank lie further off, as shares, than the error that is allowed for.
             few = n * RANK_ERROR < 3
             tries.append((ranges[c, k], *((low, high) if few else brackets[2 * k: 2 * k + 2])))
-    for at in range(0, len(tries), RANGES_PER_PASS):
-        _count(df, values, tries[at: at + RANGES_PER_PASS], first=True)
+    _count(df, values, tries, first=True)
     while open_ranges := [r for r in ranges.values() if r.found is None]:
         if sum({r.bracket(): r.rows for r in open_ranges}.values()) <= READABLE_ROWS:
             _read(df, values, open_ranges)
@@ -89,7 +108,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
                 _narrow(df, values, open_ranges[at: at + RANGES_PER_PASS])
 
     def between(r: _Range, p: float) -> float:
-        place = p * (row[f"n{names[r.column]}"] - 1)
+        place = p * (known[r.column][0] - 1)
         return r.found[0] + (r.found[1] - r.found[0]) * (place - math.floor(place))
     return {c: [between(ranges[c, k], p) if (c, k) in ranges else None for k, p in enumerate(probabilities)] for c in columns}
 
@@ -111,10 +130,13 @@ def _narrow(df: DataFrame, values: dict[str, Column], ranges: Sequence[_Range])
 def _count(df: DataFrame, values: dict[str, Column], tries: Sequence[tuple[_Range, float, float]], first: bool = False) -> None:
     """Take over the brackets that hold their ranks; halve the others, and those that are no smaller unless it is the first time."""
     halved = []
-    wanted = dict.fromkeys((r.column, low, high) for r, low, high in tries)
-    counts = df.agg(*[F.count_if(test) for c, low, high in wanted for test in (
-        values[c] < low, values[c].between(F.lit(low), F.lit(high)))]).first()
-    known = {b: (counts[2 * i], counts[2 * i + 1]) for i, b in enumerate(wanted)}
+    wanted, tests = _brackets((r.column, low, high) for r, low, high in tries)
+    counted = _by_column(df, values, list(wanted)).groupBy("c").agg(*[
+        F.count_if(test) for low, high in tests for test in (F.col("v") < low, F.col("v").between(low, high))])
+    known = {}
+    for row in counted.collect() if wanted else ():
+        c = list(wanted)[row[0]]
+        known.update({(c, *b): (row[1 + 2 * k], row[2 + 2 * k]) for k, b in enumerate(wanted[c])})
     for r, low, high in tries:
         below, rows = known[r.column, low, high]
         holds = below <= r.first and r.last < below + rows
@@ -151,16 +173,16 @@ def _halve(df: DataFrame, values: dict[str, Column], ranges: Sequence[_Range]) -
 
 def _read(df: DataFrame, values: dict[str, Column], ranges: Sequence[_Range]) -> None:
     """Count the values inside the last brackets, at most READABLE_ROWS in all."""
-    brackets = list(dict.fromkeys(r.bracket() for r in ranges))
-    found = F.array_compact(F.array(*[
-        F.when(values[c].between(F.lit(low), F.lit(high)), F.struct(F.lit(i).alias("id"), values[c].alias("v")))
-        for i, (c, low, high) in enumerate(brackets)]))
-    counted: dict[int, list] = {}
-    for row in df.select(F.inline(found)).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")).collect():
-        counted.setdefault(row["id"], []).append((row["v"], row["n"]))
+    wanted, tests = _brackets(r.bracket() for r in ranges)
+    inside = F.array_compact(F.array(*[F.when(F.col("v").between(low, high), F.lit(k)) for k, (low, high) in enumerate(tests)]))
+    found = _by_column(df, values, list(wanted)).select("c", "v", F.explode(inside).alias("k"))
+    counted: dict[tuple[str, float, float], list] = {}
+    for row in found.groupBy("c", "k", "v").agg(F.count(F.lit(1)).alias("n")).collect():
+        c = list(wanted)[row["c"]]
+        counted.setdefault((c, *wanted[c][row["k"]]), []).append((row["v"], row["n"]))
     for r in ranges:
         ends, seen = [], r.below
-        for value, n in sorted(counted[brackets.index(r.bracket())]):
+        for value, n in sorted(counted[r.bracket()]):
             seen += n
             ends += [value] * ((r.first < seen) + (r.last < seen) - len(ends))
         r.found = (ends[0], ends[1])

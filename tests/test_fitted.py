@@ -53,6 +53,17 @@ def test_values_that_are_not_finite_do_not_count(spark, monkeypatch, readable):
     assert Q.quantiles(wide, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0]) == {"x": [-1.7e308, -1e-300, 0.0, 5e-324, 1.7e308]}
 
 
+def test_plans_do_not_grow_with_the_columns(spark, monkeypatch):
+    """One sketch for all columns of a pass; the last column has no values."""
+    built = []
+    real = Q._sketch
+    monkeypatch.setattr(Q, "_sketch", lambda v: built.append(1) or real(v))
+    df = spark.range(101).select(*[(F.col("id") * (i + 1)).cast("double").alias(f"x.{i}") for i in range(120)], F.lit(None).cast("double").alias("none"))
+    got = Q.quantiles(df, df.columns, [0.25, 0.5])
+    assert len(built) == 2
+    assert got == {**{f"x.{i}": [25.0 * (i + 1), 50.0 * (i + 1)] for i in range(120)}, "none": [None, None]}
+
+
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     assert Q.quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [2.0]}
