@@ -6,12 +6,12 @@ SHARD_CHARS characters. Every shard is one group of one task: the words of all q
 its documents, which become an inverted index of those words, then all queries stream past it in
 batches, as numbers of words. The shards' top k are merged by score, then id.
 
-A query reads the lists of its rarer words. The k documents best by these, scored in full, give
-a threshold. The lists of frequent words (in over 1/FREQUENT of the shard) are also columns: block maxima (of
-BLOCK documents) over them bound what they can add, and blocks and documents that cannot reach the
-threshold are skipped. Where many are left, the columns are added for many queries in one product in
-single precision, and documents further from the k-th than rounding explains are skipped. What remains
-is scored in full. A term's share of a score is rounded to 2**-30, so sums are exact in any order and
+A query adds up the lists of its rarer words, whose shares of a score are made once per shard. Frequent words (in
+over 1/FREQUENT of the shard) are columns. The documents best by the rarer words, scored in full, give
+a threshold. Maxima over blocks of BLOCK documents bound what the frequent words can add, and blocks and documents that cannot
+reach the threshold are skipped. Where many are left, the columns are added for many queries in one product in
+single precision, and documents further from the k-th than rounding explains are skipped. For what remains
+the frequent words are added exactly. A term's share of a score is rounded to 2**-30, so sums are exact in any order and
 equal texts tie exactly.
 
 Edge cases: rows without id are left out of corpus and queries; rows of one id are separate
@@ -23,6 +23,7 @@ never read. Ties in score go to the lower id.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,11 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
+def _impact(tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Share of a word found `tf` times in texts of `length` times the mean."""
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
+
+
 class Shard:
     """Inverted index of some documents; `mean` is the mean length over the whole corpus.
 
@@ -82,13 +88,14 @@ class Shard:
         if self.open:
             own = np.array([known.setdefault(w, len(known)) for w in cut], np.int32)
         else:
-            own = np.array([known.get(w, -1) for w in cut], np.int32)
+            own = np.fromiter(map(known.get, cut, repeat(-1)), np.int32, len(cut))
             own = own[own >= 0]
         self.ids.append(doc_id)
         self.lengths.append(len(cut))
         self.words.append(own)
 
-    def finish(self, mean: float) -> None:
+    def finish(self, mean: float, idf: np.ndarray | None = None) -> None:
+        """`idf` by word: the weights of most words of a query, so what a posting adds at that weight is made once."""
         n = len(self.ids)
         self.size = len(self.vocabulary) if self.open else self.size
         self.ids, self.n = np.array(self.ids, np.int64), n
@@ -104,26 +111,23 @@ class Shard:
         self.term, self.doc = (pairs // max(n, 1)).astype(np.int32), (pairs % max(n, 1)).astype(np.int32)
         del pairs, first
         lengths = np.array(self.lengths, np.int64)
-        length = np.where(lengths > 0, lengths, 1)[self.doc] / mean
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
-        del length, tf
+        self.length = np.where(lengths > 0, lengths, 1) / mean
+        self.impact = _impact(tf, self.length[self.doc])
         self.start = np.searchsorted(self.term, np.arange(self.size + 1))
-        # Lists of over 1/FREQUENT of the documents as columns too, and the maxima of their blocks.
+        self.idf = np.full(self.size, np.nan) if idf is None else idf
+        self.share = None if idf is None else np.rint((idf * UNIT)[self.term] * self.impact)
+        # Lists of over 1/FREQUENT of the documents as columns too, and the maxima of their blocks. The last block is filled up.
         held = np.diff(self.start)
         frequent = np.flatnonzero(held * FREQUENT > max(n, FREQUENT))
         self.column = np.full(self.size, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent))
         at, counts = self._lists(self.start, frequent)
-        self.columns = np.zeros((n, len(frequent)), np.float32)
-        self.columns[self.doc[at], np.repeat(np.arange(len(frequent)), counts)] = self.impact[at]
-        edges = np.arange(0, n, BLOCK)
-        self.block_most = np.maximum.reduceat(self.columns, edges) if n else self.columns
-        self.in_block = np.diff(edges, append=n)
-        # The same postings by document, for full scores.
-        order = np.argsort(self.doc, kind="stable")
-        self.of_doc_term, self.of_doc_impact = self.term[order], self.impact[order]
-        self.doc_start = np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.weight = np.zeros(self.size)
+        self.blocks = -(-n // BLOCK)
+        self.columns = np.zeros((self.blocks * BLOCK, len(frequent)), np.float32)
+        self.times = np.zeros((n, len(frequent)), np.int32)
+        place = self.doc[at], np.repeat(np.arange(len(frequent)), counts)
+        self.columns[place], self.times[place] = self.impact[at], tf[at]
+        self.block_most = self.columns.reshape(self.blocks, BLOCK, -1).max(axis=1) if n else self.columns
 
     def _lists(self, starts: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the lists `lo`, one after the other, and how long each is."""
@@ -131,17 +135,25 @@ class Shard:
         at = np.arange(sizes.sum()) + np.repeat(starts[lo] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
         return at, sizes
 
-    def _full(self, chosen: np.ndarray, t: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+    def _by_rare(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the words without a column add to each document, in UNITs."""
+        rare, own = self.column[t] < 0, w == self.idf[t]
+        at, _ = self._lists(self.start, t[rare & own])
+        shares = self.share.take(at) if len(at) else np.zeros(0)
+        more, sizes = self._lists(self.start, t[rare & ~own])
+        if len(more):
+            shares = np.concatenate([shares, np.rint(np.repeat(w[rare & ~own] * UNIT, sizes) * self.impact.take(more))])
+        return np.bincount(self.doc.take(np.concatenate([at, more])), shares, self.blocks * BLOCK)
+
+    def _full(self, chosen: np.ndarray, t: np.ndarray, w: np.ndarray, partial: np.ndarray) -> np.ndarray:
         """Whole scores of some documents, in UNITs."""
-        self.weight[t] = scaled
-        at, sizes = self._lists(self.doc_start, chosen)
-        score = np.bincount(np.repeat(np.arange(len(chosen)), sizes),
-                            np.rint(self.weight[self.of_doc_term[at]] * self.of_doc_impact[at]), len(chosen))
-        self.weight[t] = 0
-        return score
-
-    def _best(self, chosen: np.ndarray, t: np.ndarray, scaled: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        score = self._full(chosen, t, scaled)
+        column = self.column[t]
+        times = self.times[chosen[:, None], column[column >= 0]]
+        impact = _impact(times, self.length[chosen][:, None])
+        return partial[chosen] + np.rint(w[column >= 0] * UNIT * impact).sum(axis=1)
+
+    def _best(self, chosen: np.ndarray, t: np.ndarray, w: np.ndarray, partial: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        score = self._full(chosen, t, w, partial)
         chosen, score = chosen[score > 0], score[score > 0]
         best = np.lexsort((self.ids[chosen], -score))[:k]
         return self.ids[chosen][best], score[best] / UNIT
@@ -157,33 +169,43 @@ class Shard:
         for i, (t, w) in enumerate(queries):
             column = self.column[t]
             asked[column[column >= 0], i] = w[column >= 0] * UNIT
-        more = self.block_most @ asked
         # More than rounding can change: relative, of a sum of so many single precision products; absolute, of its rounded terms.
         error, units = (self.columns.shape[1] + 8) * 2.0**-22, self.columns.shape[1]
+        more = (self.block_most @ asked).T.astype(np.float64) * (1 + error)
+        inside, tried = np.arange(BLOCK), max(k, BLOCK)
         out, left = [], []
         for i, (t, w) in enumerate(queries):
-            scaled = w * UNIT
-            rare = self.column[t] < 0
-            at, sizes = self._lists(self.start, t[rare])
-            partial = np.bincount(self.doc[at], np.rint(np.repeat(scaled[rare], sizes) * self.impact[at]), self.n)
-            threshold = 0.0
-            if self.n > k:  # the k-th best of all is at least the least of any k
-                threshold = self._full(np.argpartition(partial, self.n - k)[self.n - k:], t, scaled).min()
-            bound = partial + np.repeat(more[:, i].astype(np.float64) * (1 + error), self.in_block)
-            chosen = np.flatnonzero((bound > 0) & (bound + units >= threshold))
-            if len(chosen) * FREQUENT > self.n and self.n > k:
-                left.append((i, partial, threshold))
-            out.append((chosen, t, scaled))
+            partial = self._by_rare(t, w)
+            blocks = partial.reshape(self.blocks, BLOCK)
+            most, threshold = blocks.max(axis=1, initial=0), 0.0
+            if self.n > k:  # the k-th best of all is at least that of any, such as those best by the rarer words
+                first = np.argpartition(most, self.blocks - tried)[self.blocks - tried:] if self.blocks > tried else np.arange(self.blocks)
+                near = (first[:, None] * BLOCK + inside).ravel()
+                near = near[near < self.n]
+                if len(near) > tried:
+                    near = near[np.argpartition(partial[near], len(near) - tried)[len(near) - tried:]]
+                if len(near) >= k:
+                    threshold = np.partition(self._full(near, t, w, partial), len(near) - k)[len(near) - k]
+            bound = most + more[i]
+            first = np.flatnonzero((bound > 0) & (bound + units >= threshold))
+            bound = blocks[first] + more[i, first][:, None]
+            held = (bound > 0) & (bound + units >= threshold)
+            if np.count_nonzero(held) * FREQUENT > self.n and self.n > k:
+                left.append((i, threshold))
+                chosen = first
+            else:
+                chosen = (first[:, None] * BLOCK + inside)[held]
+            out.append((chosen[chosen < self.n], t, w, partial))
         if left:  # many blocks may hold winners: their frequent words are added for all these queries at once
-            added = asked[:, [i for i, _, _ in left]].T @ self.columns.T
-            for (i, partial, threshold), sums in zip(left, added, strict=True):
-                near = partial + sums
+            added = asked[:, [i for i, _ in left]].T @ self.columns.T
+            for (i, threshold), sums in zip(left, added, strict=True):
+                first, t, w, partial = out[i]
+                near = (partial + sums)[:self.n]
                 slack = error * float(sums.max()) + units
                 threshold = max(threshold, np.partition(near, self.n - k)[self.n - k] - slack)
-                chosen, t, scaled = out[i]
-                out[i] = chosen[near[chosen] + slack >= threshold], t, scaled
-        self.scored += sum(len(chosen) for chosen, _, _ in out)
-        return [self._best(chosen, t, scaled, k) for chosen, t, scaled in out]
+                out[i] = np.flatnonzero((near > 0) & (near + slack >= threshold)), t, w, partial
+        self.scored += sum(len(chosen) for chosen, *_ in out)
+        return [self._best(*found, k) for found in out]
 
 
 def _run(mean: float, k: int, chunks: int):
@@ -223,7 +245,7 @@ def _run(mean: float, k: int, chunks: int):
                     index.add(ids[i], text[i].as_py())
                     continue
                 if state == _DOCUMENT:
-                    index.finish(mean)
+                    index.finish(mean, idf)
                     state = _QUERY
                 t = terms[t_ends[i - 1] if i else 0: t_ends[i]].astype(np.int64)
                 asked.append((ids[i], t, counts[t_ends[i - 1] if i else 0: t_ends[i]] * idf[t]))

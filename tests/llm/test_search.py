@@ -116,3 +116,29 @@ def test_awkward_rows(spark, odd_docs, no_docs):
     again = search.top_k(odd_docs, odd_docs.filter("doc_id = 8")).collect()
     assert [r.doc_id for r in again].count(5) == 2 and all(r.doc_id is not None for r in again)
     assert search.top_k(no_docs, odd_docs).count() == 0 and search.top_k(odd_docs, no_docs).count() == 0
+
+
+def test_shares_of_postings_are_made_once():
+    """A query at the weights the shard was finished with reads shares, not impacts; other weights and repeated words are made for it."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(["f0", "f1", "f2"], k=5) + rng.choices([f"r{i}" for i in range(900)], k=12)) for _ in range(1500)]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts for w in t.split()}))}
+    idf = np.array([0.1 if w[0] == "f" else 1 + i % 7 for i, w in enumerate(vocabulary)])
+    plain, ready = (search.Shard.empty(vocabulary, len(vocabulary)) for _ in range(2))
+    for shard in (plain, ready):
+        for i, text in enumerate(texts):
+            shard.add(i, text)
+    plain.finish(17.0)
+    ready.finish(17.0, idf)
+    queries = []
+    for text in texts[::60]:
+        counts = Counter(text.split())
+        t = np.array([vocabulary[w] for w in counts])
+        queries.append((t, np.array(list(counts.values())) * idf[t]))
+    for (a, b), (c, d) in zip(plain.search_many(queries, 4), ready.search_many(queries, 4), strict=True):
+        assert a.tolist() == c.tolist() and b.tolist() == d.tolist() and len(a) == 4
+    t = np.array([vocabulary[w] for w in set(texts[0].split()) if w[0] == "r"])
+    want = ready.search_many([(t, idf[t])], 4)[0]
+    ready.impact = None
+    again = ready.search_many([(t, idf[t])], 4)[0]
+    assert want[0].tolist() == again[0].tolist() and want[1].tolist() == again[1].tolist()
