@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorspark import constants as K
-from sensorspark.operators import evaluate, features, grid, split
+from sensorspark.operators import boosting, evaluate, features, grid, split
 from sensorspark.operators.fitted import (
     MedianImputerModel, QuantileClipperModel, TargetTransformer, TargetTransformerModel,
 )
@@ -165,11 +165,10 @@ class ForecastBundle:
         spark = self.best.sparkSession
         self.preprocess.write().overwrite().save(f"{path}/preprocess")
         self.target_model.write().overwrite().save(f"{path}/target_model")
-        for family, per_target in self.models.items():
-            for target, model in per_target.items():
-                model.write().overwrite().save(f"{path}/models/{family}/{target}")
-        for family, model in self.joint.items():
-            model.write().overwrite().save(f"{path}/joint/{family}")
+        places = {f"models/{f}/{t}": model for f, per in self.models.items() for t, model in per.items()}
+        places |= {f"joint/{f}": model for f, model in self.joint.items()}
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            list(pool.map(lambda place: places[place].write().overwrite().save(f"{path}/{place}"), places))
         self.best.write.mode("overwrite").parquet(f"{path}/best")
         contract = {"features": self.features, "targets": self.targets, "families": list(self.models),
                     "joint": list(self.joint), "scales": self.scales,
@@ -185,8 +184,10 @@ class ForecastBundle:
         missing = sorted(set(cls.REQUIRED) - set(contract["parts"]))
         if missing:
             raise ModelNotReadyError("Forecast bundle is missing parts: " + ", ".join(missing))
-        models = {f: {t: reader(f).load(f"{path}/models/{f}/{t}") for t in contract["targets"]} for f in contract["families"]}
-        joint = {f: reader(f).load(f"{path}/joint/{f}") for f in contract.get("joint", [])}
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            models = {f: {t: pool.submit(reader(f).load, f"{path}/models/{f}/{t}") for t in contract["targets"]} for f in contract["families"]}
+            joint = {f: pool.submit(reader(f).load, f"{path}/joint/{f}") for f in contract.get("joint", [])}
+        models, joint = {f: {t: m.result() for t, m in per.items()} for f, per in models.items()}, {f: m.result() for f, m in joint.items()}
         return cls(PipelineModel.load(f"{path}/preprocess"), models,
                    TargetTransformerModel.load(f"{path}/target_model"), contract["features"],
                    contract["targets"], {**contract["metadata"], "model_dir": path},
@@ -248,8 +249,11 @@ def fit_now(family: str, names: Sequence[str], train: Callable[[], dict[str, obj
 
 
 def fit_families(assembled: DataFrame, families: Sequence[str], targets: Sequence[str], scales: Mapping[str, Sequence[float]],
-                 config: ForecastConfig, keep: Keep = fit_now) -> dict[str, dict[str, object]]:
-    """Regressors of each family by target, and the joint one under the name `joint`. Fits run side by side."""
+                 config: ForecastConfig, keep: Keep = fit_now, size: tuple[int, int] | None = None) -> dict[str, dict[str, object]]:
+    """Regressors of each family by target, and the joint one under the name `joint`. Fits run side by side.
+
+    With a `size` (rows, features) that one task holds, a boosted fit is one task instead of two stages per level of a tree.
+    """
     indicators = F.array(*[F.struct(F.lit(t).alias("_target"), ((F.col(f"_y_{t}") - scales[t][0]) / scales[t][1]).alias("_y")) for t in targets])
     stacked = with_target(assembled.select(FEATURES, F.inline(indicators)), F.col("_target"), targets)
 
@@ -258,7 +262,10 @@ def fit_families(assembled: DataFrame, families: Sequence[str], targets: Sequenc
         jobs = {t: (assembled, {learner.featuresCol: FEATURES, learner.labelCol: f"_y_{t}"}) for t in targets}
         if family in JOINT_FAMILIES:
             jobs["joint"] = (stacked, {learner.featuresCol: JOINT_FEATURES, learner.labelCol: "_y"})
-        started = {name: pool.submit(learner.copy(params).fit, rows) for name, (rows, params) in jobs.items()}
+        if size and family in K.BOOSTED_PRESETS and boosting.fits_a_task(learner, *size):
+            started = {name: pool.submit(boosting.fit, learner.copy(params), rows) for name, (rows, params) in jobs.items()}
+        else:
+            started = {name: pool.submit(learner.copy(params).fit, rows) for name, (rows, params) in jobs.items()}
         return {name: task.result() for name, task in started.items()}
 
     names = {f: [*targets, *(["joint"] if f in JOINT_FAMILIES else [])] for f in families}
@@ -291,7 +298,8 @@ def fit(frame: DataFrame, config: ForecastConfig, keep: Keep = fit_now) -> tuple
     spreads = assembled.agg(F.count(F.lit(1)), *[f(f"_y_{t}") for t in targets for f in (F.avg, F.stddev_pop)]).first()
     scales = {t: [spreads[1 + 2 * i] or 0.0, spreads[2 + 2 * i] or 1.0] for i, t in enumerate(targets)}
     medians = median_baseline(assembled.select(*[F.col(f"_y_{t}").alias(t) for t in targets]), targets, config.exact_quantiles)
-    found = fit_families(assembled.coalesce(max(1, spreads[0] // ROWS_PER_TASK)), families, targets, scales, config, keep)
+    size = spreads[0], len(preprocess.stages[-1].getInputCols())
+    found = fit_families(assembled.coalesce(max(1, spreads[0] // ROWS_PER_TASK)), families, targets, scales, config, keep, size)
     models = {f: {t: per[t] for t in targets} for f, per in found.items()}
     joint = {f: per["joint"] for f, per in found.items() if "joint" in per}
     held_out = frame.where(F.col("split").isin("validation", "test")).select(
