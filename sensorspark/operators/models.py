@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorspark import constants as K
-from sensorspark.operators import boosting, evaluate, features, grid, split
+from sensorspark.operators import boosting, evaluate, features, forests, grid, split
 from sensorspark.operators.fitted import (
     MedianImputerModel, QuantileClipperModel, TargetTransformer, TargetTransformerModel,
 )
@@ -213,20 +213,26 @@ def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 def raw_predictions(df: DataFrame, bundle_models: Mapping[str, Mapping[str, object]], preprocess: PipelineModel,
                     joint: Mapping[str, object] | None = None, scales: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
-    """Add `_p_{family}_{target}` (transformed scale) for every fitted model, `_j_{family}_{target}` for the joint ones."""
-    out = preprocess.transform(df)
+    """Add `_p_{family}_{target}` (transformed scale) for every fitted model, `_j_{family}_{target}` for the joint ones.
+
+    Forests score batches of rows together (`forests.py`); a joint one is asked once per target.
+    """
+    out, walked = preprocess.transform(df), {}
     for family, per_target in bundle_models.items():
         for target, model in per_target.items():
-            out = model.copy({model.featuresCol: FEATURES, model.predictionCol: f"_p_{family}_{target}"}).transform(out)
+            if isinstance(model, RandomForestRegressionModel):
+                walked[f"_p_{family}_{target}"] = model, (), None
+            else:
+                out = model.copy({model.featuresCol: FEATURES, model.predictionCol: f"_p_{family}_{target}"}).transform(out)
     for target in scales if joint else ():
-        out = with_target(out, target, list(scales))
         for family, model in joint.items():
-            name = f"_j_{family}_{target}"
-            out = model.copy({model.featuresCol: JOINT_FEATURES, model.predictionCol: name}).transform(out)
-            middle, spread = scales[target]
-            out = out.withColumn(name, F.col(name) * spread + middle)
-        out = out.drop(JOINT_FEATURES)
-    return out
+            walked[f"_j_{family}_{target}"] = model, [float(t == target) for t in scales], scales[target]
+    if not walked:
+        return out
+    out = out.withColumn("_walked", forests.predictions(out, FEATURES, [(model, more) for model, more, _ in walked.values()]))
+    values = {name: F.get("_walked", F.lit(i)) for i, name in enumerate(walked)}
+    scaled = {name: value if walked[name][2] is None else value * walked[name][2][1] + walked[name][2][0] for name, value in values.items()}
+    return out.withColumns(scaled).drop("_walked")
 
 
 JOINT_FEATURES = "_joint_features"
