@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sensorspark.plans.shared import new_path
 
 # Rows that walk a tree together; their places among thresholds stay in the cache.
-TOGETHER = 2048
+TOGETHER = 4096
 _BITS = 16
 
 
@@ -39,13 +39,13 @@ class Forest:
         for f, known in enumerate(self.thresholds):
             mine = inner & (feature == f)
             place[mine] = np.searchsorted(known, threshold[mine])
-        self.test = (np.where(inner, feature, 0).astype(np.int32) << _BITS) | place
-        self.children = np.stack([np.where(inner, first + left, own), np.where(inner, first + right, own)], axis=1).ravel().astype(np.int32)
+        self.test = (np.where(inner, feature, 0).astype(np.int64) << _BITS) | place
+        self.children = np.stack([np.where(inner, first + left, own), np.where(inner, first + right, own)], axis=1).ravel()
         self.inner, self.value = inner, value
 
     def places(self, x: np.ndarray) -> np.ndarray:
         """Thresholds below each value: a row goes left at a threshold if no more than those before it are below."""
-        out = np.empty(x.shape, np.int32)
+        out = np.empty(x.shape, np.uint16)
         for f, known in enumerate(self.thresholds):
             out[:, f] = np.searchsorted(known, x[:, f], side="left")
         return out
@@ -54,7 +54,7 @@ class Forest:
         flat, n = places.ravel(), len(places)
         base, total = np.arange(n) * places.shape[1], np.zeros(n)
         for root in self.starts.tolist():
-            node, walking, steps = np.full(n, root, np.int32), None, 0
+            node, walking, steps = np.full(n, root), None, 0
             at, own = node, base
             while len(at):
                 test = self.test.take(at)
